@@ -1,7 +1,7 @@
 """Text helpers.
 
 pandas ``str.strip()`` removes Unicode whitespace; Spark ``trim`` removes
-spaces only, so stripping uses ``(?U)\\s`` regular expressions.
+spaces only, so stripping trims an explicit whitespace set.
 ``str.replace('  ', ' ')`` is one left-to-right pass: three spaces become
 two, kept as is.
 """
@@ -14,8 +14,14 @@ from pyspark.sql import functions as F
 from metricforge.functions.numeric import c
 
 
+# pandas ``str.strip()`` removes exactly the characters for which Python's
+# ``str.isspace()`` holds; the set is derived from that rule, not listed.
+PY_WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
+
 def strip_unicode(x) -> Column:
-    return F.regexp_replace(F.regexp_replace(c(x), r"(?U)^\s+", ""), r"(?U)\s+$", "")
+    """Both-ends strip of Python whitespace; a character-set trim, no regex."""
+    return F.btrim(c(x), F.lit(PY_WHITESPACE))
 
 
 def normalize_text(x, lower: bool = True, strip: bool = True, collapse_double: bool = True) -> Column:

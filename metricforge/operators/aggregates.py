@@ -132,10 +132,14 @@ def describe(df: DataFrame, cols: Sequence[str], scale: int = 4) -> DataFrame:
         aggs += [
             F.count(v).alias(f"count_{i}"), F.avg(v).alias(f"mean_{i}"),
             F.stddev_samp(v).alias(f"std_{i}"), F.min(v).alias(f"min_{i}"),
-            F.percentile(v, 0.25).alias(f"p25_{i}"), F.percentile(v, 0.5).alias(f"p50_{i}"),
-            F.percentile(v, 0.75).alias(f"p75_{i}"), F.max(v).alias(f"max_{i}"),
+            # one value->count map per column for all three quartiles
+            F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q_{i}"),
+            F.max(v).alias(f"max_{i}"),
         ]
     one = df.agg(*aggs)
+    for i in range(len(cols)):
+        one = (one.withColumn(f"p25_{i}", F.col(f"q_{i}")[0]).withColumn(f"p50_{i}", F.col(f"q_{i}")[1])
+                  .withColumn(f"p75_{i}", F.col(f"q_{i}")[2]))
     stats = ["mean", "std", "min", "p25", "p50", "p75", "max"]
     rows = [F.struct(F.lit(x).alias("column_name"), F.col(f"count_{i}").alias("count"),
                      *[dec_round(F.col(f"{s}_{i}"), scale).alias(s) for s in stats])

@@ -55,16 +55,20 @@ def remove_outliers(df: DataFrame, keys: Sequence[str], value: str, k: float = 1
 def box_stats(df: DataFrame, keys: Sequence[str], value: str, k: float = 1.5, scale: int = 4) -> DataFrame:
     """Quartiles, fences, whiskers (extreme values inside the fences),
     outlier count; one aggregate for quartiles, one for whiskers."""
-    f = iqr_fences(df, keys, value, k)
-    med = df.groupBy(*keys).agg(F.percentile(F.col(value), 0.5).alias("median"),
-                                F.count(F.col(value)).alias("n"))
-    j = df.join(f, list(keys), "left")
+    q = F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    f = (df.groupBy(*keys).agg(q.alias("__q"), F.count(F.col(value)).alias("n"))
+           .select(*keys, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
+                   F.col("__q")[2].alias("q3")))
+    iqr = F.col("q3") - F.col("q1")
+    f = (f.withColumn("lower_fence", F.col("q1") - F.lit(k) * iqr)
+          .withColumn("upper_fence", F.col("q3") + F.lit(k) * iqr))
+    j = df.join(f.select(*keys, "lower_fence", "upper_fence"), list(keys), "left")
     inside = (F.col(value) >= F.col("lower_fence")) & (F.col(value) <= F.col("upper_fence"))
     w = j.groupBy(*keys).agg(
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),
         F.count_if(F.col(value).isNotNull() & ~inside).alias("n_outliers"))
-    out = f.join(med, list(keys)).join(w, list(keys))
+    out = f.join(w, list(keys))
     num = ["q1", "median", "q3", "lower_fence", "upper_fence", "whisker_low", "whisker_high"]
     return out.select(*keys, "n", *[dec_round(F.col(x), scale).alias(x) for x in num], "n_outliers")
 
