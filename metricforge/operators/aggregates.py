@@ -124,22 +124,18 @@ def wide_totals(df: DataFrame, cols: Sequence[str], how: str = "sum", scale: int
 
 
 def describe(df: DataFrame, cols: Sequence[str], scale: int = 4) -> DataFrame:
-    """Exact eight-number summary per column in long form.
+    """Exact eight-number summary per column in long form. Moments come
+    from one aggregate pass; quartiles from the distributed exact quantiles.
     (``DataFrame.summary`` uses approximate percentiles - not used.)"""
+    from metricforge.operators.percentiles import with_quantiles
     aggs = []
     for i, x in enumerate(cols):
         v = F.col(x).cast("double")
-        aggs += [
-            F.count(v).alias(f"count_{i}"), F.avg(v).alias(f"mean_{i}"),
-            F.stddev_samp(v).alias(f"std_{i}"), F.min(v).alias(f"min_{i}"),
-            # one value->count map per column for all three quartiles
-            F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q_{i}"),
-            F.max(v).alias(f"max_{i}"),
-        ]
+        aggs += [F.count(v).alias(f"count_{i}"), F.avg(v).alias(f"mean_{i}"),
+                 F.stddev_samp(v).alias(f"std_{i}"), F.min(v).alias(f"min_{i}"), F.max(v).alias(f"max_{i}")]
     one = df.agg(*aggs)
-    for i in range(len(cols)):
-        one = (one.withColumn(f"p25_{i}", F.col(f"q_{i}")[0]).withColumn(f"p50_{i}", F.col(f"q_{i}")[1])
-                  .withColumn(f"p75_{i}", F.col(f"q_{i}")[2]))
+    specs = [(x, p, f"{nm}_{i}") for i, x in enumerate(cols) for p, nm in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))]
+    one = with_quantiles(one, df, [], specs)
     stats = ["mean", "std", "min", "p25", "p50", "p75", "max"]
     rows = [F.struct(F.lit(x).alias("column_name"), F.col(f"count_{i}").alias("count"),
                      *[dec_round(F.col(f"{s}_{i}"), scale).alias(s) for s in stats])

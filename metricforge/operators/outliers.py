@@ -1,9 +1,9 @@
 """Interquartile fences, outlier shares, box statistics, histograms
 (F14, W7, A31, A34, A35, H1, H2, H8).
 
-Per-group quartiles are an aggregate (partial per task); the per-group fence
-table is joined back to the rows, so a hot group is never sorted in one task
-(a percentile window would do that).
+Per-group quartiles come from the distributed exact ``quantiles`` (a hot
+group is split by value range); the per-group fence table is joined back to
+the rows, so a hot group is never sorted or merged in one task.
 """
 
 from __future__ import annotations
@@ -14,12 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricforge.functions.numeric import dec_round, ratio
+from metricforge.operators.percentiles import quantiles, with_quantiles
 
 
 def iqr_fences(df: DataFrame, keys: Sequence[str], value: str, k: float) -> DataFrame:
-    q = F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.75)))
-    out = df.groupBy(*keys).agg(q.alias("__q"))
-    out = out.select(*keys, F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3"))
+    out = quantiles(df, value, [0.25, 0.75], keys, "cont", ["q1", "q3"])
     iqr = F.col("q3") - F.col("q1")
     return (out.withColumn("lower_fence", F.col("q1") - F.lit(k) * iqr)
                .withColumn("upper_fence", F.col("q3") + F.lit(k) * iqr))
@@ -55,10 +54,8 @@ def remove_outliers(df: DataFrame, keys: Sequence[str], value: str, k: float = 1
 def box_stats(df: DataFrame, keys: Sequence[str], value: str, k: float = 1.5, scale: int = 4) -> DataFrame:
     """Quartiles, fences, whiskers (extreme values inside the fences),
     outlier count; one aggregate for quartiles, one for whiskers."""
-    q = F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    f = (df.groupBy(*keys).agg(q.alias("__q"), F.count(F.col(value)).alias("n"))
-           .select(*keys, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-                   F.col("__q")[2].alias("q3")))
+    n = df.groupBy(*keys).agg(F.count(F.col(value)).alias("n"))
+    f = with_quantiles(n, df, keys, [(value, 0.25, "q1"), (value, 0.5, "median"), (value, 0.75, "q3")])
     iqr = F.col("q3") - F.col("q1")
     f = (f.withColumn("lower_fence", F.col("q1") - F.lit(k) * iqr)
           .withColumn("upper_fence", F.col("q3") + F.lit(k) * iqr))

@@ -1,9 +1,23 @@
 """Exact percentiles and percentile trimming.
 
-``percentile`` / ``percentile_cont`` / ``percentile_disc`` are exact. They
-aggregate partially in every task into a value -> count map, so memory and
-shuffle volume follow the number of *distinct* values per group, not the
-number of rows. ``percentile_approx`` is offered only as an explicit opt-in.
+``quantiles`` computes exact ``percentile_cont`` / ``percentile_disc``
+values without holding any group in one task:
+
+1. rows -> (keys, value, count) with map-side combine (a hot value becomes
+   one row);
+2. range-partition the counts by (keys, value): a hot group is split over
+   many partitions by value range, balanced by Spark's sampled bounds; the
+   partition id is pinned by a checkpoint, since it is read twice;
+3. per (partition, key) totals -> running offsets (a window over at most
+   partitions x groups rows);
+4. running counts inside each (partition, key) range give every distinct
+   value its rank interval [start, end];
+5. keep only the rows whose interval holds a target rank and interpolate.
+
+The built-in ``percentile`` merges the full value -> count map of a group
+in one task, so its memory grows with the group; ``pct_cont`` /
+``pct_disc`` below remain for small inputs (tests, tiny dimensions).
+``percentile_approx`` is offered only as an explicit opt-in.
 """
 
 from __future__ import annotations
@@ -12,9 +26,121 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from metricforge.functions.numeric import c
+from metricforge.session import checkpoint_dir
+
+
+def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` treating NULL keys as equal (a NULL group is a
+    group, like GROUP BY)."""
+    keys = list(keys)
+    if not keys:
+        return left.crossJoin(right) if how == "inner" else left.join(right, how=how)
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        t = left[k].eqNullSafe(r[f"__r_{k}"])
+        cond = t if cond is None else cond & t
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
+
+
+def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence[float], keys: Sequence[str] = (),
+                   kind: str = "cont") -> DataFrame:
+    """Exact quantiles of several columns in one distributed pass ->
+    (keys..., "__m" (column name), q0, q1, ...).
+
+    ``cont``: linear interpolation between the values at 0-based positions
+    floor(p (n-1)) and ceil(p (n-1)) (``PERCENTILE_CONT``); ``disc``: the
+    value at 1-based rank max(1, ceil(p n)) (``PERCENTILE_DISC``). NULL
+    values are ignored; a group without values is absent (callers left-join).
+    """
+    keys = list(keys)
+    gk = keys + ["__m"]
+    long = df.select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(v).alias("__m"), F.col(v).cast("double").alias("__v")) for v in values])))
+    counts = (long.where(F.col("__v").isNotNull()).groupBy(*gk, "__v")
+                  .agg(F.count(F.lit(1)).alias("__c")))
+    # The partition id is read twice (offsets, running counts). Range bounds
+    # come from sampling, so the ids are pinned once: an eager checkpoint
+    # in the shared checkpoint folder (also cuts the lineage).
+    checkpoint_dir(df.sparkSession)
+    ranged = (counts.repartitionByRange(*gk, "__v").withColumn("__pid", F.spark_partition_id())
+              .checkpoint(eager=True))
+    totals = ranged.groupBy("__pid", *gk).agg(F.sum("__c").alias("__t"))
+    before = W.partitionBy(*gk).orderBy("__pid").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (totals.withColumn("__off", F.coalesce(F.sum("__t").over(before), F.lit(0)))
+                     .withColumn("__n", F.sum("__t").over(W.partitionBy(*gk))))
+    inside = W.partitionBy("__pid", *gk).orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = _join_keys(ranged.withColumn("__cum", F.sum("__c").over(inside)),
+                        offsets.select("__pid", *gk, "__off", "__n"), ["__pid", *gk])
+    end = F.col("__off") + F.col("__cum")
+    start = end - F.col("__c") + 1
+    targets = []
+    for i, p in enumerate(probs):
+        n = F.col("__n")
+        if kind == "cont":
+            pos = (n - 1).cast("double") * F.lit(float(p))
+            lo, hi = F.floor(pos) + 1, F.ceil(pos) + 1
+        elif kind == "disc":
+            pos = F.lit(0.0)
+            lo = hi = F.greatest(F.ceil(n.cast("double") * F.lit(float(p))), F.lit(1))
+        else:
+            raise ValueError(kind)
+        targets.append(F.struct(F.lit(i).alias("i"), lo.cast("bigint").alias("lo"),
+                                hi.cast("bigint").alias("hi"), pos.alias("pos")))
+    in_lo = (F.col("t.lo") >= F.col("__s")) & (F.col("t.lo") <= F.col("__e"))
+    in_hi = (F.col("t.hi") >= F.col("__s")) & (F.col("t.hi") <= F.col("__e"))
+    hits = (ranked.select(*gk, "__v", start.alias("__s"), end.alias("__e"), F.explode(F.array(*targets)).alias("t"))
+                  .where(in_lo | in_hi))
+    per = hits.groupBy(*gk, F.col("t.i").alias("i")).agg(
+        F.max(F.when(in_lo, F.col("__v"))).alias("vl"), F.max(F.when(in_hi, F.col("__v"))).alias("vh"),
+        F.first("t.pos").alias("pos"), F.first("t.lo").alias("lo"), F.first("t.hi").alias("hi"))
+    # Same interpolation as Spark's exact percentile: (hi - pos) * vl + (pos - lo) * vh.
+    lo_pos, hi_pos = F.col("lo") - 1, F.col("hi") - 1
+    val = (F.when((F.col("lo") == F.col("hi")) | (F.col("vl") == F.col("vh")), F.col("vl"))
+            .otherwise((hi_pos - F.col("pos")) * F.col("vl") + (F.col("pos") - lo_pos) * F.col("vh")))
+    return per.groupBy(*gk).agg(*[F.max(F.when(F.col("i") == i, val)).alias(f"q{i}") for i in range(len(probs))])
+
+
+def quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (),
+              kind: str = "cont", names: Sequence[str] | None = None) -> DataFrame:
+    """Exact quantiles of one column per group -> (keys..., names...)."""
+    names = list(names or [f"q{i}" for i in range(len(probs))])
+    q = quantiles_long(df, [value], probs, keys, kind)
+    return q.select(*keys, *[F.col(f"q{i}").alias(nm) for i, nm in enumerate(names)])
+
+
+def with_quantiles(grouped: DataFrame, src: DataFrame, keys: Sequence[str], specs) -> DataFrame:
+    """Attach exact quantiles of ``src`` to a grouped frame (one row per
+    key). ``specs``: (value, p, name[, kind]); all columns of one kind share
+    one distributed pass. Keys match null-safely."""
+    keys = list(keys)
+    by_kind: dict[str, list] = {}
+    for sp in specs:
+        kind = sp[3] if len(sp) > 3 else "cont"
+        by_kind.setdefault(kind, []).append(sp[:3])
+    out = grouped
+    for kind, items in by_kind.items():
+        values = sorted({v for v, _, _ in items})
+        probs = sorted({p for _, p, _ in items})
+        q = quantiles_long(src, values, probs, keys, kind)
+        wide = q.groupBy(*keys).agg(*[
+            F.max(F.when(F.col("__m") == v, F.col(f"q{probs.index(p)}"))).alias(n) for v, p, n in items])
+        if keys:
+            out = _join_keys(out, wide, keys, "left")
+        else:
+            out = out.select("*", *[wide.select(n).scalar().alias(n) for _, _, n in items])
+    return out
+
+
+def quantile_scalars(df: DataFrame, value: str, probs: Sequence[float], kind: str = "cont") -> list[Column]:
+    """Global exact quantiles as scalar subqueries."""
+    q = quantiles(df, value, probs, (), kind)
+    return [q.select(f"q{i}").scalar() for i in range(len(probs))]
 
 
 def pct_cont(x, p: float) -> Column:
@@ -52,13 +178,8 @@ class Limit:
 
 
 def limits_row(ref: DataFrame, rules: Sequence[Limit]) -> DataFrame:
-    """One-row aggregate of all limits (F5 scalar subqueries, merged into a
-    single pass over ``ref``)."""
-    aggs = []
-    for r in rules:
-        agg = pct_cont(r.column, r.p) if r.kind == "cont" else pct_disc(r.column, r.p)
-        aggs.append(agg.cast("double").alias(r.alias))
-    return ref.agg(*aggs)
+    """One-row frame of all limits (F5 scalar subqueries)."""
+    return ref.sparkSession.range(1).select(*[v.alias(k) for k, v in limit_scalars(ref, rules).items()])
 
 
 def trim_condition(rules: Sequence[Limit], limits: dict | None = None) -> Column:
@@ -81,10 +202,20 @@ def trim_condition(rules: Sequence[Limit], limits: dict | None = None) -> Column
 
 
 def limit_scalars(ref: DataFrame, rules: Sequence[Limit]) -> dict:
-    """Each limit as a scalar subquery; Spark merges scalar subqueries over
-    the same aggregate into one pass (``mergedValue`` in the plan)."""
-    row = limits_row(ref, rules)
-    return {r.alias: row.select(r.alias).scalar() for r in rules}
+    """Each limit as a scalar subquery; all columns of one kind share one
+    distributed quantile pass over ``ref``."""
+    out = {}
+    by_kind: dict[str, list[Limit]] = {}
+    for r in rules:
+        by_kind.setdefault(r.kind, []).append(r)
+    for kind, rs in by_kind.items():
+        values = sorted({r.column for r in rs})
+        probs = sorted({r.p for r in rs})
+        q = quantiles_long(ref, values, probs, (), kind)
+        for r in rs:
+            one = q.where(F.col("__m") == r.column).select(F.col(f"q{probs.index(r.p)}"))
+            out[r.alias] = one.scalar()
+    return out
 
 
 def trim_percentile(df: DataFrame, rules: Sequence[Limit], ref: DataFrame | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ from metricforge.functions.binning import bucketize, classify_size
 from metricforge.functions.numeric import dec_round, money, pct, ratio, ratio_eps
 from metricforge.operators.aggregates import topk, value_counts, wide_totals
 from metricforge.operators.outliers import flag_outliers, outlier_share
-from metricforge.operators.percentiles import pct_cont
+from metricforge.operators.percentiles import with_quantiles
 from metricforge.plans.common import MONEY, PCT, R, RATIO, register, tables
 
 # Fixed labels (ASCII output names).
@@ -245,10 +245,10 @@ FROM ({SQL_FINAL}) f GROUP BY funding_year
 """)
 def median_round_by_year(spark: SparkSession, d: str) -> DataFrame:
     """Median round size and rounds per year."""
-    return (final_rounds(spark, d).groupBy("funding_year")
-            .agg(dec_round(pct_cont("round_size", 0.5), 4).alias("median_round"),
-                 F.sum("funding_rounds").cast("bigint").alias("rounds"))
-            .orderBy("funding_year"))
+    f = final_rounds(spark, d)
+    g = f.groupBy("funding_year").agg(F.sum("funding_rounds").cast("bigint").alias("rounds"))
+    g = with_quantiles(g, f, ["funding_year"], [("round_size", 0.5, "median_round")])
+    return g.select("funding_year", dec_round("median_round", 4).alias("median_round"), "rounds").orderBy("funding_year")
 
 
 @register("year_of_max", f"""

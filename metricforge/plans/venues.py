@@ -18,7 +18,7 @@ from metricforge.operators.aggregates import (
 )
 from metricforge.operators.outliers import box_stats as _box_stats
 from metricforge.operators.outliers import histogram
-from metricforge.operators.percentiles import pct_cont
+from metricforge.operators.percentiles import with_quantiles
 from metricforge.operators.stats import category_codes, corr_long, cramers_v as _cramers_v
 from metricforge.plans.common import MONEY, PCT, R, RATIO, register, tables
 
@@ -94,9 +94,10 @@ FROM part WHERE p_type IS NOT NULL GROUP BY p_type
 def median_by_group(spark: SparkSession, d: str) -> DataFrame:
     """Median seats (and rating) per category."""
     p = tables(spark, d)("part").where(F.col("p_type").isNotNull())
-    return (p.groupBy("p_type").agg(F.count("p_size").alias("n"),
-                                    dec_round(pct_cont("p_size", 0.5), 4).alias("median_size"),
-                                    dec_round(pct_cont("p_retailprice", 0.5), 4).alias("median_price"))
+    g = p.groupBy("p_type").agg(F.count("p_size").alias("n"))
+    g = with_quantiles(g, p, ["p_type"], [("p_size", 0.5, "median_size"), ("p_retailprice", 0.5, "median_price")])
+    return (g.select("p_type", "n", dec_round("median_size", 4).alias("median_size"),
+                     dec_round("median_price", 4).alias("median_price"))
              .orderBy(F.desc("median_size"), "p_type"))
 
 
@@ -232,9 +233,11 @@ def center_vs_other(spark: SparkSession, d: str, centre: str = CENTRE) -> DataFr
     nation = t("nation").select("n_nationkey", (F.col("n_name") == centre).alias("is_center"))
     j = t("customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
     label = F.when(F.col("is_center"), F.lit("center")).otherwise(F.lit("other"))
-    return j.groupBy(label.alias("district_group")).agg(
-        F.count("c_acctbal").alias("n"), dec_round(F.avg("c_acctbal"), 2).alias("mean_bill"),
-        dec_round(pct_cont("c_acctbal", 0.5), 4).alias("median_bill"))
+    j = j.withColumn("district_group", label)
+    g = j.groupBy("district_group").agg(F.count("c_acctbal").alias("n"),
+                                        dec_round(F.avg("c_acctbal"), 2).alias("mean_bill"))
+    g = with_quantiles(g, j, ["district_group"], [("c_acctbal", 0.5, "median_bill")])
+    return g.withColumn("median_bill", dec_round("median_bill", 4))
 
 
 @register("contains_flag", f"""
