@@ -48,7 +48,7 @@ def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence[float], keys: Sequence[str] = (),
+def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys: Sequence[str] = (),
                    kind: str = "cont") -> DataFrame:
     """Exact quantiles of several columns in one distributed pass ->
     (keys..., "__m" (column name), q0, q1, ...).
@@ -57,9 +57,11 @@ def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence[float],
     floor(p (n-1)) and ceil(p (n-1)) (``PERCENTILE_CONT``); ``disc``: the
     value at 1-based rank max(1, ceil(p n)) (``PERCENTILE_DISC``). NULL
     values are ignored; a group without values is absent (callers left-join).
+    ``probs`` items may be ``(p, kind)`` pairs to mix both kinds in one pass.
     """
     keys = list(keys)
     gk = keys + ["__m"]
+    probs = [p if isinstance(p, tuple) else (p, kind) for p in probs]
     long = df.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(v).alias("__m"), F.col(v).cast("double").alias("__v")) for v in values])))
     counts = (long.where(F.col("__v").isNotNull()).groupBy(*gk, "__v")
@@ -80,7 +82,7 @@ def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence[float],
     end = F.col("__off") + F.col("__cum")
     start = end - F.col("__c") + 1
     targets = []
-    for i, p in enumerate(probs):
+    for i, (p, kind) in enumerate(probs):
         n = F.col("__n")
         if kind == "cont":
             pos = (n - 1).cast("double") * F.lit(float(p))
@@ -202,20 +204,16 @@ def trim_condition(rules: Sequence[Limit], limits: dict | None = None) -> Column
 
 
 def limit_scalars(ref: DataFrame, rules: Sequence[Limit]) -> dict:
-    """Each limit as a scalar subquery; all columns of one kind share one
-    distributed quantile pass over ``ref``."""
-    out = {}
-    by_kind: dict[str, list[Limit]] = {}
-    for r in rules:
-        by_kind.setdefault(r.kind, []).append(r)
-    for kind, rs in by_kind.items():
-        values = sorted({r.column for r in rs})
-        probs = sorted({r.p for r in rs})
-        q = quantiles_long(ref, values, probs, (), kind)
-        for r in rs:
-            one = q.where(F.col("__m") == r.column).select(F.col(f"q{probs.index(r.p)}"))
-            out[r.alias] = one.scalar()
-    return out
+    """Each limit as a scalar subquery. All limits share one distributed
+    quantile pass over ``ref`` (columns unpivoted, both kinds together),
+    pivoted into one aggregate row, so Spark merges the scalar subqueries
+    into a single evaluation."""
+    values = sorted({r.column for r in rules})
+    probs = sorted({(r.p, r.kind) for r in rules})
+    q = quantiles_long(ref, values, probs, ())
+    row = q.agg(*[F.max(F.when(F.col("__m") == r.column, F.col(f"q{probs.index((r.p, r.kind))}"))).alias(r.alias)
+                  for r in rules])
+    return {r.alias: row.select(r.alias).scalar() for r in rules}
 
 
 def trim_percentile(df: DataFrame, rules: Sequence[Limit], ref: DataFrame | None = None) -> DataFrame:

@@ -20,6 +20,7 @@ from metricforge.operators.aggregates import topk, value_counts, wide_totals
 from metricforge.operators.outliers import flag_outliers, outlier_share
 from metricforge.operators.percentiles import with_quantiles
 from metricforge.plans.common import MONEY, PCT, R, RATIO, register, tables
+from metricforge.session import materialize
 
 # Fixed labels (ASCII output names).
 TERM_GROUPS = ["single", "up_to_year", "over_year"]
@@ -145,11 +146,13 @@ def order_rounds(spark: SparkSession, d: str) -> DataFrame:
     lines = t("lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("funding_rounds"))
     o = t("orders").select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderdate")
     j = o.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-    return j.select("o_orderkey", F.col("o_orderpriority").alias("market"), "funding_rounds",
+    # Read by the fence quantiles, the fence join and the final aggregates:
+    # written once instead of re-aggregating the lines per branch.
+    return materialize(j.select("o_orderkey", F.col("o_orderpriority").alias("market"), "funding_rounds",
                     F.col("o_totalprice").alias("funding_total"),
                     (F.col("o_totalprice") / F.col("funding_rounds")).alias("round_size"),
                     F.year("o_orderdate").alias("funding_year"),
-                    F.month("o_orderdate").alias("funding_month"))
+                    F.month("o_orderdate").alias("funding_month")))
 
 
 SQL_ROUNDS = """

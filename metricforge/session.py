@@ -65,3 +65,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="mf-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
+
+
+def materialize(df):
+    """Write a shared intermediate once and read it back (eager
+    ``checkpoint`` into the shared checkpoint folder). Used where several
+    branches of one metric read the same expensive frame: the branches then
+    scan the written rows instead of recomputing the lineage, and a lost
+    executor does not force a recompute from the source tables."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
