@@ -1,0 +1,3 @@
+from metricforge.streaming.daily import active_pairs_stream, dau_from_pairs
+
+__all__ = ["active_pairs_stream", "dau_from_pairs"]
