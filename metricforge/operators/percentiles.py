@@ -38,7 +38,7 @@ def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     group, like GROUP BY)."""
     keys = list(keys)
     if not keys:
-        return left.crossJoin(right) if how == "inner" else left.join(right, how=how)
+        raise ValueError("join keys required")
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                      *[c for c in right.columns if c not in keys])
     cond = None

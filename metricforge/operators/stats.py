@@ -11,7 +11,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from metricforge.functions.numeric import dec_round
-from metricforge.operators.joins import bounded_broadcast
 
 
 def safe_corr(a: str, b: str) -> Column:
@@ -41,12 +40,15 @@ def corr_long(df: DataFrame, cols: Sequence[str], scale: int = 6) -> DataFrame:
 
 def category_codes(df: DataFrame, col: str, out: str, max_categories: int = 1_000_000) -> DataFrame:
     """``astype('category').cat.codes`` - alphabetical code from 0,
-    NULL -> -1 (H12). Distinct values are an aggregate; the code table is
-    broadcast only after its size is checked."""
+    NULL -> -1 (H12). Distinct values are an aggregate; their number is
+    checked before they are numbered and broadcast."""
     values = df.where(F.col(col).isNotNull()).select(col).distinct()
+    # The alphabetical numbering is one ordered pass over the distinct
+    # values, so their number is checked first (a category, not a key).
+    if values.limit(max_categories + 1).count() > max_categories:
+        raise ValueError(f"{col}: more than {max_categories} categories")
     codes = values.withColumn(out, (F.row_number().over(W.orderBy(col)) - 1).cast("int"))
-    codes = bounded_broadcast(codes, max_categories)
-    return df.join(codes, col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(-1)))
+    return df.join(F.broadcast(codes), col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(-1)))
 
 
 def cramers_v(df: DataFrame, a: str, b: str, scale: int = 6) -> DataFrame:

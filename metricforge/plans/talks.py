@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from metricforge.functions.numeric import dec_round, money, ratio
 from metricforge.operators.aggregates import topk
+from metricforge.operators.joins import bounded_broadcast
 from metricforge.plans.common import MONEY, R, RATIO, register, tables
 
 CARD_KEY = 7
@@ -31,7 +32,7 @@ def talks(spark: SparkSession, d: str) -> DataFrame:
     spk = t("customer").select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("occupation"))
     o = t("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderdate")
     return (o.join(spk, F.col("o_custkey") == F.col("c_custkey"))
-             .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
+             .join(bounded_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
 
 
 SQL_TALKS = """
@@ -151,7 +152,7 @@ def dashboard_card(spark: SparkSession, d: str, key: int = CARD_KEY) -> DataFram
                              F.col("c_mktsegment").alias("occupation"), "c_nationkey")
     n = t("nation").select("n_nationkey", F.col("n_name").alias("conference"))
     j = o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left").join(
-        F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        bounded_broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return j.select("o_orderkey", "o_totalprice", "o_orderpriority", "speaker", "occupation", "conference")
 
 

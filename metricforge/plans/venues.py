@@ -16,6 +16,7 @@ from metricforge.functions.text import contains_flag, normalize_text
 from metricforge.operators.aggregates import (
     describe, duplicate_rows, duplicate_summary, mode_by_group, topk, value_counts, with_share,
 )
+from metricforge.operators.joins import bounded_broadcast
 from metricforge.operators.outliers import box_stats as _box_stats
 from metricforge.operators.outliers import histogram
 from metricforge.operators.percentiles import with_quantiles
@@ -231,7 +232,7 @@ def center_vs_other(spark: SparkSession, d: str, centre: str = CENTRE) -> DataFr
     bill per label."""
     t = tables(spark, d)
     nation = t("nation").select("n_nationkey", (F.col("n_name") == centre).alias("is_center"))
-    j = t("customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = t("customer").join(bounded_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
     label = F.when(F.col("is_center"), F.lit("center")).otherwise(F.lit("other"))
     j = j.withColumn("district_group", label)
     g = j.groupBy("district_group").agg(F.count("c_acctbal").alias("n"),
