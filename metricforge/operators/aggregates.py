@@ -93,17 +93,16 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Long (column_name, value, n_distinct) over string-cast values."""
-    parts = []
+    """Long (column_name, value, n_distinct) over string-cast values.
+    Each column's distinct set is an aggregate; its size is a scalar
+    subquery over that set (no join on the constant column name)."""
+    out = None
     for x in cols:
-        vals = df.select(F.lit(x).alias("column_name"), F.col(x).cast("string").alias("value")) \
-                 .where(F.col("value").isNotNull()).distinct()
-        parts.append(vals)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    counts = out.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
-    return out.join(F.broadcast(counts), "column_name")
+        vals = df.select(F.col(x).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
+        part = vals.select(F.lit(x).alias("column_name"), "value",
+                           vals.agg(F.count(F.lit(1))).scalar().alias("n_distinct"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def wide_totals(df: DataFrame, cols: Sequence[str], how: str = "sum", scale: int = 2) -> DataFrame:

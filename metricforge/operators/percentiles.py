@@ -98,14 +98,24 @@ def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys:
     in_hi = (F.col("t.hi") >= F.col("__s")) & (F.col("t.hi") <= F.col("__e"))
     hits = (ranked.select(*gk, "__v", start.alias("__s"), end.alias("__e"), F.explode(F.array(*targets)).alias("t"))
                   .where(in_lo | in_hi))
-    per = hits.groupBy(*gk, F.col("t.i").alias("i")).agg(
-        F.max(F.when(in_lo, F.col("__v"))).alias("vl"), F.max(F.when(in_hi, F.col("__v"))).alias("vh"),
-        F.first("t.pos").alias("pos"), F.first("t.lo").alias("lo"), F.first("t.hi").alias("hi"))
-    # Same interpolation as Spark's exact percentile: (hi - pos) * vl + (pos - lo) * vh.
-    lo_pos, hi_pos = F.col("lo") - 1, F.col("hi") - 1
-    val = (F.when((F.col("lo") == F.col("hi")) | (F.col("vl") == F.col("vh")), F.col("vl"))
-            .otherwise((hi_pos - F.col("pos")) * F.col("vl") + (F.col("pos") - lo_pos) * F.col("vh")))
-    return per.groupBy(*gk).agg(*[F.max(F.when(F.col("i") == i, val)).alias(f"q{i}") for i in range(len(probs))])
+    # At most two hit rows per (group, probability): one aggregate picks the
+    # values at the two ranks, then the interpolation is a projection.
+    aggs = []
+    for i in range(len(probs)):
+        mine = F.col("t.i") == i
+        aggs += [F.max(F.when(mine & in_lo, F.col("__v"))).alias(f"vl{i}"),
+                 F.max(F.when(mine & in_hi, F.col("__v"))).alias(f"vh{i}"),
+                 F.max(F.when(mine, F.col("t.pos"))).alias(f"pos{i}"),
+                 F.max(F.when(mine, F.col("t.lo"))).alias(f"lo{i}"),
+                 F.max(F.when(mine, F.col("t.hi"))).alias(f"hi{i}")]
+    per = hits.groupBy(*gk).agg(*aggs)
+    outs = []
+    for i in range(len(probs)):
+        vl, vh, pos, lo, hi = (F.col(f"{x}{i}") for x in ("vl", "vh", "pos", "lo", "hi"))
+        # Same interpolation as Spark's exact percentile: (hi - pos) * vl + (pos - lo) * vh.
+        val = F.when((lo == hi) | (vl == vh), vl).otherwise(((hi - 1) - pos) * vl + (pos - (lo - 1)) * vh)
+        outs.append(val.alias(f"q{i}"))
+    return per.select(*gk, *outs)
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (),

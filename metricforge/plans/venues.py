@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricforge.functions.numeric import dec_round, money, pct
-from metricforge.functions.text import contains_flag, normalize_text
+from metricforge.functions.numeric import dec_round, money, pct, ratio
+from metricforge.functions.text import PY_WHITESPACE, contains_flag, normalize_text
 from metricforge.operators.aggregates import (
     describe, duplicate_rows, duplicate_summary, mode_by_group, topk, value_counts, with_share,
 )
@@ -28,9 +28,12 @@ CENTRE = "NATION_0"
 NEEDLE = "License"
 
 
+SQL_WHITESPACE = " || ".join(f"chr({ord(ch)})" for ch in PY_WHITESPACE)
+
+
 def SQL_NORM(expr: str) -> str:
-    """SQL twin of ``functions.text.normalize_text``."""
-    return f"replace(regexp_replace(lower({expr}), '^\\s+|\\s+$', '', 'g'), '  ', ' ')"
+    """SQL twin of ``functions.text.normalize_text`` (same whitespace set)."""
+    return f"replace(trim(lower({expr}), {SQL_WHITESPACE}), '  ', ' ')"
 
 
 @register("group_counts", """
@@ -50,6 +53,28 @@ def group_counts_in_group(spark: SparkSession, d: str, brand: str = "Brand#1") -
     return value_counts(p, "p_type").orderBy(F.desc("n"), "p_type")
 
 
+@register("district_counts", """
+SELECT n.n_name AS district, COUNT(*) AS n
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name
+""")
+def district_counts(spark: SparkSession, d: str) -> DataFrame:
+    """M2: venues per district (counted per district key, then named)."""
+    t = tables(spark, d)
+    per = value_counts(t("customer"), "c_nationkey")
+    nation = bounded_broadcast(t("nation").select("n_nationkey", F.col("n_name").alias("district")))
+    return (per.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+               .groupBy("district").agg(F.sum("n").cast("bigint").alias("n")).orderBy(F.desc("n"), "district"))
+
+
+@register("chain_counts", f"""
+SELECT CASE WHEN p_retailprice >= {CHAIN_MIN_PRICE} THEN 1 ELSE 0 END AS chain, COUNT(*) AS n
+FROM part WHERE p_retailprice IS NOT NULL GROUP BY 1
+""")
+def chain_counts(spark: SparkSession, d: str) -> DataFrame:
+    """M3: chain vs non-chain venue counts."""
+    return value_counts(_chain(tables(spark, d)("part")), "chain").orderBy(F.desc("n"))
+
+
 @register("share_pct", f"""
 SELECT p_type, COUNT(*) AS n, {PCT('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS pct
 FROM part WHERE p_type IS NOT NULL GROUP BY p_type
@@ -241,6 +266,21 @@ def center_vs_other(spark: SparkSession, d: str, centre: str = CENTRE) -> DataFr
     return g.withColumn("median_bill", dec_round("median_bill", 4))
 
 
+@register("bill_by_district", f"""
+SELECT n.n_name AS district, COUNT(c.c_acctbal) AS n, {R('AVG(c.c_acctbal)')} AS mean_bill
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name
+""")
+def bill_by_district(spark: SparkSession, d: str) -> DataFrame:
+    """M8: mean bill per district, highest first (sum and count per district
+    key, then named)."""
+    t = tables(spark, d)
+    per = t("customer").groupBy("c_nationkey").agg(F.sum("c_acctbal").alias("s"), F.count("c_acctbal").alias("n"))
+    nation = bounded_broadcast(t("nation").select("n_nationkey", F.col("n_name").alias("district")))
+    g = (per.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+            .groupBy("district").agg(F.sum("n").cast("bigint").alias("n"), F.sum("s").alias("s")))
+    return g.select("district", "n", dec_round(ratio("s", "n"), 2).alias("mean_bill")).orderBy(F.desc("mean_bill"))
+
+
 @register("contains_flag", f"""
 SELECT doc_id, COALESCE(contains(text, '{NEEDLE}'), FALSE) AS has_license FROM documents
 """)
