@@ -32,7 +32,9 @@ def coerce_date(x, fmt: str = "yyyy-MM-dd", pandas_range: bool = True) -> Column
 
 
 def midpoint(first, last) -> Column:
-    """``first + (last - first) / 2`` on timestamps (C19), microsecond exact."""
-    f = F.unix_micros(c(first).cast("timestamp"))
-    l = F.unix_micros(c(last).cast("timestamp"))
-    return F.timestamp_micros(f + F.floor((l - f) / 2)).cast("timestamp_ntz")
+    """``first + (last - first) / 2`` on wall-clock timestamps (C19),
+    microsecond exact and independent of the session time zone (no DST)."""
+    f = c(first).cast("timestamp_ntz")
+    l = c(last).cast("timestamp_ntz")
+    half = F.floor(F.timestamp_diff("MICROSECOND", f, l) / 2)
+    return F.timestamp_add("MICROSECOND", half, f)
