@@ -2,22 +2,26 @@ from metricforge.operators.aggregates import (
     value_counts, with_share, topk, mode_by_group, null_profile, duplicate_summary,
     duplicate_rows, distinct_values, wide_totals, describe,
 )
-from metricforge.operators.percentiles import Limit, pct_cont, pct_disc, pct_approx, limits_row, trim_percentile
+from metricforge.operators.percentiles import (
+    Limit, limit_scalars, limits_row, pct_approx, quantile_scalars, quantiles, quantiles_long, trim_percentile,
+    with_quantiles,
+)
 from metricforge.operators.outliers import (
     iqr_fences, flag_outliers, outlier_share, remove_outliers, box_stats, histogram,
 )
 from metricforge.operators.stats import safe_corr, corr_long, category_codes, cramers_v
 from metricforge.operators.retention import day_pairs, first_dates, retention
 from metricforge.operators.impute import fill_group_mean, drop_null, fill_const
-from metricforge.operators.joins import bounded_broadcast, one_row
+from metricforge.operators.joins import bounded_broadcast
 
 __all__ = [
     "value_counts", "with_share", "topk", "mode_by_group", "null_profile", "duplicate_summary",
     "duplicate_rows", "distinct_values", "wide_totals", "describe",
-    "Limit", "pct_cont", "pct_disc", "pct_approx", "limits_row", "trim_percentile",
+    "Limit", "limit_scalars", "limits_row", "pct_approx", "quantile_scalars", "quantiles", "quantiles_long",
+    "trim_percentile", "with_quantiles",
     "iqr_fences", "flag_outliers", "outlier_share", "remove_outliers", "box_stats", "histogram",
     "safe_corr", "corr_long", "category_codes", "cramers_v",
     "day_pairs", "first_dates", "retention",
     "fill_group_mean", "drop_null", "fill_const",
-    "bounded_broadcast", "one_row",
+    "bounded_broadcast",
 ]

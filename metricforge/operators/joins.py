@@ -21,8 +21,3 @@ DIM_MAX_ROWS = 1_000_000
 def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-def one_row(df: DataFrame) -> DataFrame:
-    """Mark a global aggregate (exactly one row) for broadcast."""
-    return F.broadcast(df)

@@ -15,9 +15,8 @@ values without holding any group in one task:
 5. keep only the rows whose interval holds a target rank and interpolate.
 
 The built-in ``percentile`` merges the full value -> count map of a group
-in one task, so its memory grows with the group; ``pct_cont`` /
-``pct_disc`` below remain for small inputs (tests, tiny dimensions).
-``percentile_approx`` is offered only as an explicit opt-in.
+in one task, so its memory grows with the group; no metric uses it.
+``percentile_approx`` is offered only as an explicit opt-in (``pct_approx``).
 """
 
 from __future__ import annotations
@@ -155,19 +154,6 @@ def quantile_scalars(df: DataFrame, value: str, probs: Sequence[float], kind: st
     return [q.select(f"q{i}").scalar() for i in range(len(probs))]
 
 
-def pct_cont(x, p: float) -> Column:
-    """``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY x)`` (linear interpolation)."""
-    return F.percentile(c(x), F.lit(p))
-
-
-def pct_disc(x, p: float) -> Column:
-    """``PERCENTILE_DISC(p) WITHIN GROUP (ORDER BY x)``: smallest value whose
-    cumulative share reaches ``p``."""
-    col = c(x)
-    name = col._jc.toString() if not isinstance(x, str) else x
-    return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {name})")
-
-
 def pct_approx(x, p: float, accuracy: int = 10000) -> Column:
     """Opt-in approximate percentile (bounded memory per group)."""
     return F.percentile_approx(c(x), F.lit(p), F.lit(accuracy))
