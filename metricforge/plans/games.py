@@ -60,6 +60,43 @@ def _null_sql(what: str) -> str:
     return f"WITH d AS ({SQL_DIRTY})\n" + "\nUNION ALL\n".join(parts)
 
 
+SPARK_TYPE_SQL = ("CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
+                  "WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(typeof({c})) END")
+LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("schema_profile", "\nUNION ALL\n".join(
+    f"SELECT '{x}' AS column_name, (SELECT {SPARK_TYPE_SQL.format(c=x)} FROM lineitem LIMIT 1) AS data_type, "
+    f"COUNT({x}) AS non_null FROM lineitem" for x in LINE_COLS))
+def schema_profile(spark: SparkSession, d: str) -> DataFrame:
+    """``df.info()`` - column, type and non-null count, in one pass (the
+    types come from the schema, the counts from one aggregate)."""
+    li = tables(spark, d)("lineitem").select(*LINE_COLS)
+    one = li.agg(*[F.count(x).alias(f"n_{i}") for i, x in enumerate(LINE_COLS)])
+    types = dict(li.dtypes)
+    rows = [F.struct(F.lit(x).alias("column_name"), F.lit(types[x]).alias("data_type"), F.col(f"n_{i}").alias("non_null"))
+            for i, x in enumerate(LINE_COLS)]
+    return one.select(F.inline(F.array(*rows)))
+
+
+@register("table_shape", f"""
+SELECT COUNT(*) AS n_rows, {len(LINE_COLS)} AS n_columns FROM lineitem
+""")
+def table_shape(spark: SparkSession, d: str) -> DataFrame:
+    """``df.shape``."""
+    li = tables(spark, d)("lineitem")
+    return li.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(len(li.columns)).alias("n_columns"))
+
+
+@register("preview_head", """
+SELECT * FROM orders ORDER BY o_orderkey LIMIT 5
+""")
+def preview_head(spark: SparkSession, d: str, n: int = 5) -> DataFrame:
+    """``df.head()`` with an explicit order (a top-n, no full sort)."""
+    return topk(tables(spark, d)("orders"), n, [F.col("o_orderkey").asc()])
+
+
 @register("null_profile", _null_sql("n"))
 def null_profile_q(spark: SparkSession, d: str) -> DataFrame:
     """Missing values per column, one pass, most missing first."""

@@ -139,6 +139,26 @@ def segment_class_summary(spark: SparkSession, d: str, low: int = 35, high: int
                 .select("rule", "class", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_markets")))
 
 
+@register("market_collapsed_counts", f"""
+WITH m AS ({SQL_MARKETS})
+SELECT CASE m.segment_type WHEN 'medium' THEN 'mid' WHEN 'niche' THEN 'niche' ELSE p.p_name END AS market,
+       COUNT(*) AS n_companies
+FROM part p LEFT JOIN m ON p.p_name = m.market
+WHERE p.p_name IS NOT NULL
+GROUP BY 1
+""")
+def market_collapsed_counts(spark: SparkSession, d: str, low: int = 35, high: int = 120) -> DataFrame:
+    """Every company gets its market's class by a many-to-one
+    left join (one row per market on the right), medium markets become
+    'mid' and niche markets 'niche', then companies per collapsed market."""
+    p = tables(spark, d)("part").where(F.col("p_name").isNotNull()).select(F.col("p_name").alias("market"))
+    cls = market_sizes(spark, d, low, high).select("market", "segment_type")
+    j = p.join(cls, "market", "left")
+    collapsed = (F.when(F.col("segment_type") == "medium", F.lit("mid"))
+                  .when(F.col("segment_type") == "niche", F.lit("niche")).otherwise(F.col("market")))
+    return value_counts(j.withColumn("market", collapsed), "market", "n_companies").orderBy(F.desc("n_companies"), "market")
+
+
 def order_rounds(spark: SparkSession, d: str) -> DataFrame:
     """One row per order with lines: rounds = number of lines, round size =
     total / rounds, funding year."""

@@ -34,3 +34,13 @@ def test_csv_comma_snake_headers(spark):
     df = normalize_headers(read_csv(spark, d, schema), snake=True)
     assert df.columns == ["name", "year_of_release", "eu_sales"]
     assert df.collect()[0]["year_of_release"] == 2001.0
+
+
+def test_write_table_roundtrip(spark, small_dir):
+    from metricforge.plans import QUERIES
+    from metricforge.sources.sinks import write_table
+    out = tempfile.mkdtemp(prefix="mf-sink-") + "/dau"
+    df = QUERIES["dau_purchase"](spark, small_dir)
+    write_table(df, out, partition_by=["log_date"])
+    back = spark.read.parquet(out)
+    assert back.count() == df.count()
