@@ -24,21 +24,39 @@ SCALE_CONF = {
 }
 
 
+def cluster_conf(total_cores: int) -> dict:
+    """Settings for a large cluster: many initial shuffle partitions (AQE
+    coalesces them to ~128 MB each at runtime, and splits skewed ones), so a
+    100 TB shuffle never lands in a few huge partitions."""
+    parts = max(2000, 3 * total_cores)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    }
+
+
 def build_session(master: str | None = None, cpus: int | None = None,
-                  app: str = "metricforge", extra: dict | None = None) -> SparkSession:
+                  app: str = "metricforge", extra: dict | None = None,
+                  cluster_cores: int | None = None) -> SparkSession:
     """Local or cluster session with the scale settings applied.
 
-    ``master`` defaults to ``local[cpus]`` (tests, bench); on a cluster pass
-    the cluster master or leave the builder to spark-submit.
+    Local (tests, bench): ``master`` defaults to ``local[cpus]``.
+    Cluster: pass ``cluster_cores`` (total executor cores); the master is
+    left to spark-submit unless given.
     """
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
     builder = SparkSession.builder.appName(app)
-    if master is None:
-        master = f"local[{cpus}]"
-    builder = builder.master(master)
     conf = dict(SCALE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(max(cpus * 2, 8))
-    conf["spark.driver.memory"] = "16g"
+    if cluster_cores:
+        conf.update(cluster_conf(cluster_cores))
+        if master:
+            builder = builder.master(master)
+    else:
+        builder = builder.master(master or f"local[{cpus}]")
+        conf["spark.sql.shuffle.partitions"] = str(max(cpus * 2, 8))
+        conf["spark.driver.memory"] = "16g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
