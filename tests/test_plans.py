@@ -21,3 +21,25 @@ def test_plan_shape(spark, name):
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     assert "percentile(" not in plan.lower()
+
+
+def _plan(spark, name):
+    df = E.queries()[name](spark, SMALL)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def test_date_window_reaches_scan(spark):
+    plan = _plan(spark, "dau_purchase")
+    assert "GreaterThanOrEqual(ts,2024-01-01T00:00)" in plan and "LessThan(ts,2024-01-31T00:00)" in plan
+    plan = _plan(spark, "monthly_avg_check")
+    assert "GreaterThanOrEqual(o_orderdate,1995-01-01T00:00)" in plan
+
+
+def test_scan_reads_only_needed_columns(spark):
+    plan = _plan(spark, "zero_share")
+    assert "ReadSchema: struct<l_discount:double>" in plan
+    plan = _plan(spark, "payer_share")
+    assert "ReadSchema: struct<c_custkey:bigint,c_acctbal:double>" in plan
