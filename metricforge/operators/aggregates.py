@@ -109,7 +109,8 @@ def wide_totals(df: DataFrame, cols: Sequence[str], how: str = "sum", scale: int
     """One aggregate over many columns, then unpivot to
     (measure, value, rank)."""
     if how == "sum":
-        aggs = [dec_round(F.sum(F.col(x).cast("decimal(18,2)")), scale).alias(x) for x in cols]
+        # pandas ``df[cols].sum()``: an all-NULL column sums to 0.
+        aggs = [dec_round(F.coalesce(F.sum(F.col(x).cast("decimal(18,2)")), F.lit(0)), scale).alias(x) for x in cols]
         vtype = "double"
     elif how == "positive":
         aggs = [F.count_if(F.col(x) > 0).alias(x) for x in cols]

@@ -57,8 +57,8 @@ g AS (
   FROM c)
 SELECT funding_group, COUNT(*) AS n_companies,
        {PCT('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS company_pct,
-       {R('SUM(funding_total)')} AS funding_total,
-       {PCT('SUM(funding_total)', 'SUM(SUM(funding_total)) OVER ()')} AS funding_pct
+       {R('COALESCE(SUM(funding_total), 0)')} AS funding_total,
+       {PCT('COALESCE(SUM(funding_total), 0)', 'SUM(COALESCE(SUM(funding_total), 0)) OVER ()')} AS funding_pct
 FROM g GROUP BY funding_group
 """)
 def term_groups(spark: SparkSession, d: str) -> DataFrame:
@@ -69,8 +69,9 @@ def term_groups(spark: SparkSession, d: str) -> DataFrame:
     dur = F.datediff("last_funding_at", "first_funding_at")
     grp = (F.when(F.col("funding_rounds") == 1, F.lit(TERM_GROUPS[0]))
             .when(dur <= 365, F.lit(TERM_GROUPS[1])).otherwise(F.lit(TERM_GROUPS[2])))
+    # pandas group sums: all-NULL money sums to 0.
     g = c.groupBy(grp.alias("funding_group")).agg(
-        F.count(F.lit(1)).alias("n_companies"), F.sum("funding_total").alias("s"))
+        F.count(F.lit(1)).alias("n_companies"), F.coalesce(F.sum("funding_total"), F.lit(0)).alias("s"))
     n_all = g.agg(F.sum("n_companies")).scalar()
     s_all = g.agg(F.sum("s")).scalar()
     out = g.select("funding_group", "n_companies", pct("n_companies", n_all).alias("company_pct"),
@@ -341,7 +342,7 @@ def growing_groups(spark: SparkSession, d: str, before: int = 1997, after: int =
 @register("return_ratio", f"""
 WITH inv AS (
   SELECT CAST(EXTRACT(YEAR FROM o.o_orderdate) AS INTEGER) AS year, l.l_returnflag AS type,
-         SUM({MONEY('l.l_extendedprice')}) AS investments
+         COALESCE(SUM({MONEY('l.l_extendedprice')}), 0) AS investments
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2),
 ret AS (
   SELECT CAST(EXTRACT(YEAR FROM l_shipdate) AS INTEGER) AS year, l_returnflag AS type,
@@ -362,7 +363,7 @@ def return_ratio(spark: SparkSession, d: str, eps: float = 1e-6) -> DataFrame:
     li = t("lineitem")
     inv = (li.join(t("orders").select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
              .groupBy(F.year("o_orderdate").alias("year"), F.col("l_returnflag").alias("type"))
-             .agg(F.sum(money("l_extendedprice")).alias("investments")))
+             .agg(F.coalesce(F.sum(money("l_extendedprice")), F.lit(0)).alias("investments")))  # H10
     ret = (li.groupBy(F.year("l_shipdate").alias("year"), F.col("l_returnflag").alias("type"))
              .agg(F.sum(money("l_extendedprice") * (F.lit(1) - money("l_discount"))).alias("returns")))
     j = ret.join(inv, ["year", "type"], "full_outer")
@@ -373,8 +374,10 @@ def return_ratio(spark: SparkSession, d: str, eps: float = 1e-6) -> DataFrame:
 
 
 @register("wide_sum_rank", f"""
-WITH t AS (SELECT {R('SUM(' + MONEY('l_quantity') + ')')} AS l_quantity, {R('SUM(' + MONEY('l_extendedprice') + ')')} AS l_extendedprice,
-                  {R('SUM(' + MONEY('l_discount') + ')')} AS l_discount, {R('SUM(' + MONEY('l_tax') + ')')} AS l_tax FROM lineitem),
+WITH t AS (SELECT {R('COALESCE(SUM(' + MONEY('l_quantity') + '), 0)')} AS l_quantity,
+                  {R('COALESCE(SUM(' + MONEY('l_extendedprice') + '), 0)')} AS l_extendedprice,
+                  {R('COALESCE(SUM(' + MONEY('l_discount') + '), 0)')} AS l_discount,
+                  {R('COALESCE(SUM(' + MONEY('l_tax') + '), 0)')} AS l_tax FROM lineitem),
 u AS (UNPIVOT t ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME measure VALUE value)
 SELECT measure, value, RANK() OVER (ORDER BY value DESC NULLS LAST) AS rank FROM u
 """)

@@ -151,3 +151,10 @@ def test_share_sums_to_100(spark):
     df = spark.createDataFrame([(k, n) for k, n in [("a", 1), ("b", 2), ("c", 3)]], "k string, n long")
     s = sum(col_values(with_share(df, "n", "pct"), "pct"))
     assert abs(s - 100.0) <= 0.01 * 3
+
+
+def test_pandas_sum_of_all_null_is_zero(spark):
+    from metricforge.operators.aggregates import wide_totals
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
+    out = {r["measure"]: r["value"] for r in wide_totals(df, ["a", "b"]).collect()}
+    assert out == {"a": 0.0, "b": 3.0}
