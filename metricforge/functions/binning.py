@@ -22,7 +22,8 @@ def _edge(e):
 
 
 def bucketize(x, edges: Sequence, labels: Sequence[str], right: bool = False,
-              include_lowest: bool = False, close_last: bool = False) -> Column:
+              include_lowest: bool = False, close_last: bool = False,
+              null_label: str | None = None) -> Column:
     if len(labels) != len(edges) - 1:
         raise ValueError("need len(edges) - 1 labels")
     v = c(x)
@@ -37,6 +38,10 @@ def bucketize(x, edges: Sequence, labels: Sequence[str], right: bool = False,
             upper_ok = (v <= hi) if (close_last and i == n - 1) else (v < hi)
             cond = (v >= lo) & upper_ok
         out = F.when(cond, F.lit(lab)) if out is None else out.when(cond, F.lit(lab))
+    if null_label is not None:
+        # The text promises a label for missing scores; the code leaves
+        # them NULL (default). With ``null_label`` NULL input gets the label.
+        out = F.when(v.isNull(), F.lit(null_label)).otherwise(out)
     return out
 
 

@@ -356,7 +356,7 @@ SELECT year, type, {R('returns')} AS returns, {R('investments')} AS investments,
        {R('CASE WHEN ratio <= 1 THEN ratio END', 6)} AS return_ratio
 FROM j
 """)
-def return_ratio(spark: SparkSession, d: str, eps: float = 1e-6) -> DataFrame:
+def return_ratio(spark: SparkSession, d: str, eps: float = 1e-6, returns_scale: float = 1.0) -> DataFrame:
     """Returns / (investments + eps) per (year, type),
     aligned with a full outer join (H30); ratios above 1 become NULL."""
     t = tables(spark, d)
@@ -367,7 +367,9 @@ def return_ratio(spark: SparkSession, d: str, eps: float = 1e-6) -> DataFrame:
     ret = (li.groupBy(F.year("l_shipdate").alias("year"), F.col("l_returnflag").alias("type"))
              .agg(F.sum(money("l_extendedprice") * (F.lit(1) - money("l_discount"))).alias("returns")))
     j = ret.join(inv, ["year", "type"], "full_outer")
-    r = ratio_eps("returns", "investments", eps)
+    # H9: the source divides returns (millions) by dollars without conversion;
+    # ``returns_scale`` applies a unit factor to the returns side if wanted.
+    r = ratio_eps(F.col("returns") * F.lit(returns_scale) if returns_scale != 1.0 else "returns", "investments", eps)
     return j.select("year", "type", dec_round("returns", 2).alias("returns"),
                     dec_round("investments", 2).alias("investments"),
                     dec_round(F.when(r <= 1, r), 6).alias("return_ratio"))

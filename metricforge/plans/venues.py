@@ -236,10 +236,13 @@ FROM g LEFT JOIN m ON g.p_name = m.p_name AND m.rn = 1
 ORDER BY g.count_places DESC, g.p_name
 LIMIT 15
 """)
-def top15_names(spark: SparkSession, d: str, k: int = 15) -> DataFrame:
+def top15_names(spark: SparkSession, d: str, k: int = 15, chain_only: bool = False) -> DataFrame:
     """Top names by venue count with mean rating and modal
-    category (ties -> smallest). All venues with the name count (H20)."""
+    category (ties -> smallest). All venues with the name count (H20);
+    ``chain_only`` restricts to chain venues."""
     p = tables(spark, d)("part")
+    if chain_only:
+        p = _chain(p).where(F.col("chain") == 1)
     g = p.groupBy("p_name").agg(F.count(F.lit(1)).alias("count_places"),
                                 dec_round(F.avg("p_retailprice"), 2).alias("avg_price"))
     m = mode_by_group(p, ["p_name"], "p_type", "category")

@@ -158,3 +158,9 @@ def test_pandas_sum_of_all_null_is_zero(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
     out = {r["measure"]: r["value"] for r in wide_totals(df, ["a", "b"]).collect()}
     assert out == {"a": 0.0, "b": 3.0}
+
+
+def test_bucket_null_label(spark):
+    df = spark.createDataFrame([(0, None), (1, 5.0)], "i int, v double")
+    out = df.select("i", bucketize("v", [0, 3, 8], ["low", "mid"], null_label="no_rating").alias("b")).orderBy("i")
+    assert col_values(out, "b") == ["no_rating", "mid"]
