@@ -361,9 +361,11 @@ def return_ratio(spark: SparkSession, d: str, eps: float = 1e-6, returns_scale:
     aligned with a full outer join (H30); ratios above 1 become NULL."""
     t = tables(spark, d)
     li = t("lineitem")
-    inv = (li.join(t("orders").select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # Lines reduced per (order, type) before the order join.
+    per_order = li.groupBy("l_orderkey", "l_returnflag").agg(F.sum(money("l_extendedprice")).alias("s"))
+    inv = (per_order.join(t("orders").select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
              .groupBy(F.year("o_orderdate").alias("year"), F.col("l_returnflag").alias("type"))
-             .agg(F.coalesce(F.sum(money("l_extendedprice")), F.lit(0)).alias("investments")))  # H10
+             .agg(F.coalesce(F.sum("s"), F.lit(0)).alias("investments")))  # H10
     ret = (li.groupBy(F.year("l_shipdate").alias("year"), F.col("l_returnflag").alias("type"))
              .agg(F.sum(money("l_extendedprice") * (F.lit(1) - money("l_discount"))).alias("returns")))
     j = ret.join(inv, ["year", "type"], "full_outer")
