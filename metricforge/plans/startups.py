@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricforge.functions.binning import bucketize, classify_size
-from metricforge.functions.numeric import dec_round, money, pct, ratio, ratio_eps
+from metricforge.functions.numeric import dec_round, money, pct, ratio_eps
 from metricforge.operators.aggregates import topk, value_counts, wide_totals
 from metricforge.operators.outliers import flag_outliers, outlier_share
 from metricforge.operators.percentiles import with_quantiles

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricforge.functions.numeric import dec_round, money, pct, ratio
+from metricforge.functions.numeric import dec_round, money, ratio
 from metricforge.functions.text import PY_WHITESPACE, contains_flag, normalize_text
 from metricforge.operators.aggregates import (
     describe, duplicate_rows, duplicate_summary, mode_by_group, topk, value_counts, with_share,
@@ -21,7 +21,7 @@ from metricforge.operators.outliers import box_stats as _box_stats
 from metricforge.operators.outliers import histogram
 from metricforge.operators.percentiles import with_quantiles
 from metricforge.operators.stats import category_codes, corr_long, cramers_v as _cramers_v
-from metricforge.plans.common import MONEY, PCT, R, RATIO, register, tables
+from metricforge.plans.common import MONEY, PCT, R, register, tables
 
 CHAIN_MIN_PRICE = 950
 CENTRE = "NATION_0"
