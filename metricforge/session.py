@@ -79,7 +79,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
-    # Unset: only in local tests. A fresh scratch folder per session.
+    # Unset: acceptable only in local mode (tests, bench) - a fresh scratch
+    # folder per session. On a cluster a machine-local folder would lose
+    # checkpoints with the executor, so the shared folder must be configured.
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: configure a shared folder for checkpoints")
     local = tempfile.mkdtemp(prefix="mf-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
