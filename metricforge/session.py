@@ -73,7 +73,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     as is. Only when it is unset (local tests) a fresh scratch folder is
     created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no driver context
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            raise RuntimeError("spark.checkpoint.dir is not set: configure a shared folder for checkpoints")
+        return current
     current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
         if not sc.getCheckpointDir():
