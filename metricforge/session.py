@@ -20,6 +20,9 @@ SCALE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Remove checkpoint files once their frames are garbage-collected, so the
+    # shared folder does not grow with every metric run.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
