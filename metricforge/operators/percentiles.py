@@ -47,6 +47,25 @@ def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def ranged_counts(df: DataFrame, values: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """(keys..., "__m", "__v", "__c", "__pid"): distinct values with their
+    counts (map-side combined), range-partitioned by (keys, column, value)
+    so a hot group spreads over many partitions, with the partition id.
+
+    The partition id is read twice downstream (offsets, running counts) and
+    range bounds come from sampling, so it is pinned once: an eager
+    checkpoint in the shared checkpoint folder (which also cuts lineage)."""
+    keys = list(keys)
+    gk = keys + ["__m"]
+    long = df.select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(v).alias("__m"), F.col(v).cast("double").alias("__v")) for v in values])))
+    counts = (long.where(F.col("__v").isNotNull()).groupBy(*gk, "__v")
+                  .agg(F.count(F.lit(1)).alias("__c")))
+    checkpoint_dir(df.sparkSession)
+    return (counts.repartitionByRange(*gk, "__v").withColumn("__pid", F.spark_partition_id())
+            .checkpoint(eager=True))
+
+
 def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys: Sequence[str] = (),
                    kind: str = "cont") -> DataFrame:
     """Exact quantiles of several columns in one distributed pass ->
@@ -61,16 +80,7 @@ def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys:
     keys = list(keys)
     gk = keys + ["__m"]
     probs = [p if isinstance(p, tuple) else (p, kind) for p in probs]
-    long = df.select(*keys, F.inline(F.array(*[
-        F.struct(F.lit(v).alias("__m"), F.col(v).cast("double").alias("__v")) for v in values])))
-    counts = (long.where(F.col("__v").isNotNull()).groupBy(*gk, "__v")
-                  .agg(F.count(F.lit(1)).alias("__c")))
-    # The partition id is read twice (offsets, running counts). Range bounds
-    # come from sampling, so the ids are pinned once: an eager checkpoint
-    # in the shared checkpoint folder (also cuts the lineage).
-    checkpoint_dir(df.sparkSession)
-    ranged = (counts.repartitionByRange(*gk, "__v").withColumn("__pid", F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = ranged_counts(df, values, keys)
     totals = ranged.groupBy("__pid", *gk).agg(F.sum("__c").alias("__t"))
     before = W.partitionBy(*gk).orderBy("__pid").rowsBetween(W.unboundedPreceding, -1)
     offsets = (totals.withColumn("__off", F.coalesce(F.sum("__t").over(before), F.lit(0)))

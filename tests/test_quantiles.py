@@ -53,3 +53,24 @@ def test_trim_keeps_nulls_and_is_strict(spark):
     # a: p99 cont of 1..100 = 99.01 -> a < 99.01 keeps 1..99; b: disc p99 of non-null
     # values (90 of them) = 99 -> b < 99 or NULL drops 99 only.
     assert sorted(r["a"] for r in kept.collect()) == [float(i) for i in range(1, 99)]
+
+
+def test_hot_group_is_split_across_partitions(spark):
+    """One group holds ~90 % of the rows: its distinct values are spread over
+    several range partitions, so no single task holds the whole group."""
+    from metricforge.operators.percentiles import ranged_counts
+    rows = [("hot", float(i)) for i in range(20000)] + [(f"g{i % 50}", float(i)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    # At test size AQE would merge the small range partitions (it only keeps
+    # partitions apart once they reach the advisory size); switch that off
+    # to look at the split itself.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        r = ranged_counts(df, ["v"], ["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    pids = {row["__pid"] for row in r.where(F.col("k") == "hot").select("__pid").distinct().collect()}
+    assert len(pids) > 1
+    # and the exact answer is unchanged
+    q = quantiles(df, "v", [0.5], ["k"]).where(F.col("k") == "hot").collect()[0]["q0"]
+    assert q == 9999.5
