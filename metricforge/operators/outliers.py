@@ -35,11 +35,12 @@ def flag_outliers(df: DataFrame, keys: Sequence[str], value: str, k: float,
 
 def outlier_share(df: DataFrame, keys: Sequence[str], value: str, k: float = 3.0,
                   fill_zero: bool = False, scale: int = 4) -> DataFrame:
-    """Per group outlier count and share of rows.
-    A group without outliers has NULL count and share (H8) unless ``fill_zero``."""
+    """Per group outlier count and share of the group's non-null
+    values (``groupby[value].count()``). A group without outliers has NULL
+    count and share (H8) unless ``fill_zero``."""
     flagged = flag_outliers(df, keys, value, k)
     g = flagged.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.col(value)).alias("n_rows"),
         F.count_if(F.col("is_outlier")).alias("__out"))
     n_out = F.col("__out") if fill_zero else F.when(F.col("__out") > 0, F.col("__out"))
     return (g.withColumn("n_outliers", n_out.cast("bigint"))

@@ -196,7 +196,7 @@ FROM r JOIN f ON r.market = f.market
 
 
 @register("iqr_outlier_share", f"""
-WITH g AS (SELECT market, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE is_outlier) AS n_out
+WITH g AS (SELECT market, COUNT(round_size) AS n_rows, COUNT(*) FILTER (WHERE is_outlier) AS n_out
            FROM ({_sql_flagged(3.0)}) x GROUP BY market)
 SELECT market, n_rows, CASE WHEN n_out > 0 THEN n_out END AS n_outliers,
        {R(RATIO('CASE WHEN n_out > 0 THEN n_out END', 'n_rows'), 4)} AS outlier_share
