@@ -164,3 +164,24 @@ def test_bucket_null_label(spark):
     df = spark.createDataFrame([(0, None), (1, 5.0)], "i int, v double")
     out = df.select("i", bucketize("v", [0, 3, 8], ["low", "mid"], null_label="no_rating").alias("b")).orderBy("i")
     assert col_values(out, "b") == ["no_rating", "mid"]
+
+
+def test_retention_pair_semantics(spark):
+    """New users are distinct (first_date, user) pairs; a user with two
+    first dates joins twice, and retained users are counted distinct."""
+    d0 = dt.date(2024, 1, 1)
+    n = spark.createDataFrame([(1, d0), (1, d0 + dt.timedelta(days=1)), (2, d0)], "user_id int, first_date date")
+    a = spark.createDataFrame([(1, d0 + dt.timedelta(days=1)), (2, d0), (1, d0)], "user_id int, log_date date")
+    out = {r["day_since_install"]: r["retained_users"] for r in retention(n, a, 7).collect()}
+    # day 0: user 2 (d0), user 1 via d0 and via d1 -> distinct 2; day 1: user 1 via d0
+    assert out == {0: 2, 1: 1}
+
+
+def test_term_group_missing_duration(spark):
+    """H6: more than one round with a missing duration is 'over_year'."""
+    from metricforge.plans.startups import TERM_GROUPS
+    rows = [(1, 0), (2, 365), (2, 366), (2, None)]
+    df = spark.createDataFrame(rows, "rounds int, dur int")
+    grp = (F.when(F.col("rounds") == 1, F.lit(TERM_GROUPS[0]))
+            .when(F.col("dur") <= 365, F.lit(TERM_GROUPS[1])).otherwise(F.lit(TERM_GROUPS[2])))
+    assert col_values(df.select(grp.alias("g")), "g") == ["single", "up_to_year", "over_year", "over_year"]
