@@ -36,6 +36,15 @@ def _labels(spark: SparkSession, labels: list[str], name: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
+def funding_group(rounds, duration_days):
+    """One round -> single; duration <= 365 days -> up to a year;
+    otherwise (including a missing duration, H6) -> over a year."""
+    r = F.col(rounds) if isinstance(rounds, str) else rounds
+    dur = F.col(duration_days) if isinstance(duration_days, str) else duration_days
+    return (F.when(r == 1, F.lit(TERM_GROUPS[0]))
+             .when(dur <= 365, F.lit(TERM_GROUPS[1])).otherwise(F.lit(TERM_GROUPS[2])))
+
+
 def companies(spark: SparkSession, d: str) -> DataFrame:
     o = tables(spark, d)("orders")
     return o.groupBy("o_custkey", "o_orderpriority").agg(
@@ -66,9 +75,7 @@ def term_groups(spark: SparkSession, d: str) -> DataFrame:
     money, in the listed label order. A missing duration with more than one
     round falls to the last branch (H6)."""
     c = companies(spark, d)
-    dur = F.datediff("last_funding_at", "first_funding_at")
-    grp = (F.when(F.col("funding_rounds") == 1, F.lit(TERM_GROUPS[0]))
-            .when(dur <= 365, F.lit(TERM_GROUPS[1])).otherwise(F.lit(TERM_GROUPS[2])))
+    grp = funding_group("funding_rounds", F.datediff("last_funding_at", "first_funding_at"))
     # pandas group sums: all-NULL money sums to 0.
     g = c.groupBy(grp.alias("funding_group")).agg(
         F.count(F.lit(1)).alias("n_companies"), F.coalesce(F.sum("funding_total"), F.lit(0)).alias("s"))

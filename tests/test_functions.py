@@ -179,9 +179,7 @@ def test_retention_pair_semantics(spark):
 
 def test_term_group_missing_duration(spark):
     """H6: more than one round with a missing duration is 'over_year'."""
-    from metricforge.plans.startups import TERM_GROUPS
+    from metricforge.plans.startups import funding_group
     rows = [(1, 0), (2, 365), (2, 366), (2, None)]
     df = spark.createDataFrame(rows, "rounds int, dur int")
-    grp = (F.when(F.col("rounds") == 1, F.lit(TERM_GROUPS[0]))
-            .when(F.col("dur") <= 365, F.lit(TERM_GROUPS[1])).otherwise(F.lit(TERM_GROUPS[2])))
-    assert col_values(df.select(grp.alias("g")), "g") == ["single", "up_to_year", "over_year", "over_year"]
+    assert col_values(df.select(funding_group("rounds", "dur").alias("g")), "g") == ["single", "up_to_year", "over_year", "over_year"]
