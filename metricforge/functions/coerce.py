@@ -18,8 +18,13 @@ PANDAS_MIN_DATE = "1677-09-22"
 PANDAS_MAX_DATE = "2262-04-11"
 
 
-def coerce_numeric(x) -> Column:
-    v = F.trim(c(x).cast("string")).try_cast("double")
+def coerce_numeric(x, thousands: str | None = None) -> Column:
+    """Text -> double, bad text -> NULL, NaN -> NULL. ``thousands``: a
+    separator removed first (``'1,000'`` -> 1000; the start-up amounts)."""
+    s = c(x).cast("string")
+    if thousands:
+        s = F.replace(s, F.lit(thousands), F.lit(""))
+    v = F.trim(s).try_cast("double")
     return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
 
 

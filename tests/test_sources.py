@@ -20,7 +20,7 @@ def test_csv_semicolon_dirty_headers(spark):
     df = normalize_headers(df, snake=False)
     assert df.columns == ["name", "market", "funding_total_usd"]
     from pyspark.sql import functions as F
-    vals = [r[0] for r in df.select(coerce_numeric(F.regexp_replace("funding_total_usd", ",", ""))).collect()]
+    vals = [r[0] for r in df.select(coerce_numeric("funding_total_usd", thousands=",")).collect()]
     assert vals == [1000.0, None]
 
 
