@@ -1,5 +1,5 @@
-from metricforge.sources.tables import TABLES, load, loader
+from metricforge.sources.tables import TABLES, load, loader, register_views
 from metricforge.sources.files import read_csv, read_jdbc, normalize_headers
 from metricforge.sources.sinks import write_table
 
-__all__ = ["TABLES", "load", "loader", "read_csv", "read_jdbc", "normalize_headers", "write_table"]
+__all__ = ["TABLES", "load", "loader", "register_views", "read_csv", "read_jdbc", "normalize_headers", "write_table"]

@@ -24,6 +24,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Register every table as a temporary view, so SQL users can run
+    ``spark.sql(...)`` over the same scans (pushdown and pruning apply)."""
+    for name in TABLES:
+        load(spark, sf_dir, name).createOrReplaceTempView(name)
+    return list(TABLES)
+
+
 def loader(spark: SparkSession, sf_dir: str):
     """``t = loader(spark, d); t("orders")``."""
     return partial(load, spark, sf_dir)
