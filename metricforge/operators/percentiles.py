@@ -9,9 +9,11 @@ values without holding any group in one task:
    many partitions by value range, balanced by Spark's sampled bounds; the
    partition id is pinned by a checkpoint, since it is read twice;
 3. per (partition, key) totals -> running offsets (a window over at most
-   partitions x groups rows);
-4. running counts inside each (partition, key) range give every distinct
-   value its rank interval [start, end];
+   partitions x groups rows), which locate the one or two blocks holding
+   each target rank;
+4. only those blocks are read again: running counts inside them give each
+   distinct value its rank interval [start, end] (the rest of the data is
+   not shuffled a second time);
 5. keep only the rows whose interval holds a target rank and interpolate.
 
 The built-in ``percentile`` merges the full value -> count map of a group
@@ -81,15 +83,12 @@ def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys:
     gk = keys + ["__m"]
     probs = [p if isinstance(p, tuple) else (p, kind) for p in probs]
     ranged = ranged_counts(df, values, keys)
+    # Per (partition, group) block: row count, rows before it in the group
+    # (offset) and the group size. At most partitions x groups rows.
     totals = ranged.groupBy("__pid", *gk).agg(F.sum("__c").alias("__t"))
     before = W.partitionBy(*gk).orderBy("__pid").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (totals.withColumn("__off", F.coalesce(F.sum("__t").over(before), F.lit(0)))
-                     .withColumn("__n", F.sum("__t").over(W.partitionBy(*gk))))
-    inside = W.partitionBy("__pid", *gk).orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = _join_keys(ranged.withColumn("__cum", F.sum("__c").over(inside)),
-                        offsets.select("__pid", *gk, "__off", "__n"), ["__pid", *gk])
-    end = F.col("__off") + F.col("__cum")
-    start = end - F.col("__c") + 1
+    blocks = (totals.withColumn("__off", F.coalesce(F.sum("__t").over(before), F.lit(0)))
+                    .withColumn("__n", F.sum("__t").over(W.partitionBy(*gk))))
     targets = []
     for i, (p, kind) in enumerate(probs):
         n = F.col("__n")
@@ -103,20 +102,30 @@ def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys:
             raise ValueError(kind)
         targets.append(F.struct(F.lit(i).alias("i"), lo.cast("bigint").alias("lo"),
                                 hi.cast("bigint").alias("hi"), pos.alias("pos")))
-    in_lo = (F.col("t.lo") >= F.col("__s")) & (F.col("t.lo") <= F.col("__e"))
-    in_hi = (F.col("t.hi") >= F.col("__s")) & (F.col("t.hi") <= F.col("__e"))
-    hits = (ranked.select(*gk, "__v", start.alias("__s"), end.alias("__e"), F.explode(F.array(*targets)).alias("t"))
-                  .where(in_lo | in_hi))
+    first, last = F.col("__off") + 1, F.col("__off") + F.col("__t")
+    # The target ranks of each group fall into at most two blocks per
+    # probability: only those blocks are read again.
+    tgt = (blocks.select("__pid", *gk, "__off", F.explode(F.array(*targets)).alias("t"))
+                 .where(F.col("t.lo").between(first, last) | F.col("t.hi").between(first, last))
+                 .select("__pid", *gk, "__off", "t.i", "t.lo", "t.hi", "t.pos"))
+    wanted = _join_keys(ranged, tgt.select("__pid", *gk).distinct(), ["__pid", *gk], "left_semi")
+    inside = W.partitionBy("__pid", *gk).orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = _join_keys(wanted.withColumn("__cum", F.sum("__c").over(inside)), tgt, ["__pid", *gk])
+    end = F.col("__off") + F.col("__cum")
+    start = end - F.col("__c") + 1
+    in_lo = (F.col("lo") >= start) & (F.col("lo") <= end)
+    in_hi = (F.col("hi") >= start) & (F.col("hi") <= end)
+    hits = ranked.where(in_lo | in_hi)
     # At most two hit rows per (group, probability): one aggregate picks the
     # values at the two ranks, then the interpolation is a projection.
     aggs = []
     for i in range(len(probs)):
-        mine = F.col("t.i") == i
+        mine = F.col("i") == i
         aggs += [F.max(F.when(mine & in_lo, F.col("__v"))).alias(f"vl{i}"),
                  F.max(F.when(mine & in_hi, F.col("__v"))).alias(f"vh{i}"),
-                 F.max(F.when(mine, F.col("t.pos"))).alias(f"pos{i}"),
-                 F.max(F.when(mine, F.col("t.lo"))).alias(f"lo{i}"),
-                 F.max(F.when(mine, F.col("t.hi"))).alias(f"hi{i}")]
+                 F.max(F.when(mine, F.col("pos"))).alias(f"pos{i}"),
+                 F.max(F.when(mine, F.col("lo"))).alias(f"lo{i}"),
+                 F.max(F.when(mine, F.col("hi"))).alias(f"hi{i}")]
     per = hits.groupBy(*gk).agg(*aggs)
     outs = []
     for i in range(len(probs)):

@@ -24,9 +24,25 @@ def _data(spark, seed):
     return spark.createDataFrame(rows, "k string, v double")
 
 
+@pytest.fixture(params=["coalesced", "many_blocks"])
+def layout(spark, request):
+    """``many_blocks``: AQE coalescing off and 23 range partitions, so
+    groups span many blocks and the two ranks of an interpolation can sit
+    in different blocks (offsets and block selection are exercised)."""
+    if request.param == "many_blocks":
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", "23")
+        yield request.param
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    else:
+        yield request.param
+
+
 @pytest.mark.parametrize("kind", ["cont", "disc"])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_matches_builtin(spark, kind, seed):
+def test_matches_builtin(spark, layout, kind, seed):
     df = _data(spark, seed)
     fn = "percentile_cont" if kind == "cont" else "percentile_disc"
     exprs = [F.expr(f"{fn}({p}) WITHIN GROUP (ORDER BY v)").alias(f"q{i}") for i, p in enumerate(PROBS)]
