@@ -108,7 +108,7 @@ def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys:
     tgt = (blocks.select("__pid", *gk, "__off", F.explode(F.array(*targets)).alias("t"))
                  .where(F.col("t.lo").between(first, last) | F.col("t.hi").between(first, last))
                  .select("__pid", *gk, "__off", "t.i", "t.lo", "t.hi", "t.pos"))
-    wanted = _join_keys(ranged, tgt.select("__pid", *gk).distinct(), ["__pid", *gk], "left_semi")
+    wanted = _join_keys(ranged, tgt.select("__pid", *gk), ["__pid", *gk], "left_semi")
     inside = W.partitionBy("__pid", *gk).orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = _join_keys(wanted.withColumn("__cum", F.sum("__c").over(inside)), tgt, ["__pid", *gk])
     end = F.col("__off") + F.col("__cum")
