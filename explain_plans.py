@@ -45,7 +45,7 @@ def main() -> None:
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             df.explain("formatted")
-        doc = (QUERIES[name].__doc__ or "").strip().splitlines()[0]
+        doc = " ".join(line.strip() for line in (QUERIES[name].__doc__ or "").strip().splitlines())
         parts.append(f"## {name}\n\n{doc}\n\n```\n" + "\n".join(key_lines(buf.getvalue())) + "\n```\n")
     with open(os.path.join(os.path.dirname(os.path.abspath(__file__)), "PLANS.md"), "w") as f:
         f.write("\n".join(parts))
