@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricforge.functions.binning import bucketize, classify_size
+from metricforge.functions.coerce import coerce_date, coerce_numeric, midpoint
 from metricforge.functions.numeric import dec_round, money, pct, ratio_eps
 from metricforge.operators.aggregates import topk, value_counts, wide_totals
 from metricforge.operators.outliers import flag_outliers, outlier_share
 from metricforge.operators.percentiles import with_quantiles
 from metricforge.plans.common import MONEY, PCT, R, RATIO, register, tables
 from metricforge.session import materialize
+from metricforge.sources.files import normalize_headers
 
 # Fixed labels (ASCII output names).
 TERM_GROUPS = ["single", "up_to_year", "over_year"]
@@ -406,3 +408,77 @@ SELECT measure, value, RANK() OVER (ORDER BY value DESC NULLS LAST) AS rank FROM
 def wide_positive_rank(spark: SparkSession, d: str) -> DataFrame:
     """Rows with a positive value per measure column, ranked."""
     return wide_totals(tables(spark, d)("lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "positive")
+
+
+def raw_companies(spark: SparkSession, d: str) -> DataFrame:
+    """The start-up export as it arrives: headers with trailing blanks, the
+    amount as text with thousands separators (and junk), dates as text
+    (junk and out-of-range values), missing categories. Built from orders,
+    with first/last funding dates from the order's ship dates."""
+    t = tables(spark, d)
+    o = t("orders")
+    k = F.col("o_orderkey")
+    s = t("lineitem").groupBy("l_orderkey").agg(F.min("l_shipdate").alias("f"), F.max("l_shipdate").alias("l"))
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    j = o.join(s, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return j.select(
+        F.col("o_custkey").alias("name"),
+        F.when(k % 9 != 0, F.col("o_orderpriority")).alias("market "),
+        F.col("o_orderstatus").alias("status"),
+        F.when(k % 13 == 0, F.lit("n/a")).otherwise(F.format_number(F.floor("o_totalprice"), 0)).alias("funding_total_usd "),
+        F.when(k % 11 == 0, F.lit("0020-06-14")).when(k % 7 == 0, F.lit("bad")).otherwise(day("o_orderdate")).alias("founded_at"),
+        day("f").alias("first_funding_at"), day("l").alias("last_funding_at"),
+        F.when(k % 3 != 0, day("o_orderdate")).alias("mid_funding_at"))
+
+
+DATE_COLS = ["founded_at", "first_funding_at", "mid_funding_at", "last_funding_at"]
+
+
+def _sql_date(x: str) -> str:
+    return (f"CASE WHEN CAST(TRY_STRPTIME(trim({x}), '%Y-%m-%d') AS DATE) BETWEEN DATE '1677-09-22' AND DATE '2262-04-11' "
+            f"THEN CAST(TRY_STRPTIME(trim({x}), '%Y-%m-%d') AS DATE) END")
+
+
+@register("clean_companies", f"""
+WITH s AS (SELECT l_orderkey, MIN(l_shipdate) AS f, MAX(l_shipdate) AS l FROM lineitem GROUP BY l_orderkey),
+raw AS (
+  SELECT o.o_custkey AS name, CASE WHEN o.o_orderkey % 9 <> 0 THEN o.o_orderpriority END AS market,
+         o.o_orderstatus AS status,
+         CASE WHEN o.o_orderkey % 13 = 0 THEN 'n/a' ELSE format('{{:,}}', CAST(FLOOR(o.o_totalprice) AS BIGINT)) END AS funding_total_usd,
+         CASE WHEN o.o_orderkey % 11 = 0 THEN '0020-06-14' WHEN o.o_orderkey % 7 = 0 THEN 'bad'
+              ELSE strftime(o.o_orderdate, '%Y-%m-%d') END AS founded_at,
+         strftime(s.f, '%Y-%m-%d') AS first_funding_at, strftime(s.l, '%Y-%m-%d') AS last_funding_at,
+         CASE WHEN o.o_orderkey % 3 <> 0 THEN strftime(o.o_orderdate, '%Y-%m-%d') END AS mid_funding_at
+  FROM orders o LEFT JOIN s ON o.o_orderkey = s.l_orderkey),
+typed AS (
+  SELECT name, COALESCE(market, 'unknown') AS market, status,
+         (CASE WHEN isnan(TRY_CAST(trim(replace(funding_total_usd, ',', '')) AS DOUBLE)) THEN NULL
+               ELSE TRY_CAST(trim(replace(funding_total_usd, ',', '')) AS DOUBLE) END) AS funding_total_usd,
+         {_sql_date('founded_at')} AS founded_at, {_sql_date('first_funding_at')} AS first_funding_at,
+         {_sql_date('mid_funding_at')} AS mid_funding_at, {_sql_date('last_funding_at')} AS last_funding_at
+  FROM raw),
+kept AS (SELECT DISTINCT * FROM typed)
+SELECT name, market, status, funding_total_usd, founded_at, first_funding_at, last_funding_at,
+       COALESCE(CAST(mid_funding_at AS TIMESTAMP),
+                make_timestamp(epoch_us(CAST(first_funding_at AS TIMESTAMP))
+                               + (epoch_us(CAST(last_funding_at AS TIMESTAMP)) - epoch_us(CAST(first_funding_at AS TIMESTAMP))) // 2))
+         AS mid_funding_at
+FROM kept WHERE funding_total_usd IS NOT NULL
+""")
+def clean_companies(spark: SparkSession, d: str) -> DataFrame:
+    """M22 end to end, in the source's order: strip header blanks (P7, H25),
+    remove thousands separators and coerce the amount (C3, C8), coerce the
+    four date columns with the pandas range (C9, H17), fill missing
+    categories with 'unknown' (C6), drop full duplicates (U3), drop rows
+    without an amount (F10), fill the middle funding date with the midpoint
+    of first and last (C7, C19)."""
+    df = normalize_headers(raw_companies(spark, d), snake=False)
+    df = df.withColumn("funding_total_usd", coerce_numeric("funding_total_usd", thousands=","))
+    for x in DATE_COLS:
+        df = df.withColumn(x, coerce_date(x))
+    df = df.na.fill({"market": "unknown"})
+    df = df.dropDuplicates()
+    df = df.na.drop(subset=["funding_total_usd"])
+    mid = F.coalesce(F.col("mid_funding_at").cast("timestamp_ntz"), midpoint("first_funding_at", "last_funding_at"))
+    return df.select("name", "market", "status", "funding_total_usd", "founded_at", "first_funding_at",
+                     "last_funding_at", mid.alias("mid_funding_at"))
