@@ -10,7 +10,7 @@ from metricforge.operators.outliers import (
     iqr_fences, flag_outliers, outlier_share, remove_outliers, box_stats, histogram,
 )
 from metricforge.operators.stats import safe_corr, corr_long, category_codes, cramers_v
-from metricforge.operators.retention import day_pairs, first_dates, retention
+from metricforge.operators.retention import day_pairs, first_dates, retention, retention_from_activity
 from metricforge.operators.impute import fill_group_mean, drop_null, fill_const
 from metricforge.operators.joins import bounded_broadcast
 
@@ -21,7 +21,7 @@ __all__ = [
     "trim_percentile", "with_quantiles",
     "iqr_fences", "flag_outliers", "outlier_share", "remove_outliers", "box_stats", "histogram",
     "safe_corr", "corr_long", "category_codes", "cramers_v",
-    "day_pairs", "first_dates", "retention",
+    "day_pairs", "first_dates", "retention", "retention_from_activity",
     "fill_group_mean", "drop_null", "fill_const",
     "bounded_broadcast",
 ]

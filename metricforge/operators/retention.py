@@ -62,3 +62,47 @@ def retention(new_users: DataFrame, active: DataFrame, max_day: int = 7,
     return g.withColumn(
         "retention_rate",
         dec_round(ratio(F.col("retained_users"), F.max("retained_users").over(w)), scale))
+
+
+def retention_from_activity(activity: DataFrame, user: str, day: str, max_day: int = 7,
+                            first_from=None, first_to=None, log_from=None, log_to=None,
+                            cohort: bool = False, period: str = "day", scale: int = 2) -> DataFrame:
+    """Day-N (or month-N) retention when the first day is the user's first
+    activity (the driver data carries no first-visit column).
+
+    One aggregate per user collects the sorted set of active days, combined
+    map-side, so a user with millions of events ships one small array per
+    task and the array is bounded by the number of distinct days. The first
+    day is the array's head, and exploding the array gives (user, first, day)
+    rows without the self-join, its extra shuffles, or a second pass for
+    first dates. Each user has one first day, so counting rows per offset
+    counts distinct users. Windows are inclusive; a bound left as None is
+    open."""
+    per_user = (activity.select(F.col(user).alias("user_id"), F.col(day).alias("d"))
+                .where(F.col("d").isNotNull())
+                .groupBy("user_id").agg(F.array_sort(F.collect_set("d")).alias("days")))
+    x = per_user.select("user_id", F.col("days")[0].alias("first_date"), F.explode("days").alias("log_date"))
+    if first_from is not None:
+        x = x.where(F.col("first_date") >= F.lit(first_from).cast("date"))
+    if first_to is not None:
+        x = x.where(F.col("first_date") <= F.lit(first_to).cast("date"))
+    if log_from is not None:
+        x = x.where(F.col("log_date") >= F.lit(log_from).cast("date"))
+    if log_to is not None:
+        x = x.where(F.col("log_date") <= F.lit(log_to).cast("date"))
+    if period == "day":
+        offset = F.datediff("log_date", "first_date")
+    elif period == "month":
+        offset = F.months_between("log_date", "first_date").cast("int")
+    else:
+        raise ValueError(period)
+    x = x.withColumn("day_since_install", offset).where(F.col("day_since_install") <= max_day)
+    keys = ["day_since_install"]
+    if cohort:
+        x = x.withColumn("cohort_month", F.trunc("first_date", "MM"))
+        keys = ["cohort_month", "day_since_install"]
+    g = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("retained_users"))
+    w = (W.partitionBy("cohort_month") if cohort else W.partitionBy()).orderBy("day_since_install")
+    return g.withColumn(
+        "retention_rate",
+        dec_round(ratio(F.col("retained_users"), F.max("retained_users").over(w)), scale))

@@ -183,3 +183,19 @@ def test_term_group_missing_duration(spark):
     rows = [(1, 0), (2, 365), (2, 366), (2, None)]
     df = spark.createDataFrame(rows, "rounds int, dur int")
     assert col_values(df.select(funding_group("rounds", "dur").alias("g")), "g") == ["single", "up_to_year", "over_year", "over_year"]
+
+
+def test_retention_from_activity_equals_pair_join(spark):
+    """Deriving first days from the activity in one per-user aggregate gives
+    the same table as the generic pair join with derived first dates."""
+    from metricforge.operators.retention import day_pairs, first_dates, retention_from_activity
+    rnd = __import__("random").Random(5)
+    d0 = dt.datetime(2024, 1, 1)
+    rows = [(rnd.randint(0, 30), d0 + dt.timedelta(days=rnd.randint(0, 20), hours=rnd.randint(0, 23)))
+            for _ in range(600)] + [(99, d0 + dt.timedelta(days=3))] * 200  # a hot user
+    ev = spark.createDataFrame(rows, "user_id int, ts timestamp_ntz")
+    pairs = day_pairs(ev, "user_id", "ts")
+    want = retention(first_dates(pairs), pairs, 7).collect()
+    got = retention_from_activity(ev.select("user_id", F.to_date("ts").alias("day")), "user_id", "day", 7).collect()
+    key = lambda r: r["day_since_install"]
+    assert sorted(map(tuple, sorted(got, key=key))) == sorted(map(tuple, sorted(want, key=key)))
