@@ -199,7 +199,8 @@ def _sql_flagged(k: float) -> str:
     return f"""
 WITH r AS ({SQL_ROUNDS}),
 f AS (SELECT market, QUANTILE_CONT(round_size, 0.25) AS q1, QUANTILE_CONT(round_size, 0.75) AS q3 FROM r GROUP BY market)
-SELECT r.*, (r.round_size < f.q1 - {k} * (f.q3 - f.q1) OR r.round_size > f.q3 + {k} * (f.q3 - f.q1)) AS is_outlier
+SELECT r.*, COALESCE(r.round_size < f.q1 - {k} * (f.q3 - f.q1) OR r.round_size > f.q3 + {k} * (f.q3 - f.q1), FALSE)
+         AS is_outlier
 FROM r JOIN f ON r.market = f.market
 """
 
