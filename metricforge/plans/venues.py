@@ -68,7 +68,7 @@ def district_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @register("chain_counts", f"""
 SELECT CASE WHEN p_retailprice >= {CHAIN_MIN_PRICE} THEN 1 ELSE 0 END AS chain, COUNT(*) AS n
-FROM part WHERE p_retailprice IS NOT NULL GROUP BY 1
+FROM part GROUP BY 1
 """)
 def chain_counts(spark: SparkSession, d: str) -> DataFrame:
     """M3: chain vs non-chain venue counts."""
@@ -96,7 +96,7 @@ def share_of_sum(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _chain(df):
-    return df.withColumn("chain", (F.col("p_retailprice") >= CHAIN_MIN_PRICE).cast("int"))
+    return df.withColumn("chain", F.when(F.col("p_retailprice") >= CHAIN_MIN_PRICE, 1).otherwise(0))
 
 
 @register("chain_share", f"""
