@@ -93,10 +93,12 @@ def dashboard_counters(spark: SparkSession, d: str) -> DataFrame:
     spk_nation = speakers.join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
     confs = spk_nation.select("c_nationkey").distinct().join(
         bounded_broadcast(geo(spark, d)), F.col("c_nationkey") == F.col("n_nationkey"))
-    n_conf = confs.select("conference").distinct().agg(F.count(F.lit(1))).scalar()
+    # COUNT(DISTINCT x) ignores NULL: filter before the distinct.
+    distinct_count = lambda df, c: df.where(F.col(c).isNotNull()).select(c).distinct().agg(F.count(F.lit(1))).scalar()
+    n_conf = distinct_count(confs, "conference")
     n_talks = o.agg(F.count(F.lit(1))).scalar()
-    n_spk = o.select("o_custkey").distinct().agg(F.count(F.lit(1))).scalar()
-    n_tags = o.select("o_orderpriority").distinct().agg(F.count(F.lit(1))).scalar()
+    n_spk = distinct_count(o, "o_custkey")
+    n_tags = distinct_count(o, "o_orderpriority")
     return spark.range(1).select(n_conf.alias("n_conferences"), n_talks.alias("n_talks"),
                                  n_spk.alias("n_speakers"), n_tags.alias("n_tags"))
 
