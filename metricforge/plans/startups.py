@@ -185,6 +185,12 @@ def order_rounds(spark: SparkSession, d: str) -> DataFrame:
                     F.month("o_orderdate").alias("funding_month")))
 
 
+def _with_market(spark: SparkSession, d: str) -> DataFrame:
+    """Rounds of companies with a market: ``groupby('market').apply(...)``
+    drops rows whose key is missing (H11)."""
+    return order_rounds(spark, d).where(F.col("market").isNotNull())
+
+
 SQL_ROUNDS = """
 SELECT o.o_orderkey, o.o_orderpriority AS market, l.funding_rounds, o.o_totalprice AS funding_total,
        o.o_totalprice / l.funding_rounds AS round_size,
@@ -215,7 +221,7 @@ FROM g ORDER BY outlier_share DESC NULLS LAST, market LIMIT 5
 def iqr_outlier_share(spark: SparkSession, d: str, k: float = 3.0, top: int = 5) -> DataFrame:
     """Share of outlier companies per market (IQR, k=3),
     top markets; a market without outliers has a NULL share (H8)."""
-    s = outlier_share(order_rounds(spark, d), ["market"], "round_size", k)
+    s = outlier_share(_with_market(spark, d), ["market"], "round_size", k)
     return topk(s, top, [F.desc_nulls_last("outlier_share")], ["market"])
 
 
@@ -225,14 +231,14 @@ FROM ({_sql_flagged(1.5)}) x GROUP BY market
 """)
 def iqr_outlier_removed(spark: SparkSession, d: str, k: float = 1.5) -> DataFrame:
     """Rows per market before and after removing outliers (k=1.5, H1)."""
-    f = flag_outliers(order_rounds(spark, d), ["market"], "round_size", k)
+    f = flag_outliers(_with_market(spark, d), ["market"], "round_size", k)
     return f.groupBy("market").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("is_outlier")).alias("n_kept"))
 
 
 def final_rounds(spark: SparkSession, d: str, k: float = 1.5, min_rounds: int = MIN_ROUNDS_PER_YEAR) -> DataFrame:
     """Clean rows (outliers removed) in years with at least ``min_rounds``
     rounds (F9 HAVING, F7 semi join on the year set)."""
-    clean = flag_outliers(order_rounds(spark, d), ["market"], "round_size", k).where(~F.col("is_outlier"))
+    clean = flag_outliers(_with_market(spark, d), ["market"], "round_size", k).where(~F.col("is_outlier"))
     valid = (clean.groupBy("funding_year").agg(F.sum("funding_rounds").alias("r"))
                   .where(F.col("r") >= min_rounds).select("funding_year"))
     return clean.join(valid, "funding_year", "left_semi")

@@ -228,7 +228,8 @@ def corr_matrix(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("top15_names", f"""
-WITH g AS (SELECT p_name, COUNT(*) AS count_places, {R('AVG(p_retailprice)')} AS avg_price FROM part GROUP BY p_name),
+WITH g AS (SELECT p_name, COUNT(*) AS count_places, {R('AVG(p_retailprice)')} AS avg_price FROM part
+           WHERE p_name IS NOT NULL GROUP BY p_name),
 m AS (SELECT p_name, p_type, ROW_NUMBER() OVER (PARTITION BY p_name ORDER BY COUNT(*) DESC, p_type) AS rn
       FROM part WHERE p_type IS NOT NULL GROUP BY p_name, p_type)
 SELECT g.p_name, g.count_places, g.avg_price, m.p_type AS category
@@ -240,7 +241,7 @@ def top15_names(spark: SparkSession, d: str, k: int = 15, chain_only: bool = Fal
     """Top names by venue count with mean rating and modal
     category (ties -> smallest). All venues with the name count (H20);
     ``chain_only`` restricts to chain venues."""
-    p = tables(spark, d)("part")
+    p = tables(spark, d)("part").where(F.col("p_name").isNotNull())  # pandas groupby drops NULL keys (H11)
     if chain_only:
         p = _chain(p).where(F.col("chain") == 1)
     g = p.groupBy("p_name").agg(F.count(F.lit(1)).alias("count_places"),
@@ -368,7 +369,8 @@ def clean_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("cramers_v", """
-WITH cells AS (SELECT o_orderstatus AS a, o_orderpriority AS b, COUNT(*) AS o FROM orders GROUP BY 1, 2),
+WITH cells AS (SELECT o_orderstatus AS a, o_orderpriority AS b, COUNT(*) AS o FROM orders
+               WHERE o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY 1, 2),
 ra AS (SELECT a, SUM(o) AS ra FROM cells GROUP BY a),
 rb AS (SELECT b, SUM(o) AS rb FROM cells GROUP BY b),
 tot AS (SELECT SUM(o) AS n, COUNT(DISTINCT a) AS ka, COUNT(DISTINCT b) AS kb FROM cells),
