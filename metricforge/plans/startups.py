@@ -263,11 +263,12 @@ def active_years(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("completeness_years", f"""
-SELECT funding_year, COUNT(*) AS n_rows FROM ({SQL_ROUNDS}) r GROUP BY funding_year
+SELECT funding_year, COUNT(*) AS n_rows FROM ({SQL_ROUNDS}) r WHERE funding_year IS NOT NULL GROUP BY funding_year
 """)
 def completeness_years(spark: SparkSession, d: str) -> DataFrame:
     """Rows per year (period completeness)."""
-    return order_rounds(spark, d).groupBy("funding_year").agg(F.count(F.lit(1)).alias("n_rows")).orderBy("funding_year")
+    r = order_rounds(spark, d).where(F.col("funding_year").isNotNull())  # value_counts drops NULL
+    return r.groupBy("funding_year").agg(F.count(F.lit(1)).alias("n_rows")).orderBy("funding_year")
 
 
 @register("completeness_months", f"""

@@ -87,11 +87,12 @@ def share_pct(spark: SparkSession, d: str) -> DataFrame:
 @register("share_of_sum", f"""
 SELECT o_orderpriority, {R('SUM(' + MONEY('o_totalprice') + ')')} AS total,
        {PCT('SUM(' + MONEY('o_totalprice') + ')', 'SUM(SUM(' + MONEY('o_totalprice') + ')) OVER ()')} AS pct
-FROM orders GROUP BY o_orderpriority
+FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority
 """)
 def share_of_sum(spark: SparkSession, d: str) -> DataFrame:
     """Share of a summed measure per group, in percent."""
-    g = tables(spark, d)("orders").groupBy("o_orderpriority").agg(F.sum(money("o_totalprice")).alias("s"))
+    o = tables(spark, d)("orders").where(F.col("o_orderpriority").isNotNull())  # pandas groupby drops NULL keys
+    g = o.groupBy("o_orderpriority").agg(F.sum(money("o_totalprice")).alias("s"))
     return with_share(g, "s", "pct").select("o_orderpriority", dec_round("s", 2).alias("total"), "pct")
 
 
