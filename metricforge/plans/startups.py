@@ -321,7 +321,7 @@ def _pivot_sql():
     return f"""
 SELECT CAST(EXTRACT(YEAR FROM o.o_orderdate) AS INTEGER) AS year, {cols}
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-WHERE c.c_mktsegment NOT IN ({excluded})
+WHERE c.c_mktsegment NOT IN ({excluded}) AND o.o_orderdate IS NOT NULL
 GROUP BY 1
 """
 
@@ -331,7 +331,7 @@ def pivot_year_group(spark: SparkSession, d: str) -> DataFrame:
     """Year x segment total funding, listed segments excluded.
     Pivot values are given explicitly (no extra distinct pass, stable schema)."""
     kept = [s for s in SEGMENTS if s not in EXCLUDED_SEGMENTS]
-    j = _segment_sums(spark, d)
+    j = _segment_sums(spark, d).where(F.col("year").isNotNull())  # pivot_table drops a missing index
     return j.groupBy("year").pivot("c_mktsegment", kept).agg(dec_round(F.sum("amt"), 2)).orderBy("year")
 
 
@@ -360,11 +360,12 @@ def growing_groups(spark: SparkSession, d: str, before: int = 1997, after: int =
 WITH inv AS (
   SELECT CAST(EXTRACT(YEAR FROM o.o_orderdate) AS INTEGER) AS year, l.l_returnflag AS type,
          COALESCE(SUM({MONEY('l.l_extendedprice')}), 0) AS investments
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2),
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  WHERE o.o_orderdate IS NOT NULL AND l.l_returnflag IS NOT NULL GROUP BY 1, 2),
 ret AS (
   SELECT CAST(EXTRACT(YEAR FROM l_shipdate) AS INTEGER) AS year, l_returnflag AS type,
          SUM({MONEY('l_extendedprice')} * (1 - {MONEY('l_discount')})) AS returns
-  FROM lineitem GROUP BY 1, 2),
+  FROM lineitem WHERE l_shipdate IS NOT NULL AND l_returnflag IS NOT NULL GROUP BY 1, 2),
 j AS (
   SELECT COALESCE(r.year, i.year) AS year, COALESCE(r.type, i.type) AS type, r.returns, i.investments,
          CAST(r.returns AS DOUBLE) / (CAST(i.investments AS DOUBLE) + 1e-6) AS ratio
@@ -377,13 +378,16 @@ def return_ratio(spark: SparkSession, d: str, eps: float = 1e-6, returns_scale:
     """Returns / (investments + eps) per (year, type),
     aligned with a full outer join (H30); ratios above 1 become NULL."""
     t = tables(spark, d)
-    li = t("lineitem")
+    # pandas group sums drop missing years; funding types are columns (never missing).
+    li = t("lineitem").where(F.col("l_returnflag").isNotNull())
     # Lines reduced per (order, type) before the order join.
     per_order = li.groupBy("l_orderkey", "l_returnflag").agg(F.sum(money("l_extendedprice")).alias("s"))
-    inv = (per_order.join(t("orders").select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+    orders = t("orders").where(F.col("o_orderdate").isNotNull()).select("o_orderkey", "o_orderdate")
+    inv = (per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
              .groupBy(F.year("o_orderdate").alias("year"), F.col("l_returnflag").alias("type"))
              .agg(F.coalesce(F.sum("s"), F.lit(0)).alias("investments")))  # H10
-    ret = (li.groupBy(F.year("l_shipdate").alias("year"), F.col("l_returnflag").alias("type"))
+    ret = (li.where(F.col("l_shipdate").isNotNull())
+             .groupBy(F.year("l_shipdate").alias("year"), F.col("l_returnflag").alias("type"))
              .agg(F.sum(money("l_extendedprice") * (F.lit(1) - money("l_discount"))).alias("returns")))
     j = ret.join(inv, ["year", "type"], "full_outer")
     # H9: the source divides returns (millions) by dollars without conversion;
