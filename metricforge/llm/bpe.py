@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from metricforge.llm.common import map_arrow
+
 #: The code points with the Unicode property White_Space.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F,
                0x3000]
@@ -42,7 +44,7 @@ BEGIN, SPACED, BLANK, IN_LETTERS, IN_NUMBERS, IN_OTHERS, ONE_MORE, TWO_MORE = ra
 #: Characters handled at once, pieces a worker remembers, and the piece
 #: length (bytes) from which a heap finds the merges.
 CHUNK_CHARS = 1 << 20
-CACHE_PIECES = 250_000
+CACHE_PIECES = 500_000
 LONG_PIECE = 64
 
 
@@ -263,16 +265,27 @@ class Encoder:
         self.known: dict[bytes, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
         self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.chunks_in = np.zeros(1 << 14, np.int32)
+
+    def _shrink(self) -> None:
+        """Forget what only one chunk has had; everything, if that is not
+        half of the cache."""
+        old = self.known, self.flat, self.start, self.size, self.chunks_in
+        self._clear()
+        again = {p: k for p, k in old[0].items() if old[4][k] > 1}
+        if again and len(again) <= CACHE_PIECES // 2:
+            _, flat, start, size, _ = old
+            self._store(list(again), [flat[start[k]:start[k] + size[k]] for k in again.values()])
 
-    def _learn(self, pieces: list[bytes]) -> None:
+    def _store(self, pieces: list[bytes], ids: list[np.ndarray]) -> None:
         at = len(self.known)
-        ids = self.merge(pieces)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.concatenate(ids).astype(np.int32)
         while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while at + len(ids) > len(self.start):
-            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
+            self.start, self.size, self.chunks_in = (
+                np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size, self.chunks_in))
         self.flat[self.used:self.used + len(flat)] = flat
         self.start[at:at + len(ids)] = self.used + np.cumsum(sizes) - sizes
         self.size[at:at + len(ids)] = sizes
@@ -296,14 +309,14 @@ class Encoder:
         at = np.append(cut + extra[cut], len(cp) + extra[-1]).tolist()
         raw = joined.encode()
         if len(self.known) > CACHE_PIECES:
-            self._clear()
+            self._shrink()
         pieces = [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-        number = list(map(self.known.get, pieces))
-        if None in number:
-            new = list(dict.fromkeys(p for p, k in zip(pieces, number, strict=True) if k is None))
-            self._learn(new)
-            number = list(map(self.known.__getitem__, pieces))
-        number = np.array(number, np.int64)
+        once = list(dict.fromkeys(pieces))
+        if new := [p for p in once if p not in self.known]:
+            self._store(new, self.merge(new))
+        number = self.known.__getitem__
+        self.chunks_in[np.fromiter(map(number, once), np.int64, len(once))] += 1
+        number = np.fromiter(map(number, pieces), np.int64, len(pieces))
         size = self.size[number]
         stop = np.cumsum(size)
         ids = self.flat[np.repeat(self.start[number] - stop + size, size) + np.arange(stop[-1])]
@@ -363,7 +376,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", t
     schema = T.StructType([T.StructField("doc_id", src.schema["doc_id"].dataType),
                            T.StructField("ids", T.ArrayType(T.IntegerType())),
                            T.StructField("offsets", T.ArrayType(T.IntegerType()))])
-    return src.mapInArrow(run, schema)
+    return map_arrow(src, run, schema)
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -395,4 +408,4 @@ def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
                                              names=[*batch.schema.names, "decoded"])
 
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
-    return encoded.mapInArrow(run, schema)
+    return map_arrow(encoded, run, schema)

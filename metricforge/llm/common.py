@@ -3,9 +3,14 @@ connected components."""
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
 from functools import reduce
+from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +41,27 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Let the Python workers import this package, as ``--py-files`` would:
+    the driver serves a zip of its sources to the executors, once."""
+    sc = spark.sparkContext
+    if getattr(sc, "_metricforge_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    path = Path(tempfile.mkdtemp(prefix="mf-ship-"), "metricforge.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(path))
+    sc._metricforge_shipped = True
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -82,3 +108,21 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return (cur.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
             .unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()))
+
+
+#: Internal names of a row's address; not likely to meet a table's columns.
+FILE, ROW = "__mf_file", "__mf_row"
+
+
+def addressed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the address of each row: the file it lies in (as a
+    64-bit hash of the path) and its place there. Unlike an id column, an
+    address is never null and never repeats. A frame that does not come
+    straight from Parquet files is written to the shared folder first."""
+    if {FILE, ROW} <= {*docs.columns}:
+        return docs
+    try:
+        return docs.select("*", F.xxhash64("_metadata.file_path").alias(FILE),
+                           F.col("_metadata.row_index").alias(ROW))
+    except AnalysisException:
+        return addressed(keep(docs, "documents"))
