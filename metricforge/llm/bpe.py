@@ -44,8 +44,13 @@ BEGIN, SPACED, BLANK, IN_LETTERS, IN_NUMBERS, IN_OTHERS, ONE_MORE, TWO_MORE = ra
 #: Characters handled at once, pieces a worker remembers, and the piece
 #: length (bytes) from which a heap finds the merges.
 CHUNK_CHARS = 1 << 20
-CACHE_PIECES = 500_000
+CACHE_PIECES = 1_000_000
 LONG_PIECE = 64
+#: Slots of the cache's table (a power of two, well above what it holds), and
+#: the bytes of a piece that fit into its key.
+TABLE_SLOTS = 1 << 22
+KEY_BYTES = 23
+KEY_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 @cache
@@ -254,43 +259,128 @@ class PairMerger:
 
 
 class Encoder:
-    """Texts to ids through the piece cache; ``merge`` encodes the pieces
-    that the cache does not hold."""
+    """Texts to ids through a bounded cache of pieces; ``merge`` encodes the
+    pieces that the cache does not hold.
+
+    Pieces of up to ``KEY_BYTES`` bytes are three machine words (the last
+    holds the length), looked up together in an open-addressing table; longer
+    ones are in a dict. An entry keeps its piece's ids and the number of
+    chunks that had it.
+    """
 
     def __init__(self, merge: Callable[[list[bytes]], list[np.ndarray]]):
         self.merge = merge
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.slots = np.full(TABLE_SLOTS, -1, np.int32)
+        self.entries, self.used = 0, 0
+        self.keys = np.zeros((1 << 14, 3), np.uint64)
         self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self.chunks_in = np.zeros(1 << 14, np.int32)
+        self.flat = np.zeros(1 << 16, np.int32)
+        self.long: dict[bytes, int] = {}
 
-    def _shrink(self) -> None:
-        """Forget what only one chunk has had; everything, if that is not
-        half of the cache."""
-        old = self.known, self.flat, self.start, self.size, self.chunks_in
-        self._clear()
-        again = {p: k for p, k in old[0].items() if old[4][k] > 1}
-        if again and len(again) <= CACHE_PIECES // 2:
-            _, flat, start, size, _ = old
-            self._store(list(again), [flat[start[k]:start[k] + size[k]] for k in again.values()])
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        x = keys[:, 0] * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(32)
+        x = (x + keys[:, 1]) * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(29)
+        x = (x + keys[:, 2]) * np.uint64(0x94D049BB133111EB)
+        return (x >> np.uint64(32)).astype(np.int64) & (TABLE_SLOTS - 1)
+
+    def _look(self, keys: np.ndarray) -> np.ndarray:
+        """The entry of each key, or -1."""
+        slot, out = self._slot(keys), np.full(len(keys), -1, np.int64)
+        left = np.arange(len(keys))
+        while len(left):
+            entry = self.slots[slot[left]]
+            left, entry = left[entry >= 0], entry[entry >= 0]
+            same = (self.keys[entry] == keys[left]).all(axis=1)
+            out[left[same]] = entry[same]
+            left = left[~same]
+            slot[left] = (slot[left] + 1) & (TABLE_SLOTS - 1)
+        return out
 
-    def _store(self, pieces: list[bytes], ids: list[np.ndarray]) -> None:
-        at = len(self.known)
+    def _add(self, ids: list[np.ndarray]) -> np.ndarray:
+        """New entries for pieces with these ids."""
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.concatenate(ids).astype(np.int32)
+        at, n = self.entries, len(ids)
         while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while at + len(ids) > len(self.start):
-            self.start, self.size, self.chunks_in = (
-                np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size, self.chunks_in))
+        while at + n > len(self.start):
+            self.keys, self.start, self.size, self.chunks_in = (
+                np.concatenate([x, np.zeros_like(x)]) for x in (self.keys, self.start, self.size, self.chunks_in))
         self.flat[self.used:self.used + len(flat)] = flat
-        self.start[at:at + len(ids)] = self.used + np.cumsum(sizes) - sizes
-        self.size[at:at + len(ids)] = sizes
-        self.used += len(flat)
-        self.known.update(zip(pieces, range(at, at + len(ids)), strict=True))
+        self.start[at:at + n] = self.used + np.cumsum(sizes) - sizes
+        self.size[at:at + n] = sizes
+        self.entries, self.used = at + n, self.used + len(flat)
+        return np.arange(at, at + n)
+
+    def _insert(self, entry: np.ndarray) -> None:
+        """Put entries whose keys are set, all different, into the table."""
+        slot, left = self._slot(self.keys[entry]), np.arange(len(entry))
+        while len(left):
+            free = left[self.slots[slot[left]] < 0]
+            self.slots[slot[free]] = entry[free]
+            left = left[self.slots[slot[left]] != entry[left]]
+            slot[left] = (slot[left] + 1) & (TABLE_SLOTS - 1)
+
+    def _shrink(self) -> None:
+        """Forget what only one chunk has had; everything, if that is not
+        half of the cache."""
+        keys, start, size, seen, flat = self.keys, self.start, self.size, self.chunks_in, self.flat
+        old, again = self.long, seen[:self.entries] > 1
+        self._clear()
+        if not again.any() or again.sum() > CACHE_PIECES // 2:
+            return
+        self.long = {p: k for p, k in old.items() if again[k]}
+        is_long = np.zeros(len(again), bool)
+        is_long[list(self.long.values())] = True
+        for kind in (False, True):
+            which = np.flatnonzero(again & (is_long == kind))
+            if len(which):
+                entry = self._add([flat[start[k]:start[k] + size[k]] for k in which.tolist()])
+                if kind:
+                    number = dict(zip(which.tolist(), entry.tolist(), strict=True))
+                    self.long = {p: number[k] for p, k in self.long.items()}
+                else:
+                    self.keys[entry] = keys[which]
+                    self._insert(entry)
+
+    def _entries(self, raw: bytes, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The entry of each piece ``raw[begin:begin + size]``."""
+        padded = raw + bytes(24)
+        words = np.ndarray((len(raw) + 17,), "<u8", padded, strides=(1,))
+        keys = np.empty((len(begin), 3), np.uint64)
+        for k in range(3):
+            keys[:, k] = words[np.minimum(begin + 8 * k, len(raw))] & KEY_MASKS[np.clip(size - 8 * k, 0, 8 - k // 2)]
+        keys[:, 2] |= size.astype(np.uint64) << np.uint64(56)
+        short = size <= KEY_BYTES
+        every = bool(short.all())
+        entry = np.full(len(begin), -1, np.int64)
+        entry[short] = self._look(keys if every else keys[short])
+        new = np.flatnonzero(short & (entry < 0))
+        if len(new):
+            order = new[np.lexsort(keys[new].T)]
+            first = np.append(True, (keys[order[1:]] != keys[order[:-1]]).any(axis=1))
+            once = order[first]
+            added = self._add(self.merge([raw[a:a + n] for a, n in zip(begin[once].tolist(), size[once].tolist(),
+                                                                       strict=True)]))
+            self.keys[added] = keys[once]
+            self._insert(added)
+            entry[order] = added[np.cumsum(first) - 1]
+        if not every:
+            at = np.flatnonzero(~short)
+            pieces = [raw[a:a + n] for a, n in zip(begin[at].tolist(), size[at].tolist(), strict=True)]
+            if once := [p for p in dict.fromkeys(pieces) if p not in self.long]:
+                self.long.update(zip(once, self._add(self.merge(once)).tolist(), strict=True))
+            entry[at] = [self.long[p] for p in pieces]
+        seen = np.zeros(self.entries, bool)
+        seen[entry] = True
+        self.chunks_in[:self.entries] += seen
+        return entry
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids of all texts, end of each text in them)``."""
@@ -306,20 +396,13 @@ class Encoder:
         # Code point positions to byte positions.
         wide = (cp >= 0x80).astype(np.int8) + (cp >= 0x800) + (cp >= 0x10000)
         extra = np.append(0, np.cumsum(wide, dtype=np.int64))
-        at = np.append(cut + extra[cut], len(cp) + extra[-1]).tolist()
-        raw = joined.encode()
-        if len(self.known) > CACHE_PIECES:
+        at = np.append(cut + extra[cut], len(cp) + extra[-1])
+        if self.entries > CACHE_PIECES:
             self._shrink()
-        pieces = [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-        once = list(dict.fromkeys(pieces))
-        if new := [p for p in once if p not in self.known]:
-            self._store(new, self.merge(new))
-        number = self.known.__getitem__
-        self.chunks_in[np.fromiter(map(number, once), np.int64, len(once))] += 1
-        number = np.fromiter(map(number, pieces), np.int64, len(pieces))
-        size = self.size[number]
+        entry = self._entries(joined.encode(), at[:-1], np.diff(at))
+        size = self.size[entry]
         stop = np.cumsum(size)
-        ids = self.flat[np.repeat(self.start[number] - stop + size, size) + np.arange(stop[-1])]
+        ids = self.flat[np.repeat(self.start[entry] - stop + size, size) + np.arange(stop[-1])]
         return ids, np.append(0, stop)[np.searchsorted(cut, ends)]
 
 

@@ -122,7 +122,8 @@ def addressed(docs: DataFrame) -> DataFrame:
     if {FILE, ROW} <= {*docs.columns}:
         return docs
     try:
-        return docs.select("*", F.xxhash64("_metadata.file_path").alias(FILE),
-                           F.col("_metadata.row_index").alias(ROW))
+        place = docs.metadataColumn("_metadata")
     except AnalysisException:
-        return addressed(keep(docs, "documents"))
+        docs = keep(docs, "documents")
+        place = docs.metadataColumn("_metadata")
+    return docs.select("*", F.xxhash64(place["file_path"]).alias(FILE), place["row_index"].alias(ROW))

@@ -36,7 +36,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricforge.llm.common import FILE, ROW, addressed, keep, map_arrow
@@ -280,30 +280,52 @@ def _merge(spans: list[dict] | None) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text",
+                   rest: Column | None = None) -> DataFrame:
     """``(address, doc_id, n_bytes, removed array<struct<begin, end>>, kept
-    binary)`` for every row; ``removed`` holds the maximal removed runs."""
+    binary, kept_text, rest)`` for every row. ``removed`` holds the maximal
+    removed runs; ``kept_text`` leaves out characters that were cut in two;
+    ``rest`` is any column to carry along."""
     src = addressed(docs)
-    src = src.select(FILE, ROW, src[id_col].alias("doc_id"), src[text_col].alias("text"))
+    src = src.select(FILE, ROW, src[id_col].alias("doc_id"), src[text_col].alias("text"),
+                     (F.lit(0) if rest is None else rest).alias("rest"))
     spans = (repeated_spans(src, length).groupBy(FILE, ROW)
              .agg(F.collect_list(F.struct("begin", "end")).alias("spans")))
 
     def run(batches):
         for batch in batches:
-            size, removed, kept = [], [], []
-            for text, spans in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+            size, removed, kept, texts = [], [], [], []
+            for text, spans in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
                 raw = (text or "").encode()
                 gone = _merge(spans)
                 edges = [0, *(x for s in gone for x in s), len(raw)]
+                parts = [raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
                 size.append(len(raw))
                 removed.append([{"begin": a, "end": b} for a, b in gone])
-                kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+                kept.append(b"".join(parts))
+                texts.append("".join(p.decode("utf-8", "ignore") for p in parts) if gone else text)
             pair = pa.struct([("begin", pa.int64()), ("end", pa.int64())])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(size, pa.int64()), pa.array(removed, pa.list_(pair)),
-                 pa.array(kept, pa.binary())], names=[FILE, ROW, "doc_id", "n_bytes", "removed", "kept"])
+                [*batch.columns[:4], pa.array(size, pa.int64()), pa.array(removed, pa.list_(pair)),
+                 pa.array(kept, pa.binary()), pa.array(texts, pa.string())],
+                names=[FILE, ROW, "doc_id", "rest", "n_bytes", "removed", "kept", "kept_text"])
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return map_arrow(src.join(spans, [FILE, ROW], "left").select(FILE, ROW, "doc_id", "text", "spans"), run,
-                     f"{FILE} long, {ROW} long, doc_id {kind}, n_bytes long, "
-                     "removed array<struct<begin:long,end:long>>, kept binary")
+    carried = src.schema["rest"].dataType.simpleString()
+    return map_arrow(src.join(spans, [FILE, ROW], "left").select(FILE, ROW, "doc_id", "rest", "text", "spans"), run,
+                     f"{FILE} long, {ROW} long, doc_id {kind}, rest {carried}, n_bytes long, "
+                     "removed array<struct<begin:long,end:long>>, kept binary, kept_text string")
+
+
+def strip_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text",
+                  chars_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the repeated bytes out of their texts (and, where the
+    column exists, the number of characters set anew)."""
+    src = addressed(docs)
+    whole = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)))
+    out = remove_repeats(src, length, id_col, text_col, whole)
+    new = {text_col: F.col("kept_text"), chars_col: F.length(F.coalesce("kept_text", F.lit("")))}
+    kinds = dict(docs.dtypes)
+    return out.select(*(
+        (F.when(F.size("removed") > 0, new[c].cast(kinds[c])).otherwise(F.col(f"rest.c{i}")) if c in new
+         else F.col(f"rest.c{i}")).alias(c) for i, c in enumerate(docs.columns)))
