@@ -8,8 +8,8 @@ expected severity; a document is rejected when it is more likely above grade
 0 than not.
 
 The labels only say toxic or not. The grade of a toxic training text is set
-by how densely it holds the terms that set toxic texts apart: thirds of
-their count among the toxic texts give grades 1 to 3.
+by how many of the terms that set toxic texts apart it holds: thirds of that
+count among the toxic texts give grades 1 to 3.
 
 Fitting uses at most ``SAMPLE`` labelled documents (chosen by a hash of the
 id) and ``VOCABULARY`` terms; both bounds are parameters. Scoring reads every
@@ -44,6 +44,8 @@ GRADES = 4
 #: sample documents with a term.
 BEGINNINGS = (4, 5, 6)
 LEAST_DOCUMENTS = 3
+#: How many times likelier a feature is in toxic than in other texts, at least.
+TELLING = 8
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -153,16 +155,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: in
     kinds = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not kinds.get(0) or not kinds.get(1):
         return Model()
-    # Terms whose share differs most between the kinds (smoothed log odds,
-    # weighted by the larger share).
+    # Terms that tell toxic texts apart: smoothed odds above ``TELLING``, those
+    # first that are both telling and frequent.
     counts = (map_arrow(texts, split, "toxic int, term string").groupBy("term")
               .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
               .where(F.col("a") + F.col("b") >= LEAST_DOCUMENTS))
     p, q = (F.col("a") + 0.5) / (kinds[1] + 1.0), (F.col("b") + 0.5) / (kinds[0] + 1.0)
-    counts = counts.select("term", F.log(p / q).alias("odds"), (F.abs(F.log(p / q)) * F.greatest(p, q)).alias("weight"))
-    top = counts.orderBy(F.desc("weight"), "term").limit(vocabulary).collect()
+    counts = counts.select("term", F.log(p / q).alias("odds"), (F.log(p / q) * p).alias("weight"))
+    top = (counts.where(F.col("odds") > math.log(TELLING)).orderBy(F.desc("weight"), "term")
+           .limit(vocabulary).collect())
+    if not top:
+        return Model()
     number = {r["term"]: i for i, r in enumerate(top)}
-    odds = np.array([r["odds"] for r in top])
 
     def entries(batches):
         for batch in batches:
@@ -184,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: in
     column = at.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     value = n.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     # Grades of toxic texts: thirds of how many telling terms they hold.
-    telling = np.bincount(row, value * (odds[column] > math.log(20)), len(toxic))
+    telling = np.bincount(row, value, len(toxic))
     cuts = np.quantile(telling[toxic == 1], [1 / 3, 2 / 3])
     grade = np.where(toxic == 1, 1 + np.searchsorted(cuts, telling, side="left"), 0)
     weights, thresholds = fit_cumulative_link(row, column, value, grade, len(top))

@@ -103,18 +103,15 @@ def test_op7(spark, docs):
     assert sorted(result(spark, "op7_simhash")) == sorted((i, f"{prints[i]:016x}", comp[i]) for i in docs)
 
 
-def test_op9_on_held_out_folds(spark):
-    docs, labels = load(spark, "/root/testdata/sf0.01", "documents"), load(spark, "/root/testdata/sf0.01", "labels")
-    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
-    right = caught = toxic = 0
-    for fold in range(2):
-        model = toxicity.fit(docs, labels.where(f"doc_id % 2 = {fold}"))
-        for r in toxicity.score(docs.where(f"doc_id % 2 != {fold}"), model).collect():
-            if r["doc_id"] in truth:
-                right += r["__mf_rejected"] == bool(truth[r["doc_id"]])
-                toxic += truth[r["doc_id"]]
-                caught += r["__mf_rejected"] and truth[r["doc_id"]]
-    assert right >= 0.97 * len(truth) and caught >= 0.75 * toxic
+def test_op9_on_held_out_documents(spark):
+    docs, labels = (load(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    truth = {r["doc_id"]: r["toxic"] for r in labels.where("doc_id % 2 = 1").collect()}
+    model = toxicity.fit(docs, labels.where("doc_id % 2 = 0"))
+    out = {r["doc_id"]: r["__mf_rejected"] for r in toxicity.score(docs.where("doc_id % 2 = 1"), model)
+           .select("doc_id", "__mf_rejected").collect()}
+    caught = sum(out[i] for i, t in truth.items() if t) / sum(truth.values())
+    clean = sum(not out[i] for i, t in truth.items() if not t) / sum(not t for t in truth.values())
+    assert caught >= 0.92 and clean >= 0.995  # some toxic labels stand on texts without any such word
 
 
 def check_packing(rows, texts, library):
