@@ -99,9 +99,9 @@ def automaton():
                 found[h] = len(found)
                 todo.append(h)
     funcs = sorted(found, key=found.get)
-    product = np.array([[found[tuple(g[f[s]] for s in range(8))] for g in funcs] for f in funcs], np.int32)
+    product = np.array([[found[tuple(g[f[s]] for s in range(8))] for g in funcs] for f in funcs], np.intp)
     starts = np.array([[_starts_piece(s, y) for y in range(n_sym)] for s in range(8)])
-    return (np.array([found[g] for g in gens], np.int32), product, np.array(funcs, np.uint8), starts)
+    return (np.array([found[g] for g in gens], np.uint8), product, np.array(funcs, np.uint8), starts)
 
 
 def _symbols(cp: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -139,23 +139,23 @@ def boundaries(cp: np.ndarray, first: np.ndarray) -> np.ndarray:
     sym = _symbols(cp, first)
     block = max(16, int(np.sqrt(n) / 2))
     rows = -(-n // block)
-    grid = np.zeros(rows * block, np.int32)
+    grid = np.zeros(rows * block, np.uint8)
     grid[:n] = gen[sym]
     grid = np.ascontiguousarray(grid.reshape(rows, block).T)
     before = np.empty_like(grid)
-    acc = np.zeros(rows, np.int32)
-    width, flat = len(funcs), product.ravel()
+    acc = np.zeros(rows, np.intp)
+    flat = product.ravel()
     for j in range(block):                      # fold all blocks side by side
         before[j] = acc
-        acc = flat[acc * width + grid[j]]
+        acc = flat.take(acc * len(funcs) + grid[j])
     step = 1
     while step < rows:                          # scan of the block totals
         acc[step:] = product[acc[:-step], acc[step:]]
         step *= 2
     at = np.zeros(rows, np.int64)
     at[1:] = funcs[acc[:-1], BEGIN]
-    state = funcs[before, at[None, :]].T.ravel()[:n]
-    return np.flatnonzero(starts[state, sym])
+    state = funcs.ravel().take(before * np.intp(8) + at[None, :]).T.ravel()[:n]
+    return np.flatnonzero(starts.ravel().take(state * np.intp(2 * FIRST) + sym))
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -228,17 +228,23 @@ class PairMerger:
                     heapq.heappush(heap, (s, x, tok[x], tok[y]))
         return np.array([t for t in tok if t >= 0], np.int64)
 
-    def __call__(self, pieces: list[bytes]) -> list[np.ndarray]:
-        out: list = [None] * len(pieces)
-        short = [i for i, p in enumerate(pieces) if len(p) <= LONG_PIECE]
-        for i, p in enumerate(pieces):
-            if len(p) > LONG_PIECE:
-                out[i] = self.long(p)
-        if not short:
-            return out
-        owner = np.array(short, np.int64)
-        size = np.array([len(pieces[i]) for i in short], np.int64)
-        tok = self.byte_id[np.frombuffer(b"".join(pieces[i] for i in short), np.uint8)]
+    def __call__(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids of all pieces, number of ids of each)``."""
+        length = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        base = np.cumsum(length) - length
+        out, count = np.full(int(length.sum()), -1, np.int64), np.zeros(len(pieces), np.int64)
+
+        def put(owner: np.ndarray, tok: np.ndarray, size: np.ndarray) -> None:
+            within = np.arange(len(tok)) - np.repeat(np.cumsum(size) - size, size)
+            out[np.repeat(base[owner], size) + within] = tok
+            count[owner] = size
+
+        for i in np.flatnonzero(length > LONG_PIECE).tolist():
+            tok = self.long(pieces[i])
+            put(np.array([i]), tok, np.array([len(tok)]))
+        owner = np.flatnonzero(length <= LONG_PIECE)
+        size = length[owner]
+        tok = self.byte_id[np.frombuffer(b"".join(pieces[i] for i in owner.tolist()), np.uint8)]
         while len(owner):
             ends = np.cumsum(size)
             key = np.full(len(tok), 1 << 20, np.int64)
@@ -246,16 +252,14 @@ class PairMerger:
             key[ends - 1] = 1 << 20
             best = np.minimum.reduceat(key << 40 | np.arange(len(tok)), ends - size)
             done = best >> 40 >= 1 << 20
+            if done.any():
+                put(owner[done], tok[np.repeat(done, size)], size[done])
             pos = best[~done] & ((1 << 40) - 1)
             tok[pos] = best[~done] >> 40
-            live = np.ones(len(tok), bool)
+            live = ~np.repeat(done, size)
             live[pos + 1] = False
-            if done.any():
-                for k in np.flatnonzero(done):
-                    out[owner[k]] = tok[ends[k] - size[k]:ends[k]].copy()
-                live &= ~np.repeat(done, size)
             tok, size, owner = tok[live], (size - 1)[~done], owner[~done]
-        return out
+        return out[out >= 0], count
 
 
 class Encoder:
@@ -268,7 +272,7 @@ class Encoder:
     chunks that had it.
     """
 
-    def __init__(self, merge: Callable[[list[bytes]], list[np.ndarray]]):
+    def __init__(self, merge: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
         self.merge = merge
         self._clear()
 
@@ -296,17 +300,16 @@ class Encoder:
         while len(left):
             entry = self.slots[slot[left]]
             left, entry = left[entry >= 0], entry[entry >= 0]
-            same = (self.keys[entry] == keys[left]).all(axis=1)
+            have, want = self.keys[entry], keys[left]
+            same = (have[:, 0] == want[:, 0]) & (have[:, 1] == want[:, 1]) & (have[:, 2] == want[:, 2])
             out[left[same]] = entry[same]
             left = left[~same]
             slot[left] = (slot[left] + 1) & (TABLE_SLOTS - 1)
         return out
 
-    def _add(self, ids: list[np.ndarray]) -> np.ndarray:
+    def _add(self, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """New entries for pieces with these ids."""
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate(ids).astype(np.int32)
-        at, n = self.entries, len(ids)
+        at, n = self.entries, len(sizes)
         while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while at + n > len(self.start):
@@ -318,6 +321,12 @@ class Encoder:
         self.entries, self.used = at + n, self.used + len(flat)
         return np.arange(at, at + n)
 
+    @staticmethod
+    def _spread(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The slices of ``flat``, one after the other."""
+        stop = np.cumsum(size)
+        return flat[np.repeat(start - stop + size, size) + np.arange(stop[-1] if len(stop) else 0)]
+
     def _insert(self, entry: np.ndarray) -> None:
         """Put entries whose keys are set, all different, into the table."""
         slot, left = self._slot(self.keys[entry]), np.arange(len(entry))
@@ -341,7 +350,7 @@ class Encoder:
         for kind in (False, True):
             which = np.flatnonzero(again & (is_long == kind))
             if len(which):
-                entry = self._add([flat[start[k]:start[k] + size[k]] for k in which.tolist()])
+                entry = self._add(self._spread(flat, start[which], size[which]), size[which])
                 if kind:
                     number = dict(zip(which.tolist(), entry.tolist(), strict=True))
                     self.long = {p: number[k] for p, k in self.long.items()}
@@ -353,9 +362,11 @@ class Encoder:
         """The entry of each piece ``raw[begin:begin + size]``."""
         padded = raw + bytes(24)
         words = np.ndarray((len(raw) + 17,), "<u8", padded, strides=(1,))
-        keys = np.empty((len(begin), 3), np.uint64)
-        for k in range(3):
-            keys[:, k] = words[np.minimum(begin + 8 * k, len(raw))] & KEY_MASKS[np.clip(size - 8 * k, 0, 8 - k // 2)]
+        keys = np.zeros((len(begin), 3), np.uint64)
+        keys[:, 0] = words[begin] & KEY_MASKS[np.minimum(size, 8)]
+        for k in (1, 2):
+            on = np.flatnonzero(size > 8 * k)
+            keys[on, k] = words[begin[on] + 8 * k] & KEY_MASKS[np.minimum(size[on] - 8 * k, 8 - k // 2)]
         keys[:, 2] |= size.astype(np.uint64) << np.uint64(56)
         short = size <= KEY_BYTES
         every = bool(short.all())
@@ -366,8 +377,8 @@ class Encoder:
             order = new[np.lexsort(keys[new].T)]
             first = np.append(True, (keys[order[1:]] != keys[order[:-1]]).any(axis=1))
             once = order[first]
-            added = self._add(self.merge([raw[a:a + n] for a, n in zip(begin[once].tolist(), size[once].tolist(),
-                                                                       strict=True)]))
+            added = self._add(*self.merge([raw[a:a + n] for a, n in zip(begin[once].tolist(), size[once].tolist(),
+                                                                        strict=True)]))
             self.keys[added] = keys[once]
             self._insert(added)
             entry[order] = added[np.cumsum(first) - 1]
@@ -375,7 +386,7 @@ class Encoder:
             at = np.flatnonzero(~short)
             pieces = [raw[a:a + n] for a, n in zip(begin[at].tolist(), size[at].tolist(), strict=True)]
             if once := [p for p in dict.fromkeys(pieces) if p not in self.long]:
-                self.long.update(zip(once, self._add(self.merge(once)).tolist(), strict=True))
+                self.long.update(zip(once, self._add(*self.merge(once)).tolist(), strict=True))
             entry[at] = [self.long[p] for p in pieces]
         seen = np.zeros(self.entries, bool)
         seen[entry] = True
@@ -401,9 +412,8 @@ class Encoder:
             self._shrink()
         entry = self._entries(joined.encode(), at[:-1], np.diff(at))
         size = self.size[entry]
-        stop = np.cumsum(size)
-        ids = self.flat[np.repeat(self.start[entry] - stop + size, size) + np.arange(stop[-1])]
-        return ids, np.append(0, stop)[np.searchsorted(cut, ends)]
+        ids = self._spread(self.flat, self.start[entry], size)
+        return ids, np.append(0, np.cumsum(size))[np.searchsorted(cut, ends)]
 
 
 def chunks(texts: list[str | None], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:

@@ -34,14 +34,15 @@ def library_encoder(path: str) -> Encoder:
 
     tokenize = Tokenizer.from_file(path).model.tokenize
 
-    def merge(pieces: list[bytes]) -> list[np.ndarray]:
-        joined = b"".join(pieces)
-        text = byte_alphabet()[np.frombuffer(joined, np.uint8)].tobytes().decode("utf-32-le")
-        out, at = [], 0
+    def merge(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        text = byte_alphabet()[np.frombuffer(b"".join(pieces), np.uint8)].tobytes().decode("utf-32-le")
+        flat, size, at = [], [], 0
         for p in pieces:
-            out.append(np.array([t.id for t in tokenize(text[at:at + len(p)])]))
+            found = tokenize(text[at:at + len(p)])
+            flat += [t.id for t in found]
+            size.append(len(found))
             at += len(p)
-        return out
+        return np.array(flat, np.int64), np.array(size, np.int64)
 
     return Encoder(merge)
 
