@@ -213,3 +213,25 @@ def near_vectors(table: DataFrame, threshold: float = 0.93, id_col: str = "vec_i
     return out.select("r.vec_id", F.coalesce("g.n_links", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"),
                       F.coalesce(F.col("r.vec_id") == component, F.lit(False)).alias("kept"))
+
+
+def near_vectors_sql(threshold: float) -> str:
+    """Links and components in one statement for a second engine."""
+    return f"""
+WITH RECURSIVE able AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM able a JOIN able b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= {threshold}),
+reach AS (
+  SELECT DISTINCT a AS x, a AS y FROM links
+  UNION SELECT x, b FROM reach JOIN links ON y = a),
+named AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+counted AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN named ON x = vec_id LEFT JOIN counted ON a = vec_id"""

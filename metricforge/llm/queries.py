@@ -58,6 +58,9 @@ def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+ORACLE["op3_interleaved_shards"] = sharding.interleave_sql(40, 42)
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_documents(load(spark, sf_dir, "documents"), RANKS)
@@ -74,6 +77,9 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLE["op4_suffix_dedup"] = suffix_dedup.remove_repeats_sql(200)
+
+
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(load(spark, sf_dir, "documents"), shingle=3, radius=2, seed=42)
@@ -99,6 +105,9 @@ def op6_subspace_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(load(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+ORACLE["op6_subspace_pigeonhole"] = embedding_dedup.near_vectors_sql(0.93)
+
+
 @query
 def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = warc.derive(warc.responses(load(spark, sf_dir, "pages"), FETCHED))

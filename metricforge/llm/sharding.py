@@ -69,21 +69,32 @@ def interleave(docs: DataFrame, shards: int, seed: int = 42, id_col: str = "doc_
 
 
 def interleave_sql(shards: int, seed: int = 42) -> str:
-    """The placement in one statement for a second engine, without blocks."""
+    """The placement in one statement for a second engine, without blocks.
+    The checksum is folded byte by byte, by a table of the polynomial."""
     return f"""
-WITH base AS (
+WITH steps AS (
+  SELECT list(list_reduce(list_prepend(CAST(i AS BIGINT), [CAST(0 AS BIGINT) FOR z IN range(8)]),
+                          lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc
+  FROM range(256) r(i)),
+base AS (
   SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, coalesce('=' || source, 'null') AS stratum,
-         md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key
-  FROM documents),
+         md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key,
+         xor(4294967295, list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT),
+                        [CAST('0x' || x AS BIGINT) FOR x IN regexp_extract_all(hex(encode(coalesce(text, ''))), '..')]),
+           lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1]))) AS text_crc32
+  FROM documents, steps),
 spread AS (
-  SELECT *, (CAST(row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id NULLS FIRST, size) AS DOUBLE)
+  SELECT *, (CAST(row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id NULLS FIRST, text_crc32, size) AS DOUBLE)
              - CAST(CAST('0x' || substr(md5('{seed}:' || stratum), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0)
             / CAST(count(*) OVER (PARTITION BY stratum) AS DOUBLE) AS place
   FROM base),
 line AS (
-  SELECT *, row_number() OVER (ORDER BY place, stratum, key, doc_id NULLS FIRST, size) - 1 AS pos,
+  SELECT *, row_number() OVER (ORDER BY place, stratum, key, doc_id NULLS FIRST, text_crc32, size) - 1 AS pos,
          count(*) OVER () AS total
   FROM spread)
-SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(pos * {shards} // total AS INTEGER) AS shard,
-       CAST(pos - (pos * {shards} // total * total + {shards - 1}) // {shards} AS BIGINT) AS slot
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law,
+       CAST(pos * {shards} // total AS INTEGER) AS shard,
+       CAST(pos - (pos * {shards} // total * total + {shards - 1}) // {shards} AS BIGINT) AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
 FROM line"""

@@ -329,3 +329,33 @@ def strip_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", te
     return out.select(*(
         (F.when(F.size("removed") > 0, new[c].cast(kinds[c])).otherwise(F.col(f"rest.c{i}")) if c in new
          else F.col(f"rest.c{i}")).alias(c) for i, c in enumerate(docs.columns)))
+
+
+def remove_repeats_sql(length: int) -> str:
+    """The removal in one statement for a second engine: every window is
+    counted, the repeated ones are joined to runs, and the runs are cut out."""
+    return f"""
+WITH raw AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+blocks AS (
+  SELECT doc_id, q, substr(h, CAST(2 * q + 1 AS BIGINT), {2 * (256 + length - 1)}) AS block
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2, 256)) AS q FROM raw)),
+windows AS (
+  SELECT doc_id, q + i AS p, md5(substr(block, CAST(2 * i + 1 AS BIGINT), {2 * length})) AS w
+  FROM (SELECT doc_id, q, block, unnest(range(least(256, len(block) // 2 - {length - 1}))) AS i FROM blocks)),
+twice AS (
+  SELECT doc_id, p, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS step
+  FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)),
+runs AS (
+  SELECT doc_id, min(p) AS b, max(p) + {length} AS e
+  FROM (SELECT doc_id, p, sum(CASE WHEN step <= {length} THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS run
+        FROM twice)
+  GROUP BY doc_id, run),
+cut AS (
+  SELECT doc_id, count(*) AS n_spans, sum(e - b) AS n_removed, list_sort(list(b)) AS bs, list_sort(list(e)) AS es
+  FROM runs GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN bs IS NULL THEN h ELSE array_to_string(
+         [substr(h, CAST(2 * x[1] + 1 AS BIGINT), CAST(2 * (x[2] - x[1]) AS BIGINT))
+          FOR x IN list_zip(list_prepend(CAST(0 AS BIGINT), es), list_append(bs, len(h) // 2))], '') END)) AS kept_sha256
+FROM raw LEFT JOIN cut USING (doc_id)"""
