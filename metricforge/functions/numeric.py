@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ROUND_TYPE = "decimal(38,6)"
+# Wide enough that the cast itself does not round what is rounded after it.
+ROUND_TYPE = "decimal(38,15)"
 MONEY_TYPE = "decimal(18,2)"
+RATE_TYPE = "decimal(18,9)"
 
 
 def c(x) -> Column:
@@ -29,6 +31,11 @@ def money(x) -> Column:
     return c(x).cast(MONEY_TYPE)
 
 
+def rate(x) -> Column:
+    """A rate for a product with money: exact, but not cut to cents."""
+    return c(x).cast(RATE_TYPE)
+
+
 def ratio(num, den) -> Column:
     """``num / NULLIF(den, 0)`` as double."""
     return F.try_divide(c(num).cast("double"), c(den).cast("double"))

@@ -3,25 +3,25 @@ from metricforge.operators.aggregates import (
     duplicate_rows, distinct_values, wide_totals, describe,
 )
 from metricforge.operators.percentiles import (
-    Limit, limit_scalars, limits_row, pct_approx, quantile_scalars, quantiles, quantiles_long, trim_percentile,
+    Limit, limit_scalars, quantile_scalars, quantiles, quantiles_long, trim_percentile,
     with_quantiles,
 )
 from metricforge.operators.outliers import (
-    iqr_fences, flag_outliers, outlier_share, remove_outliers, box_stats, histogram,
+    iqr_fences, flag_outliers, outlier_share, box_stats, histogram,
 )
-from metricforge.operators.stats import safe_corr, corr_long, category_codes, cramers_v
+from metricforge.operators.stats import safe_corr, corr_long, category_codes, chi_square, cramers_v
 from metricforge.operators.retention import day_pairs, first_dates, retention, retention_from_activity
 from metricforge.operators.impute import fill_group_mean, drop_null, fill_const
-from metricforge.operators.joins import bounded_broadcast
+from metricforge.operators.joins import join_null_safe
 
 __all__ = [
     "value_counts", "with_share", "topk", "mode_by_group", "null_profile", "duplicate_summary",
     "duplicate_rows", "distinct_values", "wide_totals", "describe",
-    "Limit", "limit_scalars", "limits_row", "pct_approx", "quantile_scalars", "quantiles", "quantiles_long",
+    "Limit", "limit_scalars", "quantile_scalars", "quantiles", "quantiles_long",
     "trim_percentile", "with_quantiles",
-    "iqr_fences", "flag_outliers", "outlier_share", "remove_outliers", "box_stats", "histogram",
-    "safe_corr", "corr_long", "category_codes", "cramers_v",
+    "iqr_fences", "flag_outliers", "outlier_share", "box_stats", "histogram",
+    "safe_corr", "corr_long", "category_codes", "chi_square", "cramers_v",
     "day_pairs", "first_dates", "retention", "retention_from_activity",
     "fill_group_mean", "drop_null", "fill_const",
-    "bounded_broadcast",
+    "join_null_safe",
 ]

@@ -16,6 +16,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from metricforge.functions.numeric import dec_round, pct, ratio
+from metricforge.operators.joins import join_null_safe
+from metricforge.session import write_once
 
 
 def value_counts(df: DataFrame, col: str, name: str = "n", dropna: bool = True) -> DataFrame:
@@ -27,11 +29,11 @@ def value_counts(df: DataFrame, col: str, name: str = "n", dropna: bool = True)
 def with_share(grouped: DataFrame, value: str, out: str, partition: Sequence[str] = (),
                scale: int = 2, percent: bool = True) -> DataFrame:
     """``value / SUM(value) OVER (PARTITION BY partition)`` on grouped
-    rows, computed as an aggregate joined back."""
+    rows, computed as an aggregate joined back (NULL is a partition)."""
     tot = "__total"
     if partition:
         totals = grouped.groupBy(*partition).agg(F.sum(value).alias(tot))
-        joined = grouped.join(totals, list(partition), "left")
+        joined = join_null_safe(grouped, totals, partition, "left")
         total = F.col(tot)
     else:
         # Grand total as a scalar subquery (computed once, no join).
@@ -86,10 +88,11 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     Group sizes come from an aggregate (map-side reduced, skew-safe) and are
     joined back; AQE's skew join splits a key that holds a large share of
-    rows, instead of one window task sorting the whole hot group."""
-    sizes = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_size"))
-             .where(F.col("group_size") > 1))
-    return df.join(sizes, list(keys), "inner")
+    rows, instead of one window task sorting the whole hot group. NULL keys
+    are equal, as in pandas."""
+    sizes = write_once(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_size"))
+                       .where(F.col("group_size") > 1))
+    return join_null_safe(df, sizes, keys)
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -110,7 +113,7 @@ def wide_totals(df: DataFrame, cols: Sequence[str], how: str = "sum", scale: int
     (measure, value, rank)."""
     if how == "sum":
         # pandas ``df[cols].sum()``: an all-NULL column sums to 0.
-        aggs = [dec_round(F.coalesce(F.sum(F.col(x).cast("decimal(18,2)")), F.lit(0)), scale).alias(x) for x in cols]
+        aggs = [dec_round(F.coalesce(F.sum(F.col(x).cast("decimal(28,9)")), F.lit(0)), scale).alias(x) for x in cols]
         vtype = "double"
     elif how == "positive":
         aggs = [F.count_if(F.col(x) > 0).alias(x) for x in cols]

@@ -1,23 +1,28 @@
-"""Join helpers.
+"""Join helpers.
 
-Broadcast is used in two cases only:
-* the side is bounded by construction (a one-row aggregate, a top-k result,
-  a 12-month calendar) -> ``F.broadcast`` directly;
-* otherwise ``bounded_broadcast`` measures the side (a ``limit(n+1).count()``
-  job over the already-reduced side) and broadcasts only under the bound.
-Everything else is left to the planner: AQE turns a sort-merge join into a
-broadcast join when the measured runtime size is under
-``spark.sql.autoBroadcastJoinThreshold`` and splits skewed partitions.
+Sizes are left to the planner: a scan or a written intermediate has an exact
+size, so a side under ``spark.sql.autoBroadcastJoinThreshold`` is broadcast,
+and AQE does the same from measured shuffle sizes and splits skewed
+partitions. ``F.broadcast`` is used directly only for a side that is bounded
+by construction (a top-k result, a label list, histogram bins).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIM_MAX_ROWS = 1_000_000
-
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` treating NULL keys as equal (a NULL group is a
+    group, like GROUP BY and like pandas ``merge``)."""
+    keys = list(keys)
+    if not keys:
+        raise ValueError("join keys required")
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = reduce(lambda a, b: a & b, (left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys))
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])

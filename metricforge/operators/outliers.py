@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from metricforge.functions.numeric import dec_round, ratio
 from metricforge.operators.percentiles import quantiles, with_quantiles
+from metricforge.session import write_once
 
 
 def iqr_fences(df: DataFrame, keys: Sequence[str], value: str, k: float) -> DataFrame:
@@ -27,7 +28,9 @@ def iqr_fences(df: DataFrame, keys: Sequence[str], value: str, k: float) -> Data
 def flag_outliers(df: DataFrame, keys: Sequence[str], value: str, k: float,
                   out: str = "is_outlier") -> DataFrame:
     """Rows plus a strict fence flag (H2: a value on the fence is kept)."""
-    f = iqr_fences(df, keys, value, k).select(*keys, "lower_fence", "upper_fence")
+    # Written, so that its size is known and the rows are not shuffled on a
+    # few group keys.
+    f = write_once(iqr_fences(df, keys, value, k).select(*keys, "lower_fence", "upper_fence"))
     joined = df.join(f, list(keys), "left")
     flag = (F.col(value) < F.col("lower_fence")) | (F.col(value) > F.col("upper_fence"))
     return joined.withColumn(out, F.coalesce(flag, F.lit(False))).drop("lower_fence", "upper_fence")
@@ -48,10 +51,6 @@ def outlier_share(df: DataFrame, keys: Sequence[str], value: str, k: float = 3.0
              .drop("__out"))
 
 
-def remove_outliers(df: DataFrame, keys: Sequence[str], value: str, k: float = 1.5) -> DataFrame:
-    return flag_outliers(df, keys, value, k).where(~F.col("is_outlier")).drop("is_outlier")
-
-
 def box_stats(df: DataFrame, keys: Sequence[str], value: str, k: float = 1.5, scale: int = 4) -> DataFrame:
     """Quartiles, fences, whiskers (extreme values inside the fences),
     outlier count; one aggregate for quartiles, one for whiskers."""
@@ -60,6 +59,7 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str, k: float = 1.5, sc
     iqr = F.col("q3") - F.col("q1")
     f = (f.withColumn("lower_fence", F.col("q1") - F.lit(k) * iqr)
           .withColumn("upper_fence", F.col("q3") + F.lit(k) * iqr))
+    f = write_once(f)
     j = df.join(f.select(*keys, "lower_fence", "upper_fence"), list(keys), "left")
     inside = (F.col(value) >= F.col("lower_fence")) & (F.col(value) <= F.col("upper_fence"))
     w = j.groupBy(*keys).agg(

@@ -18,7 +18,6 @@ values without holding any group in one task:
 
 The built-in ``percentile`` merges the full value -> count map of a group
 in one task, so its memory grows with the group; no metric uses it.
-``percentile_approx`` is offered only as an explicit opt-in (``pct_approx``).
 """
 
 from __future__ import annotations
@@ -30,23 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from metricforge.functions.numeric import c
-from metricforge.session import checkpoint_dir
-
-
-def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` treating NULL keys as equal (a NULL group is a
-    group, like GROUP BY)."""
-    keys = list(keys)
-    if not keys:
-        raise ValueError("join keys required")
-    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        t = left[k].eqNullSafe(r[f"__r_{k}"])
-        cond = t if cond is None else cond & t
-    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
+from metricforge.operators.joins import join_null_safe
+from metricforge.session import write_once
 
 
 def ranged_counts(df: DataFrame, values: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -63,9 +47,7 @@ def ranged_counts(df: DataFrame, values: Sequence[str], keys: Sequence[str] = ()
         F.struct(F.lit(v).alias("__m"), F.col(v).cast("double").alias("__v")) for v in values])))
     counts = (long.where(F.col("__v").isNotNull()).groupBy(*gk, "__v")
                   .agg(F.count(F.lit(1)).alias("__c")))
-    checkpoint_dir(df.sparkSession)
-    return (counts.repartitionByRange(*gk, "__v").withColumn("__pid", F.spark_partition_id())
-            .checkpoint(eager=True))
+    return write_once(counts.repartitionByRange(*gk, "__v").withColumn("__pid", F.spark_partition_id()))
 
 
 def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys: Sequence[str] = (),
@@ -108,9 +90,9 @@ def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys:
     tgt = (blocks.select("__pid", *gk, "__off", F.explode(F.array(*targets)).alias("t"))
                  .where(F.col("t.lo").between(first, last) | F.col("t.hi").between(first, last))
                  .select("__pid", *gk, "__off", "t.i", "t.lo", "t.hi", "t.pos"))
-    wanted = _join_keys(ranged, tgt.select("__pid", *gk), ["__pid", *gk], "left_semi")
+    wanted = join_null_safe(ranged, tgt.select("__pid", *gk), ["__pid", *gk], "left_semi")
     inside = W.partitionBy("__pid", *gk).orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = _join_keys(wanted.withColumn("__cum", F.sum("__c").over(inside)), tgt, ["__pid", *gk])
+    ranked = join_null_safe(wanted.withColumn("__cum", F.sum("__c").over(inside)), tgt, ["__pid", *gk])
     end = F.col("__off") + F.col("__cum")
     start = end - F.col("__c") + 1
     in_lo = (F.col("lo") >= start) & (F.col("lo") <= end)
@@ -161,7 +143,7 @@ def with_quantiles(grouped: DataFrame, src: DataFrame, keys: Sequence[str], spec
         wide = q.groupBy(*keys).agg(*[
             F.max(F.when(F.col("__m") == v, F.col(f"q{probs.index(p)}"))).alias(n) for v, p, n in items])
         if keys:
-            out = _join_keys(out, wide, keys, "left")
+            out = join_null_safe(out, wide, keys, "left")
         else:
             out = out.select("*", *[wide.select(n).scalar().alias(n) for _, _, n in items])
     return out
@@ -173,11 +155,6 @@ def quantile_scalars(df: DataFrame, value: str, probs: Sequence[float], kind: st
     return [q.select(f"q{i}").scalar() for i in range(len(probs))]
 
 
-def pct_approx(x, p: float, accuracy: int = 10000) -> Column:
-    """Opt-in approximate percentile (bounded memory per group)."""
-    return F.percentile_approx(c(x), F.lit(p), F.lit(accuracy))
-
-
 @dataclass(frozen=True)
 class Limit:
     """One trimming rule: ``column < limit`` (``upper``) or ``column > limit``
@@ -194,11 +171,6 @@ class Limit:
         return self.name or f"{self.column}_{'hi' if self.upper else 'lo'}_limit"
 
 
-def limits_row(ref: DataFrame, rules: Sequence[Limit]) -> DataFrame:
-    """One-row frame of all limits (F5 scalar subqueries)."""
-    return ref.sparkSession.range(1).select(*[v.alias(k) for k, v in limit_scalars(ref, rules).items()])
-
-
 def trim_condition(rules: Sequence[Limit], limits: dict | None = None) -> Column:
     """Null-preserving guards; ``limits`` maps a rule alias to a Column
     (scalar subquery), default: a column of that name."""

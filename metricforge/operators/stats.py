@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from metricforge.functions.numeric import dec_round
+from metricforge.session import write_once
 
 
 def safe_corr(a: str, b: str) -> Column:
@@ -38,37 +39,43 @@ def corr_long(df: DataFrame, cols: Sequence[str], scale: int = 6) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
-def category_codes(df: DataFrame, col: str, out: str, max_categories: int = 1_000_000) -> DataFrame:
+def category_codes(df: DataFrame, col: str, out: str) -> DataFrame:
     """``astype('category').cat.codes`` - alphabetical code from 0,
-    NULL -> -1 (H12). Distinct values are an aggregate; their number is
-    checked before they are numbered and broadcast."""
+    NULL -> -1 (H12). The distinct values are an aggregate, dealt into ranges;
+    a value's code is the number of values in the ranges before its own (one
+    row per range) plus its rank there, so no task orders all of them."""
     values = df.where(F.col(col).isNotNull()).select(col).distinct()
-    # The alphabetical numbering is one ordered pass over the distinct
-    # values, so their number is checked first (a category, not a key).
-    if values.limit(max_categories + 1).count() > max_categories:
-        raise ValueError(f"{col}: more than {max_categories} categories")
-    codes = values.withColumn(out, (F.row_number().over(W.orderBy(col)) - 1).cast("int"))
-    return df.join(F.broadcast(codes), col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(-1)))
+    values = write_once(values.repartitionByRange(col).withColumn("__range", F.spark_partition_id()))
+    sizes = values.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.select("__range", (F.sum("__n").over(W.orderBy("__range")) - F.col("__n")).alias("__before"))
+    rank = F.row_number().over(W.partitionBy("__range").orderBy(col))
+    codes = write_once(values.join(before, "__range")
+                       .select(col, (F.col("__before") + rank - 1).cast("int").alias(out)))
+    return df.join(codes, col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(-1)))
+
+
+def chi_square(cells: DataFrame, a: str, b: str) -> DataFrame:
+    """(chi2, n, ka, kb) of ``cells(a, b, o)``: observed counts of the cells
+    that occur. Chi-square is the sum of (o - e)^2 / e over them, plus the
+    expected counts of the others (n less the sum of e), so no grid is built,
+    nothing large is subtracted and no product of counts can overflow."""
+    ra = cells.groupBy(a).agg(F.sum("o").cast("double").alias("ra"))
+    rb = cells.groupBy(b).agg(F.sum("o").cast("double").alias("rb"))
+    n = cells.agg(F.sum("o").cast("double")).scalar()
+    seen = cells.join(ra, a).join(rb, b).withColumn("e", F.col("ra") / n * F.col("rb"))
+    gap = F.col("o").cast("double") - F.col("e")
+    # e is 0 nowhere: every margin of a seen cell is positive.
+    return seen.agg((F.sum(gap * gap / F.col("e")) + F.greatest(n - F.sum("e"), F.lit(0.0))).alias("chi2")).select(
+        "chi2", n.alias("n"), ra.agg(F.count("*")).scalar().alias("ka"), rb.agg(F.count("*")).scalar().alias("kb"))
 
 
 def cramers_v(df: DataFrame, a: str, b: str, scale: int = 6) -> DataFrame:
     """A36 (re-aimed association matrix entry): chi-square of the
-    contingency table and Cramer's V. Marginals are aggregates of the
-    (a, b) counts, joined back."""
-    cells = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(
-        F.count(F.lit(1)).alias("o"))
-    ra = cells.groupBy(a).agg(F.sum("o").alias("ra"))
-    rb = cells.groupBy(b).agg(F.sum("o").alias("rb"))
-    tot = cells.agg(F.sum("o").alias("n"), F.countDistinct(a).alias("ka"), F.countDistinct(b).alias("kb"))
-    # chi2 = sum over all cells of (o - e)^2 / e = n * sum_observed(o^2 / (ra * rb)) - n;
-    # empty cells drop out, so no (a x b) grid is built.
-    obs = cells.join(ra, a).join(rb, b)
-    chi = (obs.agg(F.sum(F.col("o") * F.col("o") / (F.col("ra") * F.col("rb"))).alias("s"))
-           .select((tot.select("n").scalar() * F.col("s") - tot.select("n").scalar()).alias("chi2"),
-                   tot.select("n").scalar().alias("n"), tot.select("ka").scalar().alias("ka"),
-                   tot.select("kb").scalar().alias("kb")))
+    contingency table and Cramer's V."""
+    cells = write_once(df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b)
+                       .agg(F.count(F.lit(1)).alias("o")))
     v = F.sqrt(F.try_divide(F.col("chi2") / F.col("n"), F.least("ka", "kb") - 1))
-    return chi.select(
+    return chi_square(cells, a, b).select(
         dec_round("chi2", scale).alias("chi2"),
         ((F.col("ka") - 1) * (F.col("kb") - 1)).cast("bigint").alias("dof"),
         F.col("n").cast("bigint").alias("n"),

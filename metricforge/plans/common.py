@@ -33,8 +33,9 @@ def tables(spark: SparkSession, sf_dir: str):
 # --- SQL text helpers for the oracle statements --------------------------
 
 def R(expr: str, scale: int = 2) -> str:
-    """SQL twin of ``functions.numeric.dec_round``."""
-    return f"CAST(ROUND(CAST(({expr}) AS DECIMAL(38,6)), {scale}) AS DOUBLE)"
+    """SQL twin of ``functions.numeric.dec_round``. Through text, as a double
+    counts by its shortest digits (a direct cast scales it in binary)."""
+    return f"CAST(ROUND(CAST(CAST(({expr}) AS STRING) AS DECIMAL(38,15)), {scale}) AS DOUBLE)"
 
 
 def RATIO(num: str, den: str) -> str:
@@ -47,3 +48,7 @@ def PCT(num: str, den: str, scale: int = 2) -> str:
 
 def MONEY(expr: str) -> str:
     return f"CAST(({expr}) AS DECIMAL(18,2))"
+
+
+def RATE(expr: str) -> str:
+    return f"CAST(({expr}) AS DECIMAL(18,9))"

@@ -16,18 +16,18 @@ from pyspark.sql import functions as F
 
 from metricforge.functions.binning import bucketize, classify_size
 from metricforge.functions.coerce import coerce_date, coerce_numeric, midpoint
-from metricforge.functions.numeric import dec_round, money, pct, ratio_eps
+from metricforge.functions.calendar import year_range
+from metricforge.functions.numeric import dec_round, money, pct, rate, ratio_eps
 from metricforge.operators.aggregates import topk, value_counts, wide_totals
 from metricforge.operators.outliers import flag_outliers, outlier_share
 from metricforge.operators.percentiles import with_quantiles
-from metricforge.plans.common import MONEY, PCT, R, RATIO, register, tables
-from metricforge.session import materialize
+from metricforge.plans.common import MONEY, PCT, RATE, R, RATIO, register, tables
+from metricforge.session import write_once
 from metricforge.sources.files import normalize_headers
 
 # Fixed labels (ASCII output names).
 TERM_GROUPS = ["single", "up_to_year", "over_year"]
 SIZE_CLASSES = ["niche", "medium", "mass"]
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 EXCLUDED_SEGMENTS = ("HOUSEHOLD",)
 MIN_ROUNDS_PER_YEAR = 50
 
@@ -158,37 +158,78 @@ WHERE p.p_name IS NOT NULL
 GROUP BY 1
 """)
 def market_collapsed_counts(spark: SparkSession, d: str, low: int = 35, high: int = 120) -> DataFrame:
-    """Every company gets its market's class by a many-to-one
-    left join (one row per market on the right), medium markets become
-    'mid' and niche markets 'niche', then companies per collapsed market."""
-    p = tables(spark, d)("part").where(F.col("p_name").isNotNull()).select(F.col("p_name").alias("market"))
-    cls = market_sizes(spark, d, low, high).select("market", "segment_type")
-    j = p.join(cls, "market", "left")
-    collapsed = (F.when(F.col("segment_type") == "medium", F.lit("mid"))
-                  .when(F.col("segment_type") == "niche", F.lit("niche")).otherwise(F.col("market")))
-    return value_counts(j.withColumn("market", collapsed), "market", "n_companies").orderBy(F.desc("n_companies"), "market")
+    """Companies per market label, with medium markets as 'mid'
+    and niche markets as 'niche'. Every company has its market's label, and
+    the market table already counts the companies."""
+    m = segment_classes(spark, d, low, high)
+    return (m.groupBy(F.col("market_collapsed").alias("market"))
+            .agg(F.sum("company_count").cast("bigint").alias("n_companies")).orderBy(F.desc("n_companies"), "market"))
+
+
+def mass_market_years(spark: SparkSession, d: str, low: int = 35, high: int = 40) -> DataFrame:
+    """Line amounts per (year, collapsed market), the collapsed
+    'mid' and 'niche' left out. Lines are summed per (part, year) before the
+    part join; the market labels are one row per market."""
+    t = tables(spark, d)
+    labels = write_once(segment_classes(spark, d, low, high).where(~F.col("market_collapsed").isin("mid", "niche"))
+                        .select("market", "market_collapsed"))
+    orders = t("orders").where(F.col("o_orderdate").isNotNull()).select("o_orderkey", F.year("o_orderdate").alias("year"))
+    lines = (t("lineitem").select("l_orderkey", "l_partkey", money("l_extendedprice").alias("amt"))
+             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+             .groupBy("l_partkey", "year").agg(F.sum("amt").alias("amt")))
+    parts = t("part").select("p_partkey", F.col("p_name").alias("market"))
+    return (lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(labels, "market")
+            .groupBy("year", F.col("market_collapsed").alias("market")).agg(F.sum("amt").alias("amt")))
+
+
+SQL_MASS_YEARS = f"""
+SELECT YEAR(o_orderdate) AS year, p_name AS market, SUM({MONEY('l_extendedprice')}) AS amt
+FROM lineitem, orders, part
+WHERE l_orderkey = o_orderkey AND l_partkey = p_partkey AND o_orderdate IS NOT NULL
+  AND p_name IN (SELECT p_name FROM part GROUP BY p_name HAVING COUNT(*) > 40)
+GROUP BY ALL
+"""
+
+
+@register("mass_market_pivot", f"SELECT year, market, {R('amt')} AS total FROM ({SQL_MASS_YEARS}) y")
+def mass_market_pivot(spark: SparkSession, d: str) -> DataFrame:
+    """Year by mass market, in long form."""
+    return mass_market_years(spark, d).select("year", "market", dec_round("amt", 2).alias("total")).orderBy("year", "market")
 
 
-def order_rounds(spark: SparkSession, d: str) -> DataFrame:
+@register("mass_market_growing", f"""
+SELECT market, {R('SUM(amt) FILTER (WHERE year = 1997)')} AS total_before, {R('SUM(amt) FILTER (WHERE year = 1998)')} AS total_after
+FROM ({SQL_MASS_YEARS}) y GROUP BY market HAVING SUM(amt) FILTER (WHERE year = 1998) > SUM(amt) FILTER (WHERE year = 1997)
+""")
+def mass_market_growing(spark: SparkSession, d: str, before: int = 1997, after: int = 1998) -> DataFrame:
+    """M31/F15 on the mass markets of M24."""
+    return growing(mass_market_years(spark, d).withColumnRenamed("market", "segment"), before, after).withColumnRenamed(
+        "segment", "market")
+
+
+def order_rounds(spark: SparkSession, d: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """One row per order with lines: rounds = number of lines, round size =
-    total / rounds, funding year."""
+    total / rounds, funding year. A year range cuts the orders in their scan."""
     t = tables(spark, d)
     lines = t("lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("funding_rounds"))
     o = t("orders").select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderdate")
+    if first is not None:
+        o = o.where(year_range("o_orderdate", first, last))
     j = o.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-    # Read by the fence quantiles, the fence join and the final aggregates:
-    # written once instead of re-aggregating the lines per branch.
-    return materialize(j.select("o_orderkey", F.col("o_orderpriority").alias("market"), "funding_rounds",
+    return j.select("o_orderkey", F.col("o_orderpriority").alias("market"), "funding_rounds",
                     F.col("o_totalprice").alias("funding_total"),
                     (F.col("o_totalprice") / F.col("funding_rounds")).alias("round_size"),
                     F.year("o_orderdate").alias("funding_year"),
-                    F.month("o_orderdate").alias("funding_month")))
+                    F.month("o_orderdate").alias("funding_month"))
 
 
 def _with_market(spark: SparkSession, d: str) -> DataFrame:
     """Rounds of companies with a market: ``groupby('market').apply(...)``
-    drops rows whose key is missing (H11)."""
-    return order_rounds(spark, d).where(F.col("market").isNotNull())
+    drops rows whose key is missing (H11). Read by the fences and by the
+    rows they flag: the columns in use are written once, and neither reader
+    shuffles the lines again."""
+    return write_once(order_rounds(spark, d).where(F.col("market").isNotNull())
+                      .select("o_orderkey", "market", "funding_rounds", "funding_total", "round_size", "funding_year"))
 
 
 SQL_ROUNDS = """
@@ -204,24 +245,24 @@ FROM orders o JOIN (SELECT l_orderkey, COUNT(*) AS funding_rounds FROM lineitem
 def _sql_flagged(k: float) -> str:
     return f"""
 WITH r AS ({SQL_ROUNDS}),
-f AS (SELECT market, QUANTILE_CONT(round_size, 0.25) AS q1, QUANTILE_CONT(round_size, 0.75) AS q3 FROM r GROUP BY market)
-SELECT r.*, COALESCE(r.round_size < f.q1 - {k} * (f.q3 - f.q1) OR r.round_size > f.q3 + {k} * (f.q3 - f.q1), FALSE)
+f AS (SELECT market, QUANTILE_CONT(funding_total, 0.25) AS q1, QUANTILE_CONT(funding_total, 0.75) AS q3 FROM r GROUP BY market)
+SELECT r.*, COALESCE(r.funding_total < f.q1 - {k} * (f.q3 - f.q1) OR r.funding_total > f.q3 + {k} * (f.q3 - f.q1), FALSE)
          AS is_outlier
 FROM r JOIN f ON r.market = f.market
 """
 
 
 @register("iqr_outlier_share", f"""
-WITH g AS (SELECT market, COUNT(round_size) AS n_rows, COUNT(*) FILTER (WHERE is_outlier) AS n_out
+WITH g AS (SELECT market, COUNT(funding_total) AS n_rows, COUNT(*) FILTER (WHERE is_outlier) AS n_out
            FROM ({_sql_flagged(3.0)}) x GROUP BY market)
 SELECT market, n_rows, CASE WHEN n_out > 0 THEN n_out END AS n_outliers,
        {R(RATIO('CASE WHEN n_out > 0 THEN n_out END', 'n_rows'), 4)} AS outlier_share
 FROM g ORDER BY outlier_share DESC NULLS LAST, market LIMIT 5
 """)
 def iqr_outlier_share(spark: SparkSession, d: str, k: float = 3.0, top: int = 5) -> DataFrame:
-    """Share of outlier companies per market (IQR, k=3),
-    top markets; a market without outliers has a NULL share (H8)."""
-    s = outlier_share(_with_market(spark, d), ["market"], "round_size", k)
+    """Share of outlier companies per market (IQR of the
+    total funding, k=3), top markets; a market without outliers has a NULL share (H8)."""
+    s = outlier_share(_with_market(spark, d), ["market"], "funding_total", k)
     return topk(s, top, [F.desc_nulls_last("outlier_share")], ["market"])
 
 
@@ -231,16 +272,18 @@ FROM ({_sql_flagged(1.5)}) x GROUP BY market
 """)
 def iqr_outlier_removed(spark: SparkSession, d: str, k: float = 1.5) -> DataFrame:
     """Rows per market before and after removing outliers (k=1.5, H1)."""
-    f = flag_outliers(_with_market(spark, d), ["market"], "round_size", k)
+    f = flag_outliers(_with_market(spark, d), ["market"], "funding_total", k)
     return f.groupBy("market").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("is_outlier")).alias("n_kept"))
 
 
 def final_rounds(spark: SparkSession, d: str, k: float = 1.5, min_rounds: int = MIN_ROUNDS_PER_YEAR) -> DataFrame:
     """Clean rows (outliers removed) in years with at least ``min_rounds``
     rounds (F9 HAVING, F7 semi join on the year set)."""
-    clean = flag_outliers(_with_market(spark, d), ["market"], "round_size", k).where(~F.col("is_outlier"))
-    valid = (clean.groupBy("funding_year").agg(F.sum("funding_rounds").alias("r"))
-                  .where(F.col("r") >= min_rounds).select("funding_year"))
+    clean = flag_outliers(_with_market(spark, d), ["market"], "funding_total", k).where(~F.col("is_outlier"))
+    # A row per year, written so that its size is known: the rows are not
+    # shuffled on a few years.
+    valid = write_once(clean.groupBy("funding_year").agg(F.sum("funding_rounds").alias("r"))
+                       .where(F.col("r") >= min_rounds).select("funding_year"))
     return clean.join(valid, "funding_year", "left_semi")
 
 
@@ -276,7 +319,7 @@ SELECT funding_month, COUNT(*) AS n_rows FROM ({SQL_ROUNDS}) r WHERE funding_yea
 """)
 def completeness_months(spark: SparkSession, d: str, year: int = 1998) -> DataFrame:
     """Rows per month of one year."""
-    r = order_rounds(spark, d).where(F.col("funding_year") == year)
+    r = order_rounds(spark, d, year, year)
     return r.groupBy("funding_month").agg(F.count(F.lit(1)).alias("n_rows")).orderBy("funding_month")
 
 
@@ -312,27 +355,30 @@ def _segment_sums(spark: SparkSession, d: str, excluded=EXCLUDED_SEGMENTS) -> Da
     return o.join(c, F.col("o_custkey") == F.col("c_custkey"))
 
 
-def _pivot_sql():
-    kept = [s for s in SEGMENTS if s not in EXCLUDED_SEGMENTS]
-    amount = MONEY("o.o_totalprice")
-    cols = ", ".join(
-        R(f"SUM(CASE WHEN c.c_mktsegment = '{seg}' THEN {amount} END)") + f" AS {seg}" for seg in kept)
-    excluded = ", ".join(f"'{seg}'" for seg in EXCLUDED_SEGMENTS)
-    return f"""
-SELECT CAST(EXTRACT(YEAR FROM o.o_orderdate) AS INTEGER) AS year, {cols}
-FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-WHERE c.c_mktsegment NOT IN ({excluded}) AND o.o_orderdate IS NOT NULL
-GROUP BY 1
-"""
-
-
-@register("pivot_year_group", _pivot_sql())
+@register("pivot_year_group", f"""
+SELECT YEAR(o_orderdate) AS year, c_mktsegment AS segment, {R(f"SUM({MONEY('o_totalprice')})")} AS total
+FROM customer JOIN orders ON c_custkey = o_custkey
+WHERE o_orderdate IS NOT NULL AND c_mktsegment NOT IN ({", ".join(f"'{x}'" for x in EXCLUDED_SEGMENTS)})
+GROUP BY ALL
+""")
 def pivot_year_group(spark: SparkSession, d: str) -> DataFrame:
-    """Year x segment total funding, listed segments excluded.
-    Pivot values are given explicitly (no extra distinct pass, stable schema)."""
-    kept = [s for s in SEGMENTS if s not in EXCLUDED_SEGMENTS]
+    """Year by segment total funding, excluded segments left out.
+    Long form (year, segment, total), so every segment of the data is there
+    and the schema does not depend on it."""
     j = _segment_sums(spark, d).where(F.col("year").isNotNull())  # pivot_table drops a missing index
-    return j.groupBy("year").pivot("c_mktsegment", kept).agg(dec_round(F.sum("amt"), 2)).orderBy("year")
+    return (j.groupBy("year", F.col("c_mktsegment").alias("segment")).agg(dec_round(F.sum("amt"), 2).alias("total"))
+            .orderBy("year", "segment"))
+
+
+def growing(sums: DataFrame, before: int, after: int) -> DataFrame:
+    """segments of ``sums(year, segment, amt)`` whose total grew between
+    two years. A segment with no rows in either year has a NULL sum and drops
+    out (H29)."""
+    g = sums.groupBy("segment").agg(
+        F.sum(F.when(F.col("year") == before, F.col("amt"))).alias("a"),
+        F.sum(F.when(F.col("year") == after, F.col("amt"))).alias("b"))
+    return g.where(F.col("b") > F.col("a")).select(
+        "segment", dec_round("a", 2).alias("total_before"), dec_round("b", 2).alias("total_after"))
 
 
 @register("growing_groups", f"""
@@ -346,17 +392,11 @@ WITH s AS (
 SELECT segment, {R('a')} AS total_before, {R('b')} AS total_after FROM s WHERE b > a
 """)
 def growing_groups(spark: SparkSession, d: str, before: int = 1997, after: int = 1998) -> DataFrame:
-    """Segments whose total grew between two years. A segment with
-    no rows in either year has a NULL sum and drops out (H29)."""
-    j = _segment_sums(spark, d)
-    g = j.groupBy(F.col("c_mktsegment").alias("segment")).agg(
-        F.sum(F.when(F.col("year") == before, F.col("amt"))).alias("a"),
-        F.sum(F.when(F.col("year") == after, F.col("amt"))).alias("b"))
-    return g.where(F.col("b") > F.col("a")).select(
-        "segment", dec_round("a", 2).alias("total_before"), dec_round("b", 2).alias("total_after"))
+    """Segments whose total grew between two years."""
+    return growing(_segment_sums(spark, d).withColumnRenamed("c_mktsegment", "segment"), before, after)
 
 
-@register("return_ratio", f"""
+SQL_RETURNS = f"""
 WITH inv AS (
   SELECT CAST(EXTRACT(YEAR FROM o.o_orderdate) AS INTEGER) AS year, l.l_returnflag AS type,
          COALESCE(SUM({MONEY('l.l_extendedprice')}), 0) AS investments
@@ -364,7 +404,7 @@ WITH inv AS (
   WHERE o.o_orderdate IS NOT NULL AND l.l_returnflag IS NOT NULL GROUP BY 1, 2),
 ret AS (
   SELECT CAST(EXTRACT(YEAR FROM l_shipdate) AS INTEGER) AS year, l_returnflag AS type,
-         SUM({MONEY('l_extendedprice')} * (1 - {MONEY('l_discount')})) AS returns
+         SUM({MONEY('l_extendedprice')} * (1 - {RATE('l_discount')})) AS returns
   FROM lineitem WHERE l_shipdate IS NOT NULL AND l_returnflag IS NOT NULL GROUP BY 1, 2),
 j AS (
   SELECT COALESCE(r.year, i.year) AS year, COALESCE(r.type, i.type) AS type, r.returns, i.investments,
@@ -373,13 +413,19 @@ j AS (
 SELECT year, type, {R('returns')} AS returns, {R('investments')} AS investments,
        {R('CASE WHEN ratio <= 1 THEN ratio END', 6)} AS return_ratio
 FROM j
-""")
-def return_ratio(spark: SparkSession, d: str, eps: float = 1e-6, returns_scale: float = 1.0) -> DataFrame:
+"""
+CHOSEN_TYPES = ("A", "N")
+
+
+@register("return_ratio", SQL_RETURNS)
+def return_ratio(spark: SparkSession, d: str, eps: float = 1e-6, returns_scale: float = 1.0,
+                 types: tuple[str, ...] | None = None) -> DataFrame:
     """Returns / (investments + eps) per (year, type),
-    aligned with a full outer join (H30); ratios above 1 become NULL."""
+    aligned with a full outer join (H30); ratios above 1 become NULL.
+    ``types`` keeps the chosen funding types, in the scan of the lines."""
     t = tables(spark, d)
     # pandas group sums drop missing years; funding types are columns (never missing).
-    li = t("lineitem").where(F.col("l_returnflag").isNotNull())
+    li = t("lineitem").where(F.col("l_returnflag").isNotNull() if types is None else F.col("l_returnflag").isin(*types))
     # Lines reduced per (order, type) before the order join.
     per_order = li.groupBy("l_orderkey", "l_returnflag").agg(F.sum(money("l_extendedprice")).alias("s"))
     orders = t("orders").where(F.col("o_orderdate").isNotNull()).select("o_orderkey", "o_orderdate")
@@ -388,7 +434,7 @@ def return_ratio(spark: SparkSession, d: str, eps: float = 1e-6, returns_scale:
              .agg(F.coalesce(F.sum("s"), F.lit(0)).alias("investments")))  # H10
     ret = (li.where(F.col("l_shipdate").isNotNull())
              .groupBy(F.year("l_shipdate").alias("year"), F.col("l_returnflag").alias("type"))
-             .agg(F.sum(money("l_extendedprice") * (F.lit(1) - money("l_discount"))).alias("returns")))
+             .agg(F.sum(money("l_extendedprice") * (F.lit(1) - rate("l_discount"))).alias("returns")))
     j = ret.join(inv, ["year", "type"], "full_outer")
     # H9: the source divides returns (millions) by dollars without conversion;
     # ``returns_scale`` applies a unit factor to the returns side if wanted.
@@ -398,17 +444,38 @@ def return_ratio(spark: SparkSession, d: str, eps: float = 1e-6, returns_scale:
                     dec_round(F.when(r <= 1, r), 6).alias("return_ratio"))
 
 
-@register("wide_sum_rank", f"""
-WITH t AS (SELECT {R('COALESCE(SUM(' + MONEY('l_quantity') + '), 0)')} AS l_quantity,
-                  {R('COALESCE(SUM(' + MONEY('l_extendedprice') + '), 0)')} AS l_extendedprice,
-                  {R('COALESCE(SUM(' + MONEY('l_discount') + '), 0)')} AS l_discount,
-                  {R('COALESCE(SUM(' + MONEY('l_tax') + '), 0)')} AS l_tax FROM lineitem),
-u AS (UNPIVOT t ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME measure VALUE value)
-SELECT measure, value, RANK() OVER (ORDER BY value DESC NULLS LAST) AS rank FROM u
-""")
+@register("return_ratio_chosen", f"SELECT * FROM ({SQL_RETURNS}) r WHERE type IN {CHOSEN_TYPES}")
+def return_ratio_chosen(spark: SparkSession, d: str) -> DataFrame:
+    """M32's last step: the ratio of the chosen funding types."""
+    return return_ratio(spark, d, types=CHOSEN_TYPES)
+
+
+def WIDE(x: str) -> str:
+    return f"CAST({x} AS DECIMAL(28,9))"
+
+
+TYPE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _wide_sql(src: str) -> str:
+    sums = ", ".join(f"{R(f'COALESCE(SUM({WIDE(c)}), 0)')} AS {c}" for c in TYPE_COLS)
+    return f"""
+SELECT measure, value, RANK() OVER (ORDER BY value DESC NULLS LAST) AS rank
+FROM (UNPIVOT (SELECT {sums} FROM {src}) ON {', '.join(TYPE_COLS)} INTO NAME measure VALUE value) u"""
+
+
+@register("wide_sum_rank", _wide_sql("lineitem"))
 def wide_sum_rank(spark: SparkSession, d: str) -> DataFrame:
     """Total per measure column, ranked."""
-    return wide_totals(tables(spark, d)("lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "sum")
+    return wide_totals(tables(spark, d)("lineitem"), TYPE_COLS, "sum")
+
+
+@register("kept_type_totals", _wide_sql(f"lineitem SEMI JOIN ({SQL_FINAL}) f ON l_orderkey = f.o_orderkey"))
+def kept_type_totals(spark: SparkSession, d: str) -> DataFrame:
+    """The totals over the rows that M26 keeps (no outliers,
+    years with enough rounds)."""
+    kept = final_rounds(spark, d).select(F.col("o_orderkey").alias("l_orderkey"))
+    return wide_totals(tables(spark, d)("lineitem").join(kept, "l_orderkey", "left_semi"), TYPE_COLS, "sum")
 
 
 @register("wide_positive_rank", """
@@ -419,7 +486,7 @@ SELECT measure, value, RANK() OVER (ORDER BY value DESC NULLS LAST) AS rank FROM
 """)
 def wide_positive_rank(spark: SparkSession, d: str) -> DataFrame:
     """Rows with a positive value per measure column, ranked."""
-    return wide_totals(tables(spark, d)("lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "positive")
+    return wide_totals(tables(spark, d)("lineitem"), TYPE_COLS, "positive")
 
 
 def raw_companies(spark: SparkSession, d: str) -> DataFrame:

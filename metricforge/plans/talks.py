@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from metricforge.functions.numeric import dec_round, money, ratio
 from metricforge.operators.aggregates import topk
-from metricforge.operators.joins import bounded_broadcast
 from metricforge.plans.common import MONEY, R, RATIO, register, tables
 
 CARD_KEY = 7
@@ -37,7 +36,7 @@ def talks(spark: SparkSession, d: str) -> DataFrame:
     spk = t("customer").select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("occupation"))
     o = t("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderdate")
     return (o.join(spk, F.col("o_custkey") == F.col("c_custkey"))
-             .join(bounded_broadcast(geo(spark, d)), F.col("c_nationkey") == F.col("n_nationkey")))
+             .join(geo(spark, d), F.col("c_nationkey") == F.col("n_nationkey")))
 
 
 SQL_TALKS = """
@@ -68,7 +67,7 @@ def rollup_country_conf(spark: SparkSession, d: str) -> DataFrame:
     per_spk = t("orders").groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n"), F.sum(money("o_totalprice")).alias("s"), F.max("o_totalprice").alias("mx"))
     per = (per_spk.join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-                  .join(bounded_broadcast(geo(spark, d)), F.col("c_nationkey") == F.col("n_nationkey")))
+                  .join(geo(spark, d), F.col("c_nationkey") == F.col("n_nationkey")))
     g = per.rollup("country", "conference").agg(
         F.grouping_id().alias("gid"), F.sum("n").alias("n_talks"), F.count(F.lit(1)).alias("n_speakers"),
         F.sum("s").alias("s"), F.max("mx").alias("max_views"))
@@ -78,7 +77,7 @@ def rollup_country_conf(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("dashboard_counters", """
-SELECT (SELECT COUNT(DISTINCT conference) FROM (""" + SQL_TALKS + """) t) AS n_conferences,
+SELECT (SELECT COUNT(DISTINCT n_name) FROM nation) AS n_conferences,
        (SELECT COUNT(*) FROM orders) AS n_talks,
        (SELECT COUNT(DISTINCT o_custkey) FROM orders) AS n_speakers,
        (SELECT COUNT(DISTINCT o_orderpriority) FROM orders) AS n_tags
@@ -89,13 +88,10 @@ def dashboard_counters(spark: SparkSession, d: str) -> DataFrame:
     aggregate, which would expand every row once per distinct column."""
     t = tables(spark, d)
     o = t("orders")
-    speakers = o.select("o_custkey").distinct()
-    spk_nation = speakers.join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-    confs = spk_nation.select("c_nationkey").distinct().join(
-        bounded_broadcast(geo(spark, d)), F.col("c_nationkey") == F.col("n_nationkey"))
     # COUNT(DISTINCT x) ignores NULL: filter before the distinct.
     distinct_count = lambda df, c: df.where(F.col(c).isNotNull()).select(c).distinct().agg(F.count(F.lit(1))).scalar()
-    n_conf = distinct_count(confs, "conference")
+    # All conferences, also those without talks.
+    n_conf = distinct_count(t("nation"), "n_name")
     n_talks = o.agg(F.count(F.lit(1))).scalar()
     n_spk = distinct_count(o, "o_custkey")
     n_tags = distinct_count(o, "o_orderpriority")
@@ -166,7 +162,7 @@ def dashboard_card(spark: SparkSession, d: str, key: int = CARD_KEY) -> DataFram
                              F.col("c_mktsegment").alias("occupation"), "c_nationkey")
     n = t("nation").select("n_nationkey", F.col("n_name").alias("conference"))
     j = o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left").join(
-        bounded_broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return j.select("o_orderkey", "o_totalprice", "o_orderpriority", "speaker", "occupation", "conference")
 
 

@@ -16,12 +16,13 @@ from metricforge.functions.text import PY_WHITESPACE, contains_flag, normalize_t
 from metricforge.operators.aggregates import (
     describe, duplicate_rows, duplicate_summary, mode_by_group, topk, value_counts, with_share,
 )
-from metricforge.operators.joins import bounded_broadcast
+from metricforge.operators.joins import join_null_safe
 from metricforge.operators.outliers import box_stats as _box_stats
 from metricforge.operators.outliers import histogram
 from metricforge.operators.percentiles import with_quantiles
 from metricforge.operators.stats import category_codes, corr_long, cramers_v as _cramers_v
 from metricforge.plans.common import MONEY, PCT, R, register, tables
+from metricforge.session import write_once
 
 CHAIN_MIN_PRICE = 950
 CENTRE = "NATION_0"
@@ -61,7 +62,7 @@ def district_counts(spark: SparkSession, d: str) -> DataFrame:
     """M2: venues per district (counted per district key, then named)."""
     t = tables(spark, d)
     per = value_counts(t("customer"), "c_nationkey")
-    nation = bounded_broadcast(t("nation").select("n_nationkey", F.col("n_name").alias("district")))
+    nation = t("nation").select("n_nationkey", F.col("n_name").alias("district"))
     return (per.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
                .groupBy("district").agg(F.sum("n").cast("bigint").alias("n")).orderBy(F.desc("n"), "district"))
 
@@ -196,7 +197,9 @@ def box_stats(spark: SparkSession, d: str) -> DataFrame:
     return _box_stats(tables(spark, d)("orders"), ["o_orderpriority"], "o_totalprice", 1.5)
 
 
-CORR_COLS = ["type_code", "brand_code", "p_size", "p_retailprice"]
+# The seven columns of the study: codes, 0/1 flags, numbers, and a price class
+# whose missing value is -1.
+CORR_COLS = ["type_code", "brand_code", "price_code", "chain", "large", "p_size", "p_retailprice"]
 
 
 def _corr_sql():
@@ -209,10 +212,16 @@ def _corr_sql():
                     f" * STDDEV_SAMP(CASE WHEN {both} THEN CAST({b} AS DOUBLE) END), 0)")
             pairs.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {R(expr, 6)} AS corr FROM coded")
     return f"""
-WITH p AS (SELECT *, CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_type END AS cat FROM part),
+WITH p AS (SELECT *, CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_type END AS cat,
+                  CASE WHEN p_partkey % 11 <> 0 THEN CAST(FLOOR(p_retailprice / 250) AS VARCHAR) END AS price_class,
+                  CASE WHEN p_retailprice >= {CHAIN_MIN_PRICE} THEN 1 ELSE 0 END AS chain,
+                  CASE WHEN p_size >= 25 THEN 1 ELSE 0 END AS large
+           FROM part),
 coded AS (
   SELECT *, CASE WHEN cat IS NULL THEN -1 ELSE DENSE_RANK() OVER (PARTITION BY cat IS NULL ORDER BY cat) - 1 END AS type_code,
-         DENSE_RANK() OVER (ORDER BY p_brand) - 1 AS brand_code
+         CASE WHEN price_class IS NULL THEN -1
+              ELSE DENSE_RANK() OVER (PARTITION BY price_class IS NULL ORDER BY price_class) - 1 END AS price_code,
+         CASE WHEN p_brand IS NULL THEN -1 ELSE DENSE_RANK() OVER (PARTITION BY p_brand IS NULL ORDER BY p_brand) - 1 END AS brand_code
   FROM p)
 """ + "\nUNION ALL\n".join(pairs)
 
@@ -221,10 +230,12 @@ coded AS (
 def corr_matrix(spark: SparkSession, d: str) -> DataFrame:
     """Alphabetical codes (missing category -> -1, H12) and the
     pairwise Pearson matrix in long form."""
-    p = tables(spark, d)("part").withColumn(
-        "cat", F.when(F.col("p_partkey") % 13 != 0, F.col("p_type")))
-    p = category_codes(p, "cat", "type_code")
-    p = category_codes(p, "p_brand", "brand_code")
+    p = _chain(tables(spark, d)("part")).withColumns({
+        "cat": F.when(F.col("p_partkey") % 13 != 0, F.col("p_type")),
+        "price_class": F.when(F.col("p_partkey") % 11 != 0, F.floor(F.col("p_retailprice") / 250).cast("string")),
+        "large": F.when(F.col("p_size") >= 25, 1).otherwise(0)})
+    for col, code in (("cat", "type_code"), ("p_brand", "brand_code"), ("price_class", "price_code")):
+        p = category_codes(p, col, code)
     return corr_long(p, CORR_COLS)
 
 
@@ -247,8 +258,10 @@ def top15_names(spark: SparkSession, d: str, k: int = 15, chain_only: bool = Fal
         p = _chain(p).where(F.col("chain") == 1)
     g = p.groupBy("p_name").agg(F.count(F.lit(1)).alias("count_places"),
                                 dec_round(F.avg("p_retailprice"), 2).alias("avg_price"))
-    m = mode_by_group(p, ["p_name"], "p_type", "category")
-    return topk(g.join(m, "p_name", "left"), k, [F.desc("count_places")], ["p_name"])
+    # The mode of k names only: k rows, bounded by the argument.
+    top = write_once(topk(g, k, [F.desc("count_places")], ["p_name"]))
+    m = mode_by_group(p.join(F.broadcast(top.select("p_name")), "p_name"), ["p_name"], "p_type", "category")
+    return topk(top.join(m, "p_name", "left"), k, [F.desc("count_places")], ["p_name"])
 
 
 @register("center_vs_other", f"""
@@ -262,7 +275,7 @@ def center_vs_other(spark: SparkSession, d: str, centre: str = CENTRE) -> DataFr
     bill per label."""
     t = tables(spark, d)
     nation = t("nation").select("n_nationkey", (F.col("n_name") == centre).alias("is_center"))
-    j = t("customer").join(bounded_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = t("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     label = F.when(F.col("is_center"), F.lit("center")).otherwise(F.lit("other"))
     j = j.withColumn("district_group", label)
     g = j.groupBy("district_group").agg(F.count("c_acctbal").alias("n"),
@@ -280,7 +293,7 @@ def bill_by_district(spark: SparkSession, d: str) -> DataFrame:
     key, then named)."""
     t = tables(spark, d)
     per = t("customer").groupBy("c_nationkey").agg(F.sum("c_acctbal").alias("s"), F.count("c_acctbal").alias("n"))
-    nation = bounded_broadcast(t("nation").select("n_nationkey", F.col("n_name").alias("district")))
+    nation = t("nation").select("n_nationkey", F.col("n_name").alias("district"))
     g = (per.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .groupBy("district").agg(F.sum("n").cast("bigint").alias("n"), F.sum("s").alias("s")))
     return g.select("district", "n", dec_round(ratio("s", "n"), 2).alias("mean_bill")).orderBy(F.desc("mean_bill"))
@@ -327,7 +340,7 @@ def dup_subset(spark: SparkSession, d: str) -> DataFrame:
 @register("dup_rows", f"""
 WITH k AS (SELECT doc_id, {SQL_NORM('text')} AS t FROM documents),
 g AS (SELECT t, COUNT(*) AS group_size FROM k GROUP BY t HAVING COUNT(*) > 1)
-SELECT k.doc_id, g.group_size FROM k JOIN g ON k.t = g.t
+SELECT k.doc_id, g.group_size FROM k JOIN g ON k.t IS NOT DISTINCT FROM g.t
 """)
 def dup_rows(spark: SparkSession, d: str) -> DataFrame:
     """every row of a duplicate group (``keep=False``)."""
@@ -351,22 +364,24 @@ g AS (SELECT t, COUNT(*) AS n FROM k GROUP BY t)
 SELECT k.doc_id, k.lang, k.source, COALESCE(k.quality, -1) AS quality, COALESCE(k.toxic, -1) AS toxic,
        CAST(length(k.t) AS BIGINT) AS text_len, g.n > 1 AS is_duplicate,
        COALESCE(contains(k.t, lower('{NEEDLE}')), FALSE) AS has_license
-FROM k JOIN g ON k.t = g.t
+FROM k JOIN g ON k.t IS NOT DISTINCT FROM g.t
 """)
 def clean_documents(spark: SparkSession, d: str) -> DataFrame:
     """M1 end to end: left merge with the label table (J6), normalise text,
     fill missing labels, duplicate audit flag, substring flag."""
     t = tables(spark, d)
-    docs = t("documents").join(t("labels"), "doc_id", "left")
-    docs = docs.select("doc_id", "lang", "source", normalize_text("text").alias("t"), "quality", "toxic") \
-               .withColumn("text_key", _text_key(F.col("t")))
+    # The text is normalised once, straight after the scan; only its digest,
+    # length and flag go on, and the merged rows are written for both readers.
+    text = t("documents").select("doc_id", "lang", "source", normalize_text("text").alias("t"))
+    text = text.select("doc_id", "lang", "source", _text_key(F.col("t")).alias("text_key"),
+                       F.length("t").cast("bigint").alias("text_len"),
+                       contains_flag("t", NEEDLE.lower()).alias("has_license"))
+    docs = write_once(text.join(t("labels"), "doc_id", "left"))
     sizes = docs.groupBy("text_key").agg(F.count(F.lit(1)).alias("__n"))
-    j = docs.join(sizes, "text_key")
-    return j.select(
+    return join_null_safe(docs, sizes, ["text_key"]).select(
         "doc_id", "lang", "source",
         F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce("toxic", F.lit(-1)).alias("toxic"),
-        F.length("t").cast("bigint").alias("text_len"), (F.col("__n") > 1).alias("is_duplicate"),
-        contains_flag("t", NEEDLE.lower()).alias("has_license"))
+        "text_len", (F.col("__n") > 1).alias("is_duplicate"), "has_license")
 
 
 @register("cramers_v", """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,7 +60,7 @@ def build_session(master: str | None = None, cpus: int | None = None,
     else:
         builder = builder.master(master or f"local[{cpus}]")
         conf["spark.sql.shuffle.partitions"] = str(max(cpus * 2, 8))
-        conf["spark.driver.memory"] = "16g"
+        conf["spark.driver.memory"] = "12g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -98,11 +99,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
-def materialize(df):
-    """Write a shared intermediate once and read it back (eager
-    ``checkpoint`` into the shared checkpoint folder). Used where several
-    branches of one metric read the same expensive frame: the branches then
-    scan the written rows instead of recomputing the lineage, and a lost
-    executor does not force a recompute from the source tables."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def write_once(df):
+    """Write a shared intermediate as Parquet in the shared folder and read it
+    back. Its readers scan the written rows (pruned and filtered like any
+    table) instead of recomputing the lineage, a lost executor does not force
+    a recompute from the source tables, and the planner knows its exact size:
+    a small one is broadcast before any fact shuffle starts."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

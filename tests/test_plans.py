@@ -1,45 +1,85 @@
 """Plan guards over every registered metric: no Cartesian or nested-loop
-joins, and no single-task percentile aggregate."""
+join, no single-task percentile aggregate; with tables too large to
+broadcast by their estimate, what may pass a shuffle."""
 
 import contextlib
 import io
+import re
 
 import pytest
 
-import __spark_entry__ as E
+from metricforge.plans import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
+#: Between the written aggregates (a few KB) and the tables of sf0.001.
+LARGE_TABLES = "6000"
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
-def test_plan_shape(spark, name):
-    df = E.queries()[name](spark, SMALL)
+def plan_of(df, mode="formatted"):
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    plan = buf.getvalue()
+        df.explain(mode)
+    return buf.getvalue()
+
+
+@pytest.fixture
+def threshold(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    yield lambda value: spark.conf.set(key, value)
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_shape(spark, name):
+    plan = plan_of(QUERIES[name](spark, SMALL))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     assert "percentile(" not in plan.lower()
 
 
-def _plan(spark, name):
-    df = E.queries()[name](spark, SMALL)
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    return buf.getvalue()
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_shape_without_broadcast(spark, threshold, name):
+    threshold("-1")
+    plan = plan_of(QUERIES[name](spark, SMALL))
+    assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
+
+
+def exchanges(plan):
+    """The output columns of each shuffle of a formatted plan."""
+    return [m[1] for m in re.finditer(r"\n\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)]
+
+
+def test_no_text_in_the_shuffles_of_clean_documents(spark, threshold):
+    threshold("-1")
+    plan = plan_of(QUERIES["clean_documents"](spark, SMALL))
+    assert exchanges(plan) and not any(re.search(r"\b(text|t)#", x) for x in exchanges(plan))
+    assert "documents.parquet" not in plan   # the scan is in the written rows' job, once
+
+
+@pytest.mark.parametrize("name,fact", [("impute_group_mean", None), ("iqr_outlier_removed", None), ("box_stats", None),
+                                       ("active_years", None)])
+def test_rows_are_not_shuffled_on_few_keys(spark, threshold, name, fact):
+    threshold(LARGE_TABLES)
+    plan = plan_of(QUERIES[name](spark, SMALL))
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_year_reaches_the_scan_of_completeness_months(spark):
+    plan = plan_of(QUERIES["completeness_months"](spark, SMALL))
+    assert "GreaterThanOrEqual(o_orderdate,1998-01-01" in plan and "Scan ExistingRDD" not in plan
 
 
 def test_date_window_reaches_scan(spark):
-    plan = _plan(spark, "dau_purchase")
+    plan = plan_of(QUERIES["dau_purchase"](spark, SMALL))
     assert "GreaterThanOrEqual(ts,2024-01-01T00:00)" in plan and "LessThan(ts,2024-01-31T00:00)" in plan
-    plan = _plan(spark, "monthly_avg_check")
+    plan = plan_of(QUERIES["monthly_avg_check"](spark, SMALL))
     assert "GreaterThanOrEqual(o_orderdate,1995-01-01T00:00)" in plan
 
 
 def test_scan_reads_only_needed_columns(spark):
-    plan = _plan(spark, "zero_share")
+    plan = plan_of(QUERIES["zero_share"](spark, SMALL))
     assert "ReadSchema: struct<l_discount:double>" in plan
-    plan = _plan(spark, "payer_share")
+    plan = plan_of(QUERIES["payer_share"](spark, SMALL))
     assert "ReadSchema: struct<c_custkey:bigint,c_acctbal:double>" in plan
