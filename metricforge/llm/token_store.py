@@ -102,7 +102,7 @@ def _fingerprint(keys: np.ndarray) -> np.ndarray:
     return (_mix(keys, 1 << 20) >> np.uint64(32)).astype(np.uint32)
 
 
-def _part_row(part: int, keys: np.ndarray, places: dict[str, np.ndarray]) -> dict:
+def _part_row(part: int, parts: int, keys: np.ndarray, places: dict[str, np.ndarray]) -> dict:
     distinct, which = np.unique(keys, return_inverse=True)
     mph = PerfectHash.build(distinct)
     slot = mph.slots(distinct)[which]
@@ -110,12 +110,12 @@ def _part_row(part: int, keys: np.ndarray, places: dict[str, np.ndarray]) -> dic
     prints = np.zeros(len(distinct), np.uint32)
     prints[slot] = _fingerprint(keys)
     sizes, bits = mph.to_columns()
-    return {"part": part, "sizes": sizes, "bits": bits, "fp": prints.astype("<u4").tobytes(),
+    return {"part": part, "parts": parts, "sizes": sizes, "bits": bits, "fp": prints.astype("<u4").tobytes(),
             "first": np.append(0, np.cumsum(np.bincount(slot, minlength=len(distinct)))).astype("<i4").tobytes(),
             **{n: places[n][order].astype(t).tobytes() for n, t in PLACES}}
 
 
-INDEX_SCHEMA = ("part long, sizes array<int>, bits binary, fp binary, first binary, "
+INDEX_SCHEMA = ("part long, parts long, sizes array<int>, bits binary, fp binary, first binary, "
                 + ", ".join(f"{n} binary" for n, _ in PLACES))
 
 
@@ -201,7 +201,7 @@ def _write_index(spark: SparkSession, path: str) -> None:
 
     def build(table: pa.Table) -> pa.Table:
         col = {n: table.column(n).to_numpy() for n in table.column_names}
-        row = _part_row(int(col["part"][0]), col["key"], col)
+        row = _part_row(int(col["part"][0]), parts, col["key"], col)
         return pa.table({n: pa.array([v]) if n != "sizes" else pa.array([v], pa.list_(pa.int32()))
                          for n, v in row.items()})
 
@@ -216,9 +216,7 @@ def find(keys: DataFrame, path: str) -> DataFrame:
     spark = keys.sparkSession
     ship(spark)
     index = spark.read.schema(INDEX_SCHEMA).parquet(f"{path}/index")
-    parts = max(1, index.count())
-    last = index.agg(F.max("part")).first()[0]
-    parts = max(parts, (last or 0) + 1)
+    parts = index.agg(F.max("parts")).first()[0] or 1
     keys = keys.select(F.col("key").cast("long").alias("key")).where("key is not null").distinct()
     keys = keys.withColumn("part", F.expr(f"pmod(xxhash64(key), {parts})"))
 
