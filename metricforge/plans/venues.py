@@ -22,7 +22,9 @@ from metricforge.operators.outliers import histogram
 from metricforge.operators.percentiles import with_quantiles
 from metricforge.operators.stats import category_codes, corr_long, cramers_v as _cramers_v
 from metricforge.plans.common import MONEY, PCT, R, register, tables
-from metricforge.session import write_once
+from metricforge.session import shared_path, write_once
+from metricforge.sources.files import read_csv
+from metricforge.sources.sinks import write_csv
 
 CHAIN_MIN_PRICE = 950
 CENTRE = "NATION_0"
@@ -357,6 +359,25 @@ def normalize_text_q(spark: SparkSession, d: str) -> DataFrame:
     return tables(spark, d)("documents").select("doc_id", normalize_text("text").alias("text_norm"))
 
 
+@register("csv_ingest", """
+SELECT d.doc_id, d.lang, d.source, md5(d.text) AS text_md5, l.quality, l.toxic
+FROM (SELECT doc_id, lang, source, NULLIF(text, '') AS text FROM documents) d LEFT JOIN labels l ON d.doc_id = l.doc_id
+""")
+def csv_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Two CSV exports (commas and semicolons; whole texts with
+    line ends, separators and quotes inside) read with declared schemas and
+    left-merged. The exports are staged from the tables; an empty field is
+    missing, as in pandas."""
+    t = tables(spark, d)
+    docs, labels = shared_path(spark, "documents-csv"), shared_path(spark, "labels-csv")
+    write_csv(t("documents").select("doc_id", "text", "lang", "source"), docs)
+    write_csv(t("labels").select("doc_id", "quality", "toxic"), labels, sep=";")
+    left = read_csv(spark, docs, "doc_id bigint, text string, lang string, source string")
+    right = read_csv(spark, labels, "doc_id bigint, quality int, toxic int", sep=";")
+    left = left.select("doc_id", "lang", "source", F.md5(F.when(F.col("text") != "", F.col("text"))).alias("text_md5"))
+    return left.join(right, "doc_id", "left").select("doc_id", "lang", "source", "text_md5", "quality", "toxic")
+
+
 @register("clean_documents", f"""
 WITH k AS (SELECT d.doc_id, d.lang, d.source, {SQL_NORM('d.text')} AS t, l.quality, l.toxic
            FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),

@@ -99,6 +99,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def write_once(df):
     """Write a shared intermediate as Parquet in the shared folder and read it
     back. Its readers scan the written rows (pruned and filtered like any
@@ -106,6 +111,6 @@ def write_once(df):
     a recompute from the source tables, and the planner knows its exact size:
     a small one is broadcast before any fact shuffle starts."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/written-{uuid.uuid4().hex}"
+    path = shared_path(spark, "written")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
