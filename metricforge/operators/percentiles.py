@@ -1,21 +1,25 @@
 """Exact percentiles and percentile trimming.
 
 ``quantiles`` computes exact ``percentile_cont`` / ``percentile_disc``
-values without holding any group in one task:
-
-1. rows -> (keys, value, count) with map-side combine (a hot value becomes
-   one row);
-2. range-partition the counts by (keys, value): a hot group is split over
-   many partitions by value range, balanced by Spark's sampled bounds; the
-   partition id is pinned by a checkpoint, since it is read twice;
-3. per (partition, key) totals -> running offsets (a window over at most
+values without holding any group in one task and without moving the column:
+
+1. a mergeable rank sketch for each group (built map-side, merged in two
+   levels, bounded in size) gives a bracket of values around each target
+   rank;
+2. one scan counts: values inside a bracket by value, all values between two
+   brackets as one row. This is a few hundredths of the distinct values;
+3. the counts are range-partitioned by (keys, value), so a hot group is split
+   over many partitions by value range, and written once, with the partition
+   id, since it is read twice;
+4. per (partition, key) totals -> running offsets (a window over at most
    partitions x groups rows), which locate the one or two blocks holding
-   each target rank;
-4. only those blocks are read again: running counts inside them give each
-   distinct value its rank interval [start, end] (the rest of the data is
-   not shuffled a second time);
+   each target rank; running counts inside them give each value its rank
+   interval [start, end];
 5. keep only the rows whose interval holds a target rank and interpolate.
 
+A sketch is an estimate, so the counts are checked: should a target rank lie
+outside its bracket, the same steps run over the counts of all values.
+
 The built-in ``percentile`` merges the full value -> count map of a group
 in one task, so its memory grows with the group; no metric uses it.
 """
@@ -33,23 +37,82 @@ from metricforge.operators.joins import join_null_safe
 from metricforge.session import write_once
 
 
-def ranged_counts(df: DataFrame, values: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """(keys..., "__m", "__v", "__c", "__pid"): distinct values with their
-    counts (map-side combined), range-partitioned by (keys, column, value)
-    so a hot group spreads over many partitions, with the partition id.
+#: Size of a rank sketch, how far (in ranks, as a share) a bracket reaches to
+#: both sides of its target, and first-level sketches of one group.
+SKETCH_SIZE = 1000
+REACH = 0.01
+SKETCHES = 256
 
-    The partition id is read twice downstream (offsets, running counts) and
-    range bounds come from sampling, so it is pinned once: an eager
-    checkpoint in the shared checkpoint folder (which also cuts lineage)."""
-    keys = list(keys)
-    gk = keys + ["__m"]
-    long = df.select(*keys, F.inline(F.array(*[
-        F.struct(F.lit(v).alias("__m"), F.col(v).cast("double").alias("__v")) for v in values])))
-    counts = (long.where(F.col("__v").isNotNull()).groupBy(*gk, "__v")
-                  .agg(F.count(F.lit(1)).alias("__c")))
+
+def _long(df: DataFrame, values: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """(keys..., "__m", "__v"): the columns unpivoted, without NULLs."""
+    return df.select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(v).alias("__m"), F.col(v).cast("double").alias("__v")) for v in values]))).where(
+        F.col("__v").isNotNull())
+
+
+def _ranged(counts: DataFrame, gk: Sequence[str]) -> DataFrame:
+    """Counts range-partitioned by (keys, value), with the partition id. The
+    id is read twice downstream (offsets, running counts) and range bounds
+    come from sampling, so the rows are written once."""
     return write_once(counts.repartitionByRange(*gk, "__v").withColumn("__pid", F.spark_partition_id()))
 
 
+def ranged_counts(df: DataFrame, values: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """(keys..., "__m", "__v", "__c", "__pid"): all distinct values with their
+    counts (map-side combined), in ranges of (keys, column, value)."""
+    gk = [*keys, "__m"]
+    return _ranged(_long(df, values, keys).groupBy(*gk, "__v").agg(F.count(F.lit(1)).alias("__c")), gk)
+
+
+def _brackets(long: DataFrame, gk: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(keys..., "__b"): for each probability, values that are likely to have
+    its rank between them (none: open)."""
+    sketch = F.kll_sketch_agg_double("__v", F.lit(SKETCH_SIZE))
+    some = long.groupBy(*gk, F.pmod(F.spark_partition_id(), F.lit(SKETCHES)).alias("__s")).agg(sketch.alias("__k"))
+    one = some.groupBy(*gk).agg(F.kll_merge_agg_double("__k").alias("__k"))
+    # In a small group a bracket has to be open: it would be less than a rank.
+    wide = F.kll_sketch_get_n_double("__k") * F.lit(REACH) > 3
+    at = lambda rank: F.when(wide, F.kll_sketch_get_quantile_double("__k", F.lit(rank))) if 0 < rank < 1 else (
+        F.lit(None).cast("double"))
+    ends = [F.struct(at(float(p) - REACH).alias("lo"), at(float(p) + REACH).alias("hi")) for p in probs]
+    return write_once(one.select(*gk, F.array(*ends).alias("__b")))
+
+
+def bracketed_counts(df: DataFrame, values: Sequence[str], probs: Sequence[float],
+                     keys: Sequence[str] = ()) -> DataFrame | None:
+    """Like ``ranged_counts``, but exact by value only inside the brackets of
+    ``probs``; all values between two brackets are one row, under the least
+    of them. None if a target rank lies outside its bracket."""
+    gk = [*keys, "__m"]
+    long = _long(df, values, keys).where(~F.isnan("__v"))
+    brackets = _brackets(long, gk, probs)
+    rows = join_null_safe(_long(df, values, keys), brackets, gk, "left")
+    v = F.col("__v")
+    # A group of NaN values alone has no sketch and keeps all its values.
+    inside = F.coalesce(F.exists("__b", lambda b: (b["lo"].isNull() | (v >= b["lo"])) & (b["hi"].isNull() | (v <= b["hi"]))),
+                        F.lit(True))
+    passed = F.coalesce(F.size(F.filter("__b", lambda b: v > b["hi"])), F.lit(0))
+    rows = rows.select(*gk, v, F.when(inside, v).alias("__in"), F.when(~inside, passed).alias("__gap"))
+    counts = (rows.groupBy(*gk, "__in", "__gap").agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__v"))
+              .select(*gk, "__v", "__c", F.col("__in").isNotNull().alias("__exact")))
+    counts = _ranged(counts, gk)
+    # Ranks before, and up to the end of, each bracket.
+    told = join_null_safe(counts, brackets, gk)
+    sums = []
+    for i in range(len(probs)):
+        lo, hi = F.col("__b")[i]["lo"], F.col("__b")[i]["hi"]
+        sums += [F.sum(F.when(lo.isNotNull() & (v < lo), F.col("__c")).otherwise(0)).alias(f"before{i}"),
+                 F.sum(F.when(hi.isNotNull() & (v > hi), F.col("__c")).otherwise(0)).alias(f"after{i}")]
+    n, miss = F.col("__n"), F.lit(False)
+    for i, p in enumerate(probs):
+        first = F.least(F.floor((n - 1) * F.lit(float(p))) + 1, F.greatest(F.ceil(n * F.lit(float(p))), F.lit(1)))
+        last = F.ceil((n - 1) * F.lit(float(p))) + 1
+        miss = miss | (first <= F.col(f"before{i}")) | (last > n - F.col(f"after{i}"))
+    sums = told.groupBy(*gk).agg(F.sum("__c").cast("double").alias("__n"), *sums)
+    return counts.drop("__exact") if sums.where(miss).isEmpty() else None
+
+
 def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys: Sequence[str] = (),
                    kind: str = "cont") -> DataFrame:
     """Exact quantiles of several columns in one distributed pass ->
@@ -64,7 +127,9 @@ def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys:
     keys = list(keys)
     gk = keys + ["__m"]
     probs = [p if isinstance(p, tuple) else (p, kind) for p in probs]
-    ranged = ranged_counts(df, values, keys)
+    ranged = bracketed_counts(df, values, sorted({p for p, _ in probs}), keys)
+    if ranged is None:
+        ranged = ranged_counts(df, values, keys)
     # Per (partition, group) block: row count, rows before it in the group
     # (offset) and the group size. At most partitions x groups rows.
     totals = ranged.groupBy("__pid", *gk).agg(F.sum("__c").alias("__t"))

@@ -90,3 +90,28 @@ def test_hot_group_is_split_across_partitions(spark):
     # and the exact answer is unchanged
     q = quantiles(df, "v", [0.5], ["k"]).where(F.col("k") == "hot").collect()[0]["q0"]
     assert q == 9999.5
+
+
+@pytest.mark.parametrize("reach", [0.01, 0.0005])
+def test_brackets_and_what_misses_them(spark, monkeypatch, reach):
+    """Far from exact brackets are noticed; the answer is the same."""
+    from metricforge.operators import percentiles as P
+    monkeypatch.setattr(P, "SKETCH_SIZE", 20)
+    monkeypatch.setattr(P, "REACH", reach)
+    rnd = random.Random(11)
+    rows = [(g, rnd.gauss(0, 10) if rnd.random() < 0.9 else 3.0) for g in "ab" for _ in range(20_000)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(7)
+    got = {r["k"]: [r[f"q{i}"] for i in range(len(PROBS))] for r in quantiles(df, "v", PROBS, ["k"]).collect()}
+    for k in "ab":
+        xs = sorted(v for g, v in rows if g == k)
+        for p, have in zip(PROBS, got[k], strict=True):
+            at = p * (len(xs) - 1)
+            lo, hi = math.floor(at), math.ceil(at)
+            assert math.isclose(have, xs[lo] + (at - lo) * (xs[hi] - xs[lo]), rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_few_rows_are_written(spark):
+    from metricforge.operators.percentiles import bracketed_counts
+    df = spark.range(200_000).select(F.xxhash64("id").cast("double").alias("v"))
+    counts = bracketed_counts(df, ["v"], [0.5])
+    assert counts.count() < 8_000 and counts.agg(F.sum("__c")).first()[0] == 200_000
