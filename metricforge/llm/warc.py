@@ -23,7 +23,7 @@ CRLF = "\r\n"
 
 #: Elements without text, elements that end a line, and named
 #: characters (the ampersand last).
-HIDDEN = ["script", "style", "noscript", "template", "head"]
+HIDDEN = ["script", "style", "noscript", "template"]
 BREAKS = ["address", "article", "aside", "blockquote", "br", "dd", "div", "dl", "dt", "fieldset", "figcaption",
           "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol",
           "p", "pre", "section", "table", "td", "th", "tr", "ul"]
@@ -34,11 +34,12 @@ NAMED = [("&nbsp;", " "), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&c
 #: Regular expressions and what replaces them, in order.
 TEXT_RULES = [
     (r"(?s)<!--.*?-->", ""),
-    *((rf"(?is)<{e}(?:[\s/][^>]*)?>.*?</{e}\s*>", "") for e in HIDDEN),
+    (rf"(?is)<(?:{'|'.join(HIDDEN)})(?:[\s/][^>]*)?>.*?</(?:{'|'.join(HIDDEN)})\s*>", ""),
+    (r"(?is)<head(?:[\s/][^>]*)?>.*?</head\s*>", ""),
     (rf"(?i)</?(?:{'|'.join(BREAKS)})(?:[\s/][^>]*)?>", "\n"),
     (r"<[^>]*>", ""),
 ]
-SPACE_RULES = [(r"[ \t\r\f]+", " "), (r" ?\n[ \n]*", "\n"), (r"^[ \n]+|[ \n]+$", "")]
+SPACE_RULES = [(r"[ \t\r\f]{2,}|[\t\r\f]", " "), (r" ?\n[ \n]+| \n", "\n")]
 TITLE = r"(?is)<title(?:\s[^>]*)?>([^<]*)</title"
 LANGUAGE = r"""(?i)<html[^>]*\slang=["']?([a-z][a-z0-9-]*)"""
 LINK = r"""(?i)<a\s[^>]*?href=["']([^"'>]+)["']"""
@@ -58,7 +59,7 @@ def _named(text: Column) -> Column:
 
 def plain_text(html: Column) -> Column:
     """The text of a page, one line for each block."""
-    return _apply(_named(_apply(html, TEXT_RULES)), SPACE_RULES)
+    return F.btrim(_apply(_named(_apply(html, TEXT_RULES)), SPACE_RULES), F.lit(" \n"))
 
 
 def _digest(content: Column) -> Column:
@@ -159,7 +160,7 @@ def derive_sql(date: str) -> str:
         return (f"(SELECT '<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-8' || h[14:16] || '-a' || h[18:20] || '-' "
                 f"|| h[21:32] || '>' FROM (SELECT md5({expr}) AS h))")
 
-    text = apply(named(apply("payload", TEXT_RULES)), SPACE_RULES)
+    text = f"trim({apply(named(apply('payload', TEXT_RULES)), SPACE_RULES)}, ' ' || chr(10))"
     title = apply(named(f"regexp_extract(payload, {_q(TITLE)}, 1)"), [(r"\s+", " "), ("^ | $", "")])
     crlf, lf = "chr(13) || chr(10)", "chr(10)"
     return f"""
