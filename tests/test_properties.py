@@ -14,7 +14,7 @@ def test_shares_sum_to_100(spark, small_dir):
 
 def test_retention_at_most_one(spark, small_dir):
     for name in ("retention_daily", "retention_cohort_month", "retention_cohort_month_offset"):
-        rates = [r["retention_rate"] for r in QUERIES[name](spark, small_dir).collect()]
+        rates = [r["share"] for r in QUERIES[name](spark, small_dir).collect()]
         assert rates and all(0 <= x <= 1 for x in rates)
 
 
