@@ -44,8 +44,10 @@ GRADES = 4
 #: sample documents with a term.
 BEGINNINGS = (4, 5, 6)
 LEAST_DOCUMENTS = 3
-#: How many times likelier a feature is in toxic than in other texts, at least.
+#: How many times likelier a term is in toxic than in other texts, at least: to
+#: be a feature, and to count for the grade of a training text.
 TELLING = 8
+STRONG = 20
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -187,8 +189,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: in
     row = np.repeat(np.arange(len(toxic)), size)
     column = at.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     value = n.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    # Grades of toxic texts: thirds of how many telling terms they hold.
-    telling = np.bincount(row, value, len(toxic))
+    # Grades of toxic texts: thirds of how many strongly telling terms they hold.
+    odds = np.array([r["odds"] for r in top])
+    telling = np.bincount(row, value * (odds[column] > math.log(STRONG)), len(toxic))
     cuts = np.quantile(telling[toxic == 1], [1 / 3, 2 / 3])
     grade = np.where(toxic == 1, 1 + np.searchsorted(cuts, telling, side="left"), 0)
     weights, thresholds = fit_cumulative_link(row, column, value, grade, len(top))
