@@ -447,42 +447,59 @@ def _lists(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(flat.astype(np.int32)))
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _encoded(batches, ranks_path: str) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) batches to (doc_id, ids, offsets) batches."""
+    enc = rank_encoder(ranks_path)
+    _, stops = token_bytes(ranks_path)
+    width = np.diff(np.append(0, stops))
+    for batch in batches:
+        for begin, texts in chunks(batch.column(1).to_pylist()):
+            ids, ends = enc.encode(texts)
+            stop = np.append(0, np.cumsum(width[ids]))
+            per_doc = np.diff(np.append(0, ends))
+            offsets = stop[:-1] - np.repeat(stop[np.append(0, ends[:-1])], per_doc)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(begin, len(texts)), _lists(ids, ends), _lists(offsets, ends)],
+                names=["doc_id", "ids", "offsets"])
+
+
+def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text",
+                     decode: bool = False) -> DataFrame:
     """``(doc_id, ids array<int>, offsets array<int>)``: the ids of each whole
-    text and the byte at which each token starts."""
+    text and the byte at which each token starts. With ``decode``, also what
+    ``decode_documents`` adds, from the same task."""
     def run(batches):
-        enc = rank_encoder(ranks_path)
-        _, stops = token_bytes(ranks_path)
-        width = np.diff(np.append(0, stops))
-        for batch in batches:
-            for begin, texts in chunks(batch.column(1).to_pylist()):
-                ids, ends = enc.encode(texts)
-                size = width[ids]
-                stop = np.append(0, np.cumsum(size))
-                per_doc = np.diff(np.append(0, ends))
-                offsets = stop[:-1] - np.repeat(stop[np.append(0, ends[:-1])], per_doc)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, len(texts)), _lists(ids, ends), _lists(offsets, ends)],
-                    names=["doc_id", "ids", "offsets"])
+        found = _encoded(batches, ranks_path)
+        return _decoded(found, ranks_path, ["doc_id", "ids", "offsets"]) if decode else found
 
     src = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     schema = T.StructType([T.StructField("doc_id", src.schema["doc_id"].dataType),
                            T.StructField("ids", T.ArrayType(T.IntegerType())),
-                           T.StructField("offsets", T.ArrayType(T.IntegerType()))])
+                           T.StructField("offsets", T.ArrayType(T.IntegerType())),
+                           *([T.StructField("decoded", T.BinaryType())] if decode else [])])
     return map_arrow(src, run, schema)
 
 
-def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """``encoded`` plus ``decoded`` (binary): each token's bytes put at its
-    offset."""
-    def run(batches):
-        flat, stops = token_bytes(ranks_path)
-        begins = np.append(0, stops[:-1])
-        for batch in batches:
-            col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            ids = col["ids"].flatten().to_numpy(zero_copy_only=False)
-            offsets = col["offsets"].flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            count = col["ids"].value_lengths().to_numpy(zero_copy_only=False)
+def _parts(batch: pa.RecordBatch, column: int, limit: int = CHUNK_CHARS // 4) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``limit`` list elements (one row at least)."""
+    ends = np.cumsum(batch.column(column).value_lengths().to_numpy(zero_copy_only=False))
+    a = 0
+    while a < batch.num_rows:
+        done = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        yield batch.slice(a, b - a)
+        a = b
+
+
+def _decoded(batches, ranks_path: str, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches with ids and offsets, plus each document's bytes."""
+    flat, stops = token_bytes(ranks_path)
+    begins = np.append(0, stops[:-1])
+    at_ids, at_offsets = columns.index("ids"), columns.index("offsets")
+    for batch in batches:
+        for part in _parts(batch, at_ids):
+            ids, offsets = (part.column(c).flatten().to_numpy(zero_copy_only=False) for c in (at_ids, at_offsets))
+            count = part.column(at_ids).value_lengths().to_numpy(zero_copy_only=False)
             size = stops[ids] - begins[ids]
             # Length of a document: its last token's offset and size.
             ends = np.cumsum(count)
@@ -497,8 +514,13 @@ def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
             out[np.repeat(target, size) + within] = flat[np.repeat(begins[ids], size) + within]
             raw = out.tobytes()
             texts = [raw[a:b] for a, b in zip(base[:-1].tolist(), base[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())],
-                                             names=[*batch.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())],
+                                             names=[*columns, "decoded"])
 
+
+def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """``encoded`` plus ``decoded`` (binary): each token's bytes put at its
+    offset."""
+    columns = encoded.columns
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
-    return map_arrow(encoded, run, schema)
+    return map_arrow(encoded, lambda batches: _decoded(batches, ranks_path, columns), schema)

@@ -63,8 +63,7 @@ ORACLE["op3_interleaved_shards"] = sharding.interleave_sql(40, 42)
 
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode_documents(load(spark, sf_dir, "documents"), RANKS)
-    return bpe.decode_documents(encoded, RANKS).select(
+    return bpe.encode_documents(load(spark, sf_dir, "documents"), RANKS, decode=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

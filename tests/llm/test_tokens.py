@@ -74,7 +74,11 @@ def test_transition_functions_form_a_small_monoid():
 
 def test_encode_and_decode_documents(spark, tik):
     docs = documents(spark, clash=True, dirty_ids=True)
-    out = bpe.decode_documents(bpe.encode_documents(docs, RANKS), RANKS).collect()
+    out = bpe.decode_documents(bpe.encode_documents(docs, RANKS), RANKS)
+    both = bpe.encode_documents(docs, RANKS, decode=True)
+    assert both.schema == out.schema
+    out, both = out.collect(), both.collect()
+    assert sorted(map(str, out)) == sorted(map(str, both))
     key = lambda x: (x[0] is None, x[0] or 0, x[1])
     want = sorted(((r["doc_id"], tik.encode_ordinary(r["text"] or "")) for r in docs.collect()), key=key)
     assert sorted(((r["doc_id"], r["ids"]) for r in out), key=key) == want
