@@ -34,6 +34,11 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # There are many small stores: no space is set aside for each.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # All stores of an executor share this much native memory; stores that no
+    # stream uses any more are closed soon.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "15s",
 }
 
 
