@@ -44,11 +44,11 @@ BEGIN, SPACED, BLANK, IN_LETTERS, IN_NUMBERS, IN_OTHERS, ONE_MORE, TWO_MORE = ra
 #: Characters handled at once, pieces a worker remembers, and the piece
 #: length (bytes) from which a heap finds the merges.
 CHUNK_CHARS = 1 << 20
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 500_000
 LONG_PIECE = 64
 #: Slots of the cache's table (a power of two, well above what it holds), and
 #: the bytes of a piece that fit into its key.
-TABLE_SLOTS = 1 << 22
+TABLE_SLOTS = 1 << 21
 KEY_BYTES = 23
 KEY_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
