@@ -1,11 +1,11 @@
 """Toxicity by cumulative-link ordinal regression.
 
 The model predicts a severity grade 0 to ``GRADES - 1`` from sparse text
-features (words and the beginnings of words) with one weight vector for all
-grades and an ordered threshold for each step: P(grade > k) =
-sigmoid(w . x - theta_k). It returns the grades' probabilities and the
-expected severity; a document is rejected when it is more likely above grade
-0 than not.
+features (how often words and the beginnings of words stand in a stretch of
+text, whatever its length) with one weight vector for all grades and an
+ordered threshold for each step: P(grade > k) = sigmoid(w . x - theta_k). It
+returns the grades' probabilities and the expected severity; a document is
+rejected when it is more likely above grade 0 than not.
 
 The labels only say toxic or not. The grade of a toxic training text is set
 by how many of the terms that set toxic texts apart it holds: thirds of that
@@ -48,6 +48,10 @@ LEAST_DOCUMENTS = 3
 #: be a feature, and to count for the grade of a training text.
 TELLING = 8
 STRONG = 20
+#: A feature is a term's count in ``STRETCH`` words; texts count as ``PRIOR``
+#: words longer, so that one word of a short text is no certainty.
+STRETCH = 300
+PRIOR = 100
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -63,6 +67,11 @@ def terms(text: str | None) -> Counter:
     return out
 
 
+def rate(n, words):
+    """A term's count in ``STRETCH`` words of a text with ``n`` in ``words``."""
+    return n * STRETCH / (words + PRIOR)
+
+
 @dataclass
 class Model:
     vocabulary: dict[str, int] = field(default_factory=dict)
@@ -78,10 +87,12 @@ class Model:
         number = self.vocabulary.get
         score = np.zeros(len(texts))
         for i, text in enumerate(texts):
-            for w, n in Counter(_WORD.findall((text or "").lower())).items():
+            words = Counter(_WORD.findall((text or "").lower()))
+            for w, n in words.items():
                 for t in (f"={w}", *(w[:k] for k in BEGINNINGS if len(w) > k)):
                     if (k := number(t)) is not None:
                         score[i] += self.weights[k] * n
+            score[i] = rate(score[i], words.total())
         return _probabilities(score, self.thresholds)
 
 
@@ -174,15 +185,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: in
         for batch in batches:
             for a in range(0, batch.num_rows, 64):
                 part = batch.slice(a, 64)
-                found = [[(number[t], n) for t, n in terms(x).items() if t in number]
-                         for x in part.column(1).to_pylist()]
+                held = [terms(x) for x in part.column(1).to_pylist()]
+                found = [[(number[t], n) for t, n in x.items() if t in number] for x in held]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int32()),
                      pa.array([[k for k, _ in x] for x in found], pa.list_(pa.int32())),
-                     pa.array([[n for _, n in x] for x in found], pa.list_(pa.int32()))],
-                    names=["toxic", "at", "n"])
+                     pa.array([[n for _, n in x] for x in found], pa.list_(pa.int32())),
+                     pa.array([sum(n for t, n in x.items() if t[0] == "=") for x in held], pa.int64())],
+                    names=["toxic", "at", "n", "words"])
 
-    rows = map_arrow(texts, entries, "toxic int, at array<int>, n array<int>").toArrow()
+    rows = map_arrow(texts, entries, "toxic int, at array<int>, n array<int>, words long").toArrow()
     toxic = rows.column("toxic").to_numpy()
     at, n = (rows.column(c).combine_chunks() for c in ("at", "n"))
     size = at.value_lengths().to_numpy(zero_copy_only=False)
@@ -194,6 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: in
     telling = np.bincount(row, value * (odds[column] > math.log(STRONG)), len(toxic))
     cuts = np.quantile(telling[toxic == 1], [1 / 3, 2 / 3])
     grade = np.where(toxic == 1, 1 + np.searchsorted(cuts, telling, side="left"), 0)
+    value = rate(value, rows.column("words").to_numpy()[row])
     weights, thresholds = fit_cumulative_link(row, column, value, grade, len(top))
     return Model(number, weights, thresholds)
 
