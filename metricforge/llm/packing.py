@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from metricforge.llm.bpe import chunks
 from metricforge.llm.common import FILE, ROW, addressed, keep, map_arrow
-from metricforge.llm.token_ids import library_encoder, with_end
+from metricforge.llm.token_ids import encode, with_end
 
 #: Blocks in which the pieces of one length are numbered.
 BLOCKS = 4096
@@ -40,9 +40,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: in
     def run(batches):
         for batch in batches:
             for begin, texts in chunks(batch.column(3).to_pylist()):
-                encoder = library_encoder(tokenizer_path)
                 rows, piece, start, length, crc, raw = [], [], [], [], [], []
-                for i, ids in enumerate(with_end(*encoder.encode(texts), end_id)):
+                for i, ids in enumerate(with_end(*encode(tokenizer_path, texts), end_id)):
                     rest = len(ids) % capacity
                     cuts = [*([0] if rest else []), *range(rest, len(ids), capacity)]
                     for k, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(ids)], strict=True)):

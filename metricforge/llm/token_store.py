@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 
 from metricforge.llm.bpe import chunks
 from metricforge.llm.common import CLEANUP, FILE, ROW, addressed, map_arrow, shared_path, ship
-from metricforge.llm.token_ids import library_encoder, with_end
+from metricforge.llm.token_ids import added_tokens, with_end
+from metricforge.llm.token_ids import encode as encode_ids
 
 #: Ids in a block, keys in a part, and bits for each key in a level.
 BLOCK_IDS = 1 << 19
@@ -126,7 +127,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2
     ship(spark)
     with open(tokenizer_path) as f:
         vocabulary = json.load(f)["model"]["vocab"]
-    width = "<u2" if max(end_id, *vocabulary.values()) < 1 << 16 else "<u4"
+    width = "<u2" if max(end_id, *vocabulary.values(), *added_tokens(tokenizer_path)[0].values()) < 1 << 16 else "<u4"
     src = addressed(docs)
     src = src.select(src[id_col].cast("long").alias("doc_id"), src[text_col].alias("text"), FILE, ROW)
 
@@ -146,7 +147,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2
         for batch in batches:
             names = batch.column(0).to_pylist()
             for begin, texts in chunks(batch.column(1).to_pylist()):
-                for i, x in enumerate(with_end(*library_encoder(tokenizer_path).encode(texts), end_id)):
+                for i, x in enumerate(with_end(*encode_ids(tokenizer_path, texts), end_id)):
                     ids.append(x)
                     keys.append(names[begin + i])
                     counts.append(len(x))
