@@ -90,7 +90,7 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     path = token_store.fresh_path(spark)
     token_store.write_store(docs, TOKENIZER, path, end_id=2)
-    return token_store.read_ids(docs.select(F.col("doc_id").alias("key")), path).drop("ids")
+    return token_store.read_ids(docs.select(F.col("doc_id").alias("key")), path, unkeyed=True).drop("ids")
 
 
 @query

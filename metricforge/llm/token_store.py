@@ -17,8 +17,8 @@ fingerprint tells strangers off: constant time for each key, whatever the
 store's size. A part holds about ``PART_KEYS`` keys.
 
 Defined cases: a null text counts as empty and has the end id alone;
-documents with a null id are stored first but have no key; documents that
-share an id are all returned for it; an empty table gives an empty store.
+documents with a null id are stored first and have no key, but are returned
+by their place in the payload if ``unkeyed``; documents that share an id are all returned for it; an empty table gives an empty store.
 Other columns are not read.
 """
 
@@ -170,8 +170,9 @@ def write_store(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2
         spark.conf.set(CLEANUP, before)
 
 
-def _write_index(spark: SparkSession, path: str) -> None:
-    blocks = spark.read.parquet(f"{path}/payload").select("shard", "block", "doc_ids", "counts")
+def _places(blocks: DataFrame, keyed: bool) -> DataFrame:
+    """``(key, shard, block, offset, count, start)`` of the documents with an
+    id (``keyed``) or without."""
     # Global starts: totals of the shards (one row each), then of the blocks.
     total = F.expr("aggregate(counts, 0L, (a, x) -> a + x)")
     sums = blocks.select("shard", "block", total.alias("n"))
@@ -187,16 +188,21 @@ def _write_index(spark: SparkSession, path: str) -> None:
             for shard, block, base, keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 count = np.array(counts, np.int64)
                 offset = np.cumsum(count) - count
-                has = np.array([k is not None for k in keys])
+                has = np.array([(k is not None) == keyed for k in keys])
                 n = int(has.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k in keys if k is not None], pa.int64()), pa.array([shard] * n, pa.int32()),
+                    [pa.array([k for k in keys if (k is not None) == keyed], pa.int64()), pa.array([shard] * n, pa.int32()),
                      pa.array([block] * n, pa.int32()), pa.array(offset[has]), pa.array(count[has]),
                      pa.array(base + offset[has])],
                     names=["key", "shard", "block", "offset", "count", "start"])
 
-    rows = map_arrow(blocks.join(starts, ["shard", "block"]).select("shard", "block", "base", "doc_ids", "counts"),
+    return map_arrow(blocks.join(starts, ["shard", "block"]).select("shard", "block", "base", "doc_ids", "counts"),
                      places, "key long, shard int, block int, offset long, count long, start long")
+
+
+def _write_index(spark: SparkSession, path: str) -> None:
+    blocks = spark.read.parquet(f"{path}/payload").select("shard", "block", "doc_ids", "counts")
+    rows = _places(blocks, True)
     documents = blocks.agg(F.sum(F.size("doc_ids"))).first()[0] or 0
     parts = max(1, -(-documents // PART_KEYS))
 
@@ -241,12 +247,24 @@ def find(keys: DataFrame, path: str) -> DataFrame:
         look, "key long, shard long, block long, offset long, count long, start long")
 
 
-def read_ids(keys: DataFrame, path: str, width: int | None = None) -> DataFrame:
+def find_unkeyed(spark: SparkSession, path: str) -> DataFrame:
+    """``find`` for the documents without an id. They lie first, so the blocks
+    that hold one tell their starts."""
+    ship(spark)
+    blocks = spark.read.schema("shard int, block int, doc_ids array<long>, counts array<long>").parquet(
+        f"{path}/payload")
+    return _places(blocks.where("exists(doc_ids, x -> x is null)"), False)
+
+
+def read_ids(keys: DataFrame, path: str, width: int | None = None, unkeyed: bool = False) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32, ids array<int>)`` of the
-    documents stored under ``keys(key)``: places from the index, ids from the
-    payload files."""
+    documents stored under ``keys(key)``, with ``unkeyed`` also of those
+    without an id: places from the index, ids from the payload files."""
     spark = keys.sparkSession
-    wanted = (find(keys, path).groupBy("shard", "block")
+    places = find(keys, path)
+    if unkeyed:
+        places = places.unionByName(find_unkeyed(spark, path))
+    wanted = (places.groupBy("shard", "block")
               .agg(F.collect_list(F.struct("key", "offset", "count", "start")).alias("wanted")))
     payload = spark.read.schema("shard int, block int, ids binary, doc_ids array<long>, counts array<long>").parquet(
         f"{path}/payload").select("shard", "block", "ids", F.expr("aggregate(counts, 0L, (a, x) -> a + x)").alias("n"))
