@@ -3,8 +3,8 @@
 A response record (the fetched page with its HTTP head) gives two linked
 records: ``metadata`` (application/warc-fields: title, language, links) and
 ``conversion`` (text/plain). Both name the response in WARC-Refers-To, repeat
-its target, date and payload digest, carry the HTTP head's content type, and
-have digests of their own. Record ids are derived from the source record, so
+its target, date and payload digest, and have digests of their own. The
+response's HTTP head and block digest are not carried over. Record ids are derived from the source record, so
 a rerun gives the same files.
 
 Everything is a projection of one row: no shuffle, and whole pages are read.
