@@ -12,13 +12,16 @@ from metricforge.llm import (
     bpe,
     embedding_dedup,
     exact_dedup,
+    mixing,
     packing,
     sharding,
     simhash,
+    spelling,
     suffix_dedup,
     token_store,
     toxicity,
     warc,
+    whitening,
 )
 from metricforge.sources.tables import load
 
@@ -123,3 +126,24 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     grade = F.expr("array_position(__mf_grades, array_max(__mf_grades)) - 1").cast("int")
     return out.select("doc_id", grade.alias("grade"), F.round("__mf_severity", 6).alias("expected_severity"),
                       F.col("__mf_rejected").alias("rejected"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(load(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_spelling_variants"] = spelling.variants_sql()
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(load(spark, sf_dir, "embeddings"), components=16)
+
+
+@query
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(load(spark, sf_dir, "documents")).taken().select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE["op13_source_mixing"] = mixing.mix_sql()
