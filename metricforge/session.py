@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -99,6 +101,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def ship(spark: SparkSession) -> None:
+    """Let the Python workers import this package, as ``--py-files`` would:
+    the driver serves a zip of its sources to the executors, once."""
+    sc = spark.sparkContext
+    if getattr(sc, "_metricforge_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="mf-ship-"), "metricforge.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(path))
+    sc._metricforge_shipped = True
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
