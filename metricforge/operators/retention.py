@@ -30,7 +30,7 @@ def first_dates(pairs: DataFrame, day: str = "log_date") -> DataFrame:
 def retention(new_users: DataFrame, active: DataFrame, max_day: int = 7,
               cohort: bool = False, period: str = "day", scale: int = 2) -> DataFrame:
     """``new_users(user_id, first_date)``, ``active(user_id, log_date)`` ->
-    (cohort_month?, day_since_install, retained_users, retention_rate).
+    (cohort?, day_no, users, share).
 
     ``period="month"``: both dates are month starts and the offset counts
     months (the cohort view when repeat activity within a week is rare).
@@ -51,17 +51,17 @@ def retention(new_users: DataFrame, active: DataFrame, max_day: int = 7,
     cond = (F.col("n.user_id") == F.col("a.user_id")) & (log >= first) & (log < upper)
     j = n.join(a, cond, "inner").select(
         F.col("n.user_id").alias("user_id"), first.alias("first_date"),
-        offset.alias("day_since_install"))
-    keys = ["day_since_install"]
+        offset.alias("day_no"))
+    keys = ["day_no"]
     if cohort:
-        j = j.withColumn("cohort_month", F.trunc("first_date", "MM"))
-        keys = ["cohort_month", "day_since_install"]
-    g = j.groupBy(*keys).agg(F.countDistinct("user_id").alias("retained_users"))
-    w = W.partitionBy("cohort_month") if cohort else W.partitionBy()
-    w = w.orderBy("day_since_install")
+        j = j.withColumn("cohort", F.trunc("first_date", "MM"))
+        keys = ["cohort", "day_no"]
+    g = j.groupBy(*keys).agg(F.countDistinct("user_id").alias("users"))
+    w = W.partitionBy("cohort") if cohort else W.partitionBy()
+    w = w.orderBy("day_no")
     return g.withColumn(
-        "retention_rate",
-        dec_round(ratio(F.col("retained_users"), F.max("retained_users").over(w)), scale))
+        "share",
+        dec_round(ratio(F.col("users"), F.max("users").over(w)), scale))
 
 
 def retention_from_activity(activity: DataFrame, user: str, day: str, max_day: int = 7,
@@ -96,13 +96,13 @@ def retention_from_activity(activity: DataFrame, user: str, day: str, max_day: i
         offset = F.months_between("log_date", "first_date").cast("int")
     else:
         raise ValueError(period)
-    x = x.withColumn("day_since_install", offset).where(F.col("day_since_install") <= max_day)
-    keys = ["day_since_install"]
+    x = x.withColumn("day_no", offset).where(F.col("day_no") <= max_day)
+    keys = ["day_no"]
     if cohort:
-        x = x.withColumn("cohort_month", F.trunc("first_date", "MM"))
-        keys = ["cohort_month", "day_since_install"]
-    g = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("retained_users"))
-    w = (W.partitionBy("cohort_month") if cohort else W.partitionBy()).orderBy("day_since_install")
+        x = x.withColumn("cohort", F.trunc("first_date", "MM"))
+        keys = ["cohort", "day_no"]
+    g = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("users"))
+    w = (W.partitionBy("cohort") if cohort else W.partitionBy()).orderBy("day_no")
     return g.withColumn(
-        "retention_rate",
-        dec_round(ratio(F.col("retained_users"), F.max("retained_users").over(w)), scale))
+        "share",
+        dec_round(ratio(F.col("users"), F.max("users").over(w)), scale))

@@ -103,9 +103,9 @@ def test_running_max_retention(spark):
           [(u, d0 + dt.timedelta(days=2)) for u in range(2)]
     n = spark.createDataFrame(new, "user_id int, first_date date")
     a = spark.createDataFrame(act, "user_id int, log_date date")
-    out = retention(n, a, 7).orderBy("day_since_install").collect()
-    assert [r["retained_users"] for r in out] == [4, 5, 2]
-    assert [r["retention_rate"] for r in out] == [1.0, 1.0, 0.4]
+    out = retention(n, a, 7).orderBy("day_no").collect()
+    assert [r["users"] for r in out] == [4, 5, 2]
+    assert [r["share"] for r in out] == [1.0, 1.0, 0.4]
 
 
 def test_mode_tie_smallest(spark):
@@ -172,7 +172,7 @@ def test_retention_pair_semantics(spark):
     d0 = dt.date(2024, 1, 1)
     n = spark.createDataFrame([(1, d0), (1, d0 + dt.timedelta(days=1)), (2, d0)], "user_id int, first_date date")
     a = spark.createDataFrame([(1, d0 + dt.timedelta(days=1)), (2, d0), (1, d0)], "user_id int, log_date date")
-    out = {r["day_since_install"]: r["retained_users"] for r in retention(n, a, 7).collect()}
+    out = {r["day_no"]: r["users"] for r in retention(n, a, 7).collect()}
     # day 0: user 2 (d0), user 1 via d0 and via d1 -> distinct 2; day 1: user 1 via d0
     assert out == {0: 2, 1: 1}
 
@@ -197,5 +197,5 @@ def test_retention_from_activity_equals_pair_join(spark):
     pairs = day_pairs(ev, "user_id", "ts")
     want = retention(first_dates(pairs), pairs, 7).collect()
     got = retention_from_activity(ev.select("user_id", F.to_date("ts").alias("day")), "user_id", "day", 7).collect()
-    key = lambda r: r["day_since_install"]
+    key = lambda r: r["day_no"]
     assert sorted(map(tuple, sorted(got, key=key))) == sorted(map(tuple, sorted(want, key=key)))
