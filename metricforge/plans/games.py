@@ -21,6 +21,7 @@ from metricforge.functions.numeric import dec_round, pct
 from metricforge.functions.text import strip_unicode
 from metricforge.operators.aggregates import distinct_values, null_profile, topk, value_counts
 from metricforge.operators.impute import drop_null, fill_const, fill_group_mean
+from metricforge.operators.steps import Steps
 from metricforge.plans.common import PCT, R, register, tables
 
 NULL_COLS = ["l_discount", "l_tax", "l_shipdate", "l_returnflag"]
@@ -205,21 +206,22 @@ FROM lineitem
 """
 
 
-def clean_games(spark: SparkSession, d: str) -> DataFrame:
+def clean_games(spark: SparkSession, d: str, step=lambda df, name: df) -> DataFrame:
     """M33 end to end, in the source's order of steps: coerce the score,
     drop rows missing key fields (F10), impute sales by (platform, year)
     mean (W6), fill the rating (C6), normalise text (C1, C2; H24: the fill
-    value is upper-cased with the rest), drop full duplicates (U3)."""
-    g = games(spark, d).withColumn("user_score", coerce_numeric("user_score"))
-    g = drop_null(g, ["genre"])
-    g = drop_null(g, ["year_of_release"])
+    value is upper-cased with the rest), drop full duplicates (U3). ``step``
+    is told the rows after each step that may lose some."""
+    g = step(games(spark, d), "source").withColumn("user_score", coerce_numeric("user_score"))
+    g = step(drop_null(g, ["genre"]), "genre missing")
+    g = step(drop_null(g, ["year_of_release"]), "year missing")
     g = fill_group_mean(g, "eu_sales", ["platform", "year_of_release"])
     g = g.withColumn("eu_sales", dec_round("eu_sales", 6))
     g = fill_const(g, {"rating": "no_rating"})
     g = (g.withColumn("genre", strip_unicode(F.lower("genre")))
           .withColumn("platform", strip_unicode("platform"))
           .withColumn("rating", F.upper(strip_unicode("rating"))))
-    return g.dropDuplicates()
+    return step(g.dropDuplicates(), "duplicates")
 
 
 SQL_CLEAN = f"""
@@ -257,6 +259,28 @@ def loss_report(spark: SparkSession, d: str) -> DataFrame:
         pct(before - after, before).alias("removed_pct"))
 
 
+@register("loss_by_step", f"""
+WITH g AS ({SQL_GAMES}),
+counts AS (
+  SELECT COUNT(*) AS n0, COUNT(*) FILTER (WHERE genre IS NOT NULL) AS n1,
+         COUNT(*) FILTER (WHERE genre IS NOT NULL AND year_of_release IS NOT NULL) AS n2,
+         (SELECT COUNT(*) FROM ({SQL_CLEAN}) c) AS n3
+  FROM g),
+steps AS (
+  SELECT 1 AS step, 'genre missing' AS step_name, n0 AS rows_in, n1 AS rows_out FROM counts
+  UNION ALL SELECT 2, 'year missing', n1, n2 FROM counts
+  UNION ALL SELECT 3, 'duplicates', n2, n3 FROM counts)
+SELECT step, step_name, rows_in, rows_out, {PCT('rows_in - rows_out', 'rows_in')} AS lost_pct FROM steps
+""")
+def loss_by_step(spark: SparkSession, d: str) -> DataFrame:
+    """Rows before and after each cleaning step, and the share it
+    loses, observed while the cleaned table is written."""
+    steps = Steps()
+    cleaned = clean_games(spark, d, steps)
+    steps.run(cleaned, tables(spark, d)("lineitem").count())
+    return steps.report()
+
+
 @register("impute_group_mean", f"""
 WITH d AS (
   SELECT l_orderkey, l_linenumber, l_returnflag,

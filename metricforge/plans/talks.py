@@ -13,9 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from metricforge.functions.calendar import month_start
 from metricforge.functions.numeric import dec_round, money, ratio
 from metricforge.operators.aggregates import topk
+from metricforge.operators.distinct_cube import build_cube, count_cube, numbered, roll_up
+from metricforge.operators.heavy import top_values
 from metricforge.plans.common import MONEY, R, RATIO, register, tables
+from metricforge.session import write_once
 
 CARD_KEY = 7
 FILTER_COUNTRY, FILTER_TAG = "ASIA", "1-URGENT"
@@ -184,6 +188,80 @@ def conference_talks(spark: SparkSession, d: str) -> DataFrame:
              .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_talks")))
 
 
+CUBE_DIMS = ["country", "conference", "tag", "month"]
+CUBE_LEVELS = [[x for i, x in enumerate(CUBE_DIMS) if not n >> (3 - i) & 1] for n in range(16)]
+
+
+def talk_cube(spark: SparkSession, d: str) -> DataFrame:
+    """The dashboard's cube: a cell for each (country, conference, tag, month)
+    with its talks, views and the bitmaps of its speakers. Speakers are
+    numbered by conference; written once, it answers every selection."""
+    t = tables(spark, d)
+    speakers = (t("customer").select("c_custkey", "c_nationkey").join(geo(spark, d), F.col("c_nationkey") == F.col("n_nationkey"))
+                .select("country", "conference", "c_custkey"))
+    speakers = numbered(speakers, ["country", "conference", "c_custkey"], "speaker_no")
+    o = t("orders").select("o_custkey", F.col("o_orderpriority").alias("tag"), month_start("o_orderdate").alias("month"),
+                           money("o_totalprice").alias("views"))
+    facts = o.join(speakers, F.col("o_custkey") == F.col("c_custkey"))
+    return write_once(build_cube(facts, CUBE_DIMS, "speaker_no", {"n_talks": F.lit(1), "views": F.col("views")}))
+
+
+SQL_CUBE_TALKS = f"""
+SELECT country, conference, o_orderpriority AS tag, CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS month, o_custkey,
+       {MONEY('o_totalprice')} AS views
+FROM ({SQL_TALKS}) t
+"""
+
+
+@register("dashboard_cube", f"""
+SELECT country, conference, tag, month, GROUPING_ID(country, conference, tag, month) AS gid,
+       COUNT(DISTINCT o_custkey) AS n_speakers, COUNT(*) AS n_talks, {R('SUM(views)')} AS total_views
+FROM ({SQL_CUBE_TALKS}) c GROUP BY CUBE (country, conference, tag, month)
+""")
+def dashboard_cube(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct speakers, talks and views at all sixteen levels of
+    (country, conference, tag, month), from the cube's bitmaps."""
+    out = roll_up(talk_cube(spark, d), CUBE_DIMS, CUBE_LEVELS, ["n_talks", "views"], "n_speakers")
+    return out.select(*CUBE_DIMS, "gid", "n_speakers", "n_talks", dec_round("views", 2).alias("total_views"))
+
+
+@register("dashboard_selected", f"""
+SELECT conference, COUNT(DISTINCT o_custkey) AS n_speakers, COUNT(*) AS n_talks
+FROM ({SQL_CUBE_TALKS}) c
+WHERE country = '{FILTER_COUNTRY}' AND tag <> '{FILTER_TAG}' AND month BETWEEN DATE '{FILTER_FROM}' AND DATE '{FILTER_TO}'
+GROUP BY conference
+""")
+def dashboard_selected(spark: SparkSession, d: str, country: str = FILTER_COUNTRY, tag: str = FILTER_TAG,
+                       first: str = FILTER_FROM, last: str = FILTER_TO) -> DataFrame:
+    """The counters of any selection by conference, from the cube:
+    here one country, all tags but one, the months of a window."""
+    chosen = ((F.col("country") == country) & (F.col("tag") != tag)
+              & F.col("month").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return count_cube(talk_cube(spark, d), ["conference"], ["n_talks"], "n_speakers", chosen)
+
+
+@register("top_tags_exact", """
+SELECT l_partkey AS part, COUNT(*) AS n_talks FROM lineitem GROUP BY l_partkey ORDER BY n_talks DESC, part LIMIT 20
+""")
+def top_tags_exact(spark: SparkSession, d: str, k: int = 20) -> DataFrame:
+    """The parts with most lines, none far ahead: bucket totals bound
+    little, and nearly all parts are counted."""
+    lines = tables(spark, d)("lineitem").select(F.col("l_partkey").alias("part"))
+    return top_values(lines, "part", k, "n_talks")
+
+
+@register("top_words", """
+SELECT word, COUNT(*) AS n
+FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents) w
+GROUP BY word ORDER BY n DESC, word LIMIT 20
+""")
+def top_words(spark: SparkSession, d: str, k: int = 20) -> DataFrame:
+    """The most frequent words of all texts, of very many: only
+    the words of a few buckets are counted one by one."""
+    words = tables(spark, d)("documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)).alias("word"))
+    return top_values(words, "word", k)
+
+
 @register("dashboard_top_by_sum", f"""
 SELECT occupation, {R('SUM(' + MONEY('o_totalprice') + ')')} AS total_views,
        RANK() OVER (ORDER BY SUM({MONEY('o_totalprice')}) DESC) AS rank

@@ -20,6 +20,7 @@ from metricforge.operators.joins import join_null_safe
 from metricforge.operators.outliers import box_stats as _box_stats
 from metricforge.operators.outliers import histogram
 from metricforge.operators.percentiles import with_quantiles
+from metricforge.operators.phi import phi_matrix, phi_sql
 from metricforge.operators.stats import category_codes, corr_long, cramers_v as _cramers_v
 from metricforge.plans.common import MONEY, PCT, R, register, tables
 from metricforge.session import shared_path, write_once
@@ -241,6 +242,24 @@ def corr_matrix(spark: SparkSession, d: str) -> DataFrame:
     return corr_long(p, CORR_COLS)
 
 
+PHI_COLS = ["cat", "p_brand", "price_class", "p_size", "p_retailprice", "chain"]
+PHI_NUMBERS = ["p_size", "p_retailprice"]
+
+
+@register("phi_matrix", phi_sql(f"""
+  SELECT CASE WHEN p_partkey % 13 <> 0 THEN p_type END AS cat, p_brand, p_size, p_retailprice,
+         CASE WHEN p_partkey % 11 <> 0 THEN CAST(CAST(FLOOR(p_retailprice / 250) AS BIGINT) AS VARCHAR) END AS price_class,
+         CASE WHEN p_retailprice >= {CHAIN_MIN_PRICE} THEN 1 ELSE 0 END AS chain
+  FROM part""", PHI_COLS, PHI_NUMBERS))
+def phi_matrix_q(spark: SparkSession, d: str) -> DataFrame:
+    """Correlation of all pairs of columns, numbers and categories
+    alike, missing values left out pair by pair."""
+    p = _chain(tables(spark, d)("part")).withColumns({
+        "cat": F.when(F.col("p_partkey") % 13 != 0, F.col("p_type")),
+        "price_class": F.when(F.col("p_partkey") % 11 != 0, F.floor(F.col("p_retailprice") / 250).cast("string"))})
+    return phi_matrix(p, PHI_COLS, PHI_NUMBERS)
+
+
 @register("top15_names", f"""
 WITH g AS (SELECT p_name, COUNT(*) AS count_places, {R('AVG(p_retailprice)')} AS avg_price FROM part
            WHERE p_name IS NOT NULL GROUP BY p_name),

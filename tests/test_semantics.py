@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from metricforge.functions.numeric import dec_round, money, rate
 from metricforge.operators.aggregates import duplicate_rows, wide_totals, with_share
+from metricforge.operators.audit import lost_by_key
 from metricforge.operators.retention import retention
 from metricforge.operators.stats import category_codes, chi_square
 from metricforge.plans.common import R
+from metricforge.plans.product import supplier_ltv
 from metricforge.sources.files import BAD_RECORD, read_csv
 
 SMALL = "/root/testdata/sf0.001"
@@ -84,6 +86,19 @@ def test_pivot_shows_every_segment(spark):
         assert abs(table.loc[r.year, r.segment] - r.total) < 0.02
 
 
+def test_growing_mass_markets(spark):
+    d = altered(part="SELECT * REPLACE (concat('market ', CASE WHEN p_partkey <= 10 THEN 9 ELSE p_partkey % 4 END) AS p_name) FROM t ")
+    out = E.queries()["mass_market_growing"](spark, d).toPandas().set_index("market")
+    x = pandas_of(d, "lineitem").merge(pandas_of(d, "orders"), left_on="l_orderkey", right_on="o_orderkey").merge(
+        pandas_of(d, "part"), left_on="l_partkey", right_on="p_partkey")
+    x = x[x["p_name"] != "market 9"]        # ten parts: a niche market
+    sums = x.groupby(["p_name", x["o_orderdate"].dt.year])["l_extendedprice"].sum().unstack()
+    want = sums[sums[1998] > sums[1997]]
+    fall = sums[sums[1998] <= sums[1997]]
+    assert set(out.index) == set(want.index) and len(want) and len(fall)
+    assert abs(out["total_before"] - want[1997]).max() < 0.011 and abs(out["total_after"] - want[1998]).max() < 0.011
+
+
 def test_counters_have_conferences_without_talks(spark):
     d = altered(customer="SELECT * FROM t WHERE c_nationkey <> 3")
     assert E.queries()["dashboard_counters"](spark, d).first()["n_conferences"] == 25
@@ -123,18 +138,56 @@ def test_check_with_rates_of_three_decimals(spark):
     assert out["orders_count"].sum() == lines["l_orderkey"].nunique()
 
 
-def test_ltv_joins_on_supplier_and_nation(spark):
-    out = E.queries()["ltv_top3"](spark, SMALL).toPandas()
-    s = {n: pandas_of(SMALL, n) for n in ("lineitem", "orders", "customer", "supplier", "nation", "region")}
+def region_lines(d):
+    """Lines of the LTV window and region with their commission, by pandas."""
+    s = {n: pandas_of(d, n) for n in ("lineitem", "orders", "customer", "nation", "region")}
     x = s["lineitem"].merge(s["orders"], left_on="l_orderkey", right_on="o_orderkey").merge(
         s["customer"], left_on="o_custkey", right_on="c_custkey").merge(
-        s["supplier"], left_on=["l_suppkey", "c_nationkey"], right_on=["s_suppkey", "s_nationkey"]).merge(
-        s["nation"], left_on="s_nationkey", right_on="n_nationkey").merge(
+        s["nation"], left_on="c_nationkey", right_on="n_nationkey").merge(
         s["region"], left_on="n_regionkey", right_on="r_regionkey")
     x = x[(x["r_name"] == "EUROPE") & x["o_orderdate"].between("1995-01-01", "2001-12-31 23:59:59")]
-    want = (x["l_extendedprice"].round(2) * x["l_discount"]).groupby(x["s_suppkey"]).sum().nlargest(3)
-    assert out["s_suppkey"].tolist() == want.index.tolist()
-    assert all(abs(a - b) < 0.011 for a, b in zip(out["ltv"], want, strict=True))
+    return x.assign(commission=x["l_extendedprice"].round(2) * x["l_discount"])
+
+
+def test_ltv_counts_every_line(spark):
+    x = region_lines(SMALL)
+    out = supplier_ltv(spark, SMALL, "EUROPE").toPandas()
+    assert abs(out["ltv"].sum() - x["commission"].sum()) < 0.01 * len(out)
+    want = x.groupby("l_suppkey")["commission"].sum().nlargest(3)
+    top = E.queries()["ltv_top3"](spark, SMALL).toPandas()
+    assert top["s_suppkey"].tolist() == want.index.tolist()
+    assert all(abs(a - b) < 0.011 for a, b in zip(top["ltv"], want, strict=True))
+    names = pandas_of(SMALL, "supplier").set_index("s_suppkey")["s_name"]
+    dishes = x[x["l_suppkey"].isin(want.index[:2])].merge(pandas_of(SMALL, "part"), left_on="l_partkey", right_on="p_partkey")
+    keys = ["s_name", "p_name", "p_brand", "p_type", "p_size"]
+    best = dishes.assign(s_name=dishes["l_suppkey"].map(names)).groupby(keys)["commission"].sum().nlargest(5)
+    five = E.queries()["ltv_nested_top5"](spark, SMALL).toPandas()
+    assert [tuple(r) for r in five[keys].values] == best.index.tolist()
+    assert all(abs(a - b) < 0.011 for a, b in zip(five["ltv"], best, strict=True))
+
+
+def test_join_audit_shows_what_is_lost(spark):
+    whole = E.queries()["join_audit_ltv"](spark, SMALL).toPandas()
+    assert (whole[["lost_rows", "lost_amount", "extra_rows"]] == 0).all().all()
+    d = altered(part="SELECT * FROM t WHERE p_partkey % 3 <> 0", region="SELECT * FROM t UNION ALL SELECT * FROM t WHERE r_regionkey = 3",
+                customer="SELECT * REPLACE (CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey) FROM t ")
+    out = E.queries()["join_audit_ltv"](spark, d).toPandas().set_index("join_name")
+    lines = pandas_of(d, "lineitem").merge(pandas_of(d, "orders"), left_on="l_orderkey", right_on="o_orderkey")
+    homeless = lines[lines["o_custkey"] % 5 == 0]
+    row = out.loc["customers to nations"]
+    assert row["lost_rows"] == len(homeless) and row["left_rows"] == len(lines)
+    assert abs(row["lost_amount"] - (homeless["l_extendedprice"].round(2) * homeless["l_discount"]).sum()) < 0.01
+    x = region_lines(SMALL)
+    x = x[x["o_custkey"] % 5 != 0]
+    row = out.loc["menus to parts"]
+    assert row["lost_rows"] == (x["l_partkey"] % 3 == 0).sum()
+    assert abs(row["lost_amount"] - x.loc[x["l_partkey"] % 3 == 0, "commission"].sum()) < 0.01
+    settled = lines[lines["o_custkey"] % 5 != 0].merge(pandas_of(d, "customer"), left_on="o_custkey", right_on="c_custkey").merge(
+        pandas_of(d, "nation"), left_on="c_nationkey", right_on="n_nationkey")
+    assert out.loc["nations to regions", "extra_rows"] == (settled["n_regionkey"] == 3).sum()
+    keys = lost_by_key(spark.createDataFrame([(1, 2.0), (1, 3.0), (2, 5.0), (None, 7.0)], "k int, v double"),
+                       spark.createDataFrame([(2,), (3,)], "j int"), [("k", "j")], amount="v").collect()
+    assert sorted((str(r["k"]), r["lost_rows"], r["lost_amount"]) for r in keys) == [("1", 2, 5.0), ("None", 1, 7.0)]
 
 
 def test_retention_of_a_user_with_two_first_dates(spark):
@@ -142,11 +195,24 @@ def test_retention_of_a_user_with_two_first_dates(spark):
     new = spark.createDataFrame([(1, day(1)), (1, day(3)), (2, day(1)), (2, day(1))], "user_id long, first_date date")
     seen = spark.createDataFrame([(1, day(1)), (1, day(3)), (1, day(4)), (2, day(1)), (2, day(4)), (3, day(4))],
                                  "user_id long, log_date date")
-    out = {r["day_since_install"]: (r["retained_users"], r["retention_rate"]) for r in retention(new, seen, 7).collect()}
+    out = {r["day_no"]: (r["users"], r["share"]) for r in retention(new, seen, 7).collect()}
     # User 1 counts from both dates: offsets 0, 2, 3 and 0, 1; user 2: 0, 3.
     assert out == {0: (2, 1.0), 1: (1, 0.5), 2: (1, 0.5), 3: (2, 1.0)}
 
 
+def test_cohorts_have_their_own_running_maximum(spark):
+    day = lambda m, n: dt.date(2024, m, n)
+    new = spark.createDataFrame([(1, day(1, 30)), (1, day(2, 2)), (2, day(1, 30)), (3, day(2, 5))],
+                                "user_id long, first_date date")
+    seen = spark.createDataFrame([(1, day(1, 30)), (1, day(2, 2)), (2, day(1, 30)), (2, day(1, 31)), (3, day(2, 6)),
+                                  (1, day(2, 3))], "user_id long, log_date date")
+    out = {(r["cohort"], r["day_no"]): (r["users"], r["share"]) for r in retention(new, seen, 7, cohort=True).collect()}
+    jan, feb = day(1, 1), day(2, 1)
+    # January starts with two users; February's user 1 is there at once, user 3 after a day.
+    assert out == {(jan, 0): (2, 1.0), (jan, 1): (1, 0.5), (jan, 3): (1, 0.5), (jan, 4): (1, 0.5),
+                   (feb, 0): (1, 1.0), (feb, 1): (2, 1.0)}
+
+
 def test_chi_square_of_very_large_counts(spark):
     big = 4_000_000_000
     cells = spark.createDataFrame([("a", "x", big), ("a", "y", big // 2), ("b", "x", big // 2), ("b", "y", big)],
