@@ -3,18 +3,16 @@ connected components."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable
+from contextlib import suppress
 from functools import reduce
-from pathlib import Path
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricforge.session import checkpoint_dir
+from metricforge.session import checkpoint_dir, ship
 
 #: Frees a finished statement's shuffle files, so that the disk holds one
 #: step's shuffles at a time.
@@ -41,32 +39,36 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ship(spark: SparkSession) -> None:
-    """Let the Python workers import this package, as ``--py-files`` would:
-    the driver serves a zip of its sources to the executors, once."""
-    sc = spark.sparkContext
-    if getattr(sc, "_metricforge_shipped", False):
-        return
-    package = Path(__file__).resolve().parent.parent
-    path = Path(tempfile.mkdtemp(prefix="mf-ship-"), "metricforge.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for f in sorted(package.rglob("*.py")):
-            z.write(f, f.relative_to(package.parent))
-    sc.addPyFile(str(path))
-    sc._metricforge_shipped = True
-
-
 def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``df.mapInArrow`` with this package at hand in the workers."""
     ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
+#: Rows that one row is expanded to at a time.
+PORTION = 1 << 12
+
+
+def each(df: DataFrame, count: str, name: str) -> DataFrame:
+    """A row for each number from 0 below ``count`` as ``name``, in two steps,
+    so that one row's many numbers are dealt over the tasks. The columns of
+    ``df`` have plain names."""
+    df = df.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({count} - 1) div {PORTION}"))).alias("__portion"))
+    df = df.repartition(F.xxhash64(*df.columns))
+    first = F.col("__portion") * PORTION
+    return df.select("*", F.explode(F.sequence(first, F.least(first + PORTION, F.col(count)) - 1)).alias(name)).drop("__portion")
+
+
 def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever their names hold."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)`` as ``(node, component)`` with
     the smallest node as component; nodes without an edge do not appear.
 
@@ -94,7 +96,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
     seen = mark(cur)
-    for _ in range(max_rounds):
+    while True:                     # each round that is not the last changes an edge
         both = cur.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             cur.select(F.col("b").alias("u"), F.col("a").alias("v")))
         large = star(both, small=False)
@@ -104,8 +106,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return (cur.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
             .unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()))
 
@@ -114,16 +114,30 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 FILE, ROW = "__mf_file", "__mf_row"
 
 
+def _plain_scan(df: DataFrame) -> bool:
+    """Whether each row of ``df`` is a row of a file, and none is two: a scan,
+    at most filtered and projected. Spark hands a file row's address on through
+    all other steps as well, also those that repeat rows."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias", "View"):
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation"
+
+
 def addressed(docs: DataFrame) -> DataFrame:
     """``docs`` with the address of each row: the file it lies in (as a
     64-bit hash of the path) and its place there. Unlike an id column, an
-    address is never null and never repeats. A frame that does not come
-    straight from Parquet files is written to the shared folder first."""
+    address is never null and never repeats. A frame that is not a plain scan
+    of Parquet files (a join, a union, an exploded table) is written to the
+    shared folder first."""
     if {FILE, ROW} <= {*docs.columns}:
         return docs
-    try:
-        place = docs.metadataColumn("_metadata")
-    except AnalysisException:
-        docs = keep(docs, "documents")
-        place = docs.metadataColumn("_metadata")
-    return docs.select("*", F.xxhash64(place["file_path"]).alias(FILE), place["row_index"].alias(ROW))
+
+    def place(df: DataFrame) -> DataFrame:
+        at = df.metadataColumn("_metadata")
+        return df.select("*", F.xxhash64(at["file_path"]).alias(FILE), at["row_index"].alias(ROW))
+
+    if _plain_scan(docs):
+        with suppress(AnalysisException):     # files of another kind have no row numbers
+            return place(docs)
+    return place(keep(docs, "documents"))

@@ -35,13 +35,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metricforge.llm.common import keep
+from metricforge.llm.common import each, keep
 
-#: Rows of a block of the hash on average, slots of a stretch of the schedule,
-#: and rows that one row is expanded to at a time.
+#: Rows of a block of the hash on average, and slots of a stretch of the
+#: schedule.
 ROWS = 1 << 14
 STRETCH = 1 << 16
-PORTION = 1 << 12
 
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -52,15 +51,6 @@ def word_count(text: Column) -> Column:
     return F.length(F.regexp_replace(body, r"[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+", "x")).cast("long")
 
 
-def _each(df: DataFrame, count: str, name: str) -> DataFrame:
-    """A row for each number from 0 below ``count`` as ``name``, in two steps,
-    so that one row's many numbers are dealt over the tasks."""
-    df = df.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({count} - 1) div {PORTION}"))).alias("__portion"))
-    df = df.repartition(F.xxhash64(*df.columns))
-    first = F.col("__portion") * PORTION
-    return df.select("*", F.explode(F.sequence(first, F.least(first + PORTION, F.col(count)) - 1)).alias(name)).drop("__portion")
-
-
 def _before(df: DataFrame, value: str, name: str, order: str) -> DataFrame:
     """``df`` with the sum of ``value`` over the rows before each one, by
     ``range`` and, within a range, by ``order``."""
@@ -122,7 +112,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5,
     items = keep(rows.groupBy("stratum", "key").agg(F.min("doc_id").alias("doc_id"), F.min("size").alias("size"),
                                                     F.count("*").alias("copies")), "items")
     many = max(1, items.count() // ROWS)
-    digits = max(1, min(15, -(-many.bit_length() // 4)))
+    digits = max(2, min(15, -(-many.bit_length() // 4)))
     items = items.withColumn("bucket", F.conv(F.substring("key", 1, digits), 16, 10).cast("long"))
 
     # Sources, numbered by name in ranges.
@@ -142,7 +132,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5,
 
     # The schedule: points of each source's interval, and the slots they mirror.
     bits = max(1, int(names.agg(F.sum("n")).first()[0] or 0) - 1).bit_length()
-    slots = _each(names.where("n > 0").select("stratum", "total", "blocks", "passes", "rest", "n", "base"), "n", "own")
+    slots = each(names.where("n > 0").select("stratum", "total", "blocks", "passes", "rest", "n", "base"), "n", "own")
     mirrored = F.reverse(F.lpad(F.bin(F.col("base") + F.col("own")), bits, "0"))
     slots = slots.withColumn("slot", F.conv(mirrored, 2, 10).cast("long"))
     slots = keep(slots.withColumn("stretch", F.expr(f"slot div {STRETCH}")).drop("own", "n", "base"), "slots")
@@ -165,7 +155,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5,
     start = F.col("off") + F.sum(words).over(Window.partitionBy("stratum", "bucket").orderBy("key")) - words
     laid = items.join(lots, ["stratum", "bucket"]).withColumn("start", start)
     single = laid.where("copies = 1").withColumn("at", F.col("start"))
-    several = _each(laid.where("copies > 1"), "copies", "copy").withColumn(
+    several = each(laid.where("copies > 1"), "copies", "copy").withColumn(
         "at", F.col("start") + F.col("copy") * F.col("size"))
     columns = ["doc_id", "stratum", "size", "at", "source_size", "target"]
     documents = keep(single.select(*columns).unionByName(several.select(*columns)), "laid")

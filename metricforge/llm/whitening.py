@@ -68,7 +68,7 @@ def cross_products(x: np.ndarray) -> np.ndarray:
     planes = max(1, int(x.max()).bit_length())
     bits = (x.T[:, None, :] >> np.arange(planes, dtype=np.uint64)[None, :, None]) & np.uint64(1)
     packed = np.packbits(bits.astype(np.uint8), axis=2)
-    packed = np.pad(packed, ((0, 0), (0, 0), (0, -packed.shape[2] % 8))).view(np.uint64)
+    packed = np.ascontiguousarray(np.pad(packed, ((0, 0), (0, 0), (0, -packed.shape[2] % 8)))).view(np.uint64)
     packed = packed.reshape(dims * planes, -1)
     ones = np.zeros((dims * planes, dims * planes), np.int64)
     for k in range(dims * planes):
