@@ -22,8 +22,8 @@ Consecutive windows with one anchor form a unit.
    buckets' boundaries through a count per window.
 
 Texts pass a shuffle twice: once to cut the units to compare, once to
-remove. Contents count as equal by two independent 64-bit hashes in step 1,
-by their bytes in step 2, and by a 128-bit hash in step 3.
+remove. Contents count as equal by a 128-bit hash in steps 1 and 3, and by
+their bytes in step 2.
 
 Defined cases: a null text counts as empty; a text shorter than ``length``
 loses nothing; repeated rows are repeats of each other; an empty table gives
@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricforge.llm.common import FILE, ROW, addressed, keep, map_arrow
+from metricforge.llm.common import FILE, ROW, addressed, columns, keep, map_arrow
 
 #: Bytes whose hash selects anchors, bytes handled at once, units of one
 #: anchor that one bucket compares, and windows sorted at once.
@@ -48,6 +48,8 @@ CHUNK_BYTES = 1 << 19
 GROUP_UNITS = 5000
 WINDOWS_AT_ONCE = 1 << 20
 WORD = 8
+#: A unit's name: the hash of its anchor, and both halves of its own.
+UNIT = ["h", "u", "v"]
 
 
 def _anchor_hashes(raw: np.ndarray) -> np.ndarray:
@@ -76,11 +78,11 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 def units(texts: list[bytes], length: int):
     """Units of several texts: ``(text, first window, windows, place of the
-    anchor in the unit, hash of the anchor, hash of the unit)``."""
+    anchor in the unit, hash of the anchor, both halves of the unit's hash)``."""
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     joined = b"".join(texts)
     if len(joined) < length:
-        return [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2
+        return [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 3
     raw = np.frombuffer(joined, np.uint8)
     h = _anchor_hashes(raw)
     # The high half decides, the position breaks ties to the left.
@@ -94,22 +96,24 @@ def units(texts: list[bytes], length: int):
     begin = np.flatnonzero(new)
     count = np.diff(np.append(begin, len(window)))
     at = window[begin]
-    digest = xxhash.xxh3_64_intdigest
-    content = np.fromiter((digest(joined[a:b]) for a, b in
-                           zip(at.tolist(), (at + count + length - 1).tolist(), strict=True)), np.uint64, len(at))
+    digest = xxhash.xxh3_128_digest
+    content = b"".join([digest(joined[a:b]) for a, b in
+                        zip(at.tolist(), (at + count + length - 1).tolist(), strict=True)])
+    content = np.frombuffer(content, np.uint64).reshape(-1, 2)
     base = (np.cumsum(size) - size)[owner[begin]]
-    return [owner[begin], at - base, count, anchor[begin] - at, h[anchor[begin]], content]
+    return [owner[begin], at - base, count, anchor[begin] - at, h[anchor[begin]],
+            content[:, 0].copy(), content[:, 1].copy()]
 
 
 def _units_of(docs: DataFrame, length: int) -> DataFrame:
     def run(batches):
         def emit(batch, begin, texts):
-            who, at, count, place, h, u = units(texts, length)
+            who, at, count, place, *hashes = units(texts, length)
             who = pa.array(who + begin)
             return pa.RecordBatch.from_arrays(
                 [batch.column(0).take(who), batch.column(1).take(who), pa.array(at), pa.array(count.astype(np.int32)),
-                 pa.array(place.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(u.view(np.int64))],
-                names=[FILE, ROW, "at", "n", "place", "h", "u"])
+                 pa.array(place.astype(np.int32)), *(pa.array(x.view(np.int64)) for x in hashes)],
+                names=[FILE, ROW, "at", "n", "place", *UNIT])
 
         for batch in batches:
             run_, begin, size = [], 0, 0
@@ -123,7 +127,7 @@ def _units_of(docs: DataFrame, length: int) -> DataFrame:
                 yield emit(batch, begin, run_)
 
     return map_arrow(docs.select(FILE, ROW, "text"), run,
-                     f"{FILE} long, {ROW} long, at long, n int, place int, h long, u long")
+                     f"{FILE} long, {ROW} long, at long, n int, place int, h long, u long, v long")
 
 
 def multikey_groups(raw: np.ndarray, start: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
@@ -150,22 +154,22 @@ def multikey_groups(raw: np.ndarray, start: np.ndarray, group: np.ndarray, lengt
 
 
 def _compare(rows: list[tuple], length: int):
-    """``rows``: (h, u, full, place, content) of whole groups of one lead.
-    Yields (h, u, [first repeated window, end] ...) of units not known full."""
-    raw = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
-    size = np.fromiter((len(r[4]) for r in rows), np.int64, len(rows))
+    """``rows``: (h, u, v, full, place, content) of whole groups of one lead.
+    Yields (h, u, v, first repeated window, end) of units not known full."""
+    raw = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
+    size = np.fromiter((len(r[5]) for r in rows), np.int64, len(rows))
     count = size - length + 1
-    place = np.fromiter((r[3] for r in rows), np.int64, len(rows))
+    place = np.fromiter((r[4] for r in rows), np.int64, len(rows))
     lead = {}
-    group = np.fromiter((lead.setdefault(r[4][r[3]:r[3] + ANCHOR], len(lead)) for r in rows), np.int64, len(rows))
+    group = np.fromiter((lead.setdefault(r[5][r[4]:r[4] + ANCHOR], len(lead)) for r in rows), np.int64, len(rows))
     row = np.repeat(np.arange(len(rows)), count)
     i = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
     # Equal windows have their anchor at the same place.
     key = group[row] * length + (place[row] - i)
     same = multikey_groups(raw, np.repeat(np.cumsum(size) - size, count) + i, key, length)
-    open_ = ~np.fromiter((r[2] for r in rows), bool, len(rows))
+    open_ = ~np.fromiter((r[3] for r in rows), bool, len(rows))
     for a, b, k in _runs(same & open_[row], row, i):
-        yield rows[k][0], rows[k][1], a, b
+        yield *rows[k][:3], a, b
 
 
 def _runs(mark: np.ndarray, row: np.ndarray, i: np.ndarray):
@@ -181,21 +185,21 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
     """``(address, begin, end)``: byte ranges covered by repeated strings (they
     may overlap). ``docs`` has addresses and ``text``."""
     all_units = keep(_units_of(docs, length), "units")
-    kinds = all_units.groupBy("h", "u").agg(F.count("*").alias("c"))
+    kinds = all_units.groupBy(*UNIT).agg(F.count("*").alias("c"))
     anchors = (kinds.groupBy("h").agg(F.count("*").alias("units"), F.sum("c").alias("total"),
                                       F.min("c").alias("least")).where("total > 1"))
     marked = keep(kinds.join(anchors, "h")
-                  .select("h", "u", (F.col("c") > 1).alias("full"), "units",
+                  .select(*UNIT, (F.col("c") > 1).alias("full"), "units",
                           ((F.col("units") > 1) & (F.col("least") == 1)).alias("compare")), "marked")
-    hits = keep(all_units.join(marked, ["h", "u"]), "hits")
+    hits = keep(all_units.join(marked, UNIT), "hits")
 
     # The content of one unit of each kind that is to be compared.
-    chosen = (hits.where("compare").groupBy("h", "u")
+    chosen = (hits.where("compare").groupBy(*UNIT)
               .agg(F.min(F.struct(FILE, ROW, "at", "n", "place")).alias("x"),
                    F.first("full").alias("full"), F.first("units").alias("units"))
-              .select("h", "u", "full", "units", "x.*"))
+              .select(*UNIT, "full", "units", "x.*"))
     per_doc = chosen.groupBy(FILE, ROW).agg(
-        F.collect_list(F.struct("h", "u", "full", "units", "at", "n", "place")).alias("cuts"))
+        F.collect_list(F.struct(*UNIT, "full", "units", "at", "n", "place")).alias("cuts"))
 
     def cut(batches):
         for batch in batches:
@@ -204,7 +208,7 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
                 raw = text.encode()
                 for c in cuts:
                     unit = raw[c["at"]:c["at"] + c["n"] + length - 1]
-                    out.append((c["h"], c["u"], c["full"], c["units"], c["place"],
+                    out.append((c["h"], c["u"], c["v"], c["full"], c["units"], c["place"],
                                 unit[c["place"]:c["place"] + ANCHOR], unit))
                     if len(out) >= 20_000:
                         yield _cut_batch(out)
@@ -213,7 +217,7 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
                 yield _cut_batch(out)
 
     contents = map_arrow(docs.select(FILE, ROW, "text").join(per_doc, [FILE, ROW]).select("text", "cuts"),
-                         cut, "h long, u long, full boolean, units long, place int, lead binary, unit binary")
+                         cut, "h long, u long, v long, full boolean, units long, place int, lead binary, unit binary")
     contents = keep(contents, "contents")
 
     def buckets(batches):
@@ -223,41 +227,41 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
             found = list(_compare(rows, length))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)],
-                                                 names=["h", "u", "first", "stop"])
+                                                 names=[*UNIT, "first", "stop"])
 
         for batch in batches:
-            for r in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                lead = r[4]
+            for r in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+                lead = r[5]
                 if windows >= WINDOWS_AT_ONCE and lead != last:
                     yield from flush()
                     rows, windows = [], 0
-                rows.append((r[0], r[1], r[2], r[3], r[5]))
-                windows += len(r[5]) - length + 1
+                rows.append((*r[:5], r[6]))
+                windows += len(r[6]) - length + 1
                 last = lead
         if rows:
             yield from flush()
 
-    small = map_arrow(contents.where(F.col("units") <= GROUP_UNITS).select("h", "u", "full", "place", "lead", "unit")
+    small = map_arrow(contents.where(F.col("units") <= GROUP_UNITS).select(*UNIT, "full", "place", "lead", "unit")
                       .repartitionByRange("lead").sortWithinPartitions("lead"),
-                      buckets, "h long, u long, first long, stop long")
+                      buckets, "h long, u long, v long, first long, stop long")
 
     def windows(batches):
         for batch in batches:
-            for r in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                n = len(r[4]) - length + 1
+            for *unit, place, content in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                n = len(content) - length + 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0]] * n), pa.array([r[1]] * n), pa.array([r[2]] * n),
-                     pa.array(range(n), pa.int32()), pa.array(range(r[3], r[3] - n, -1), pa.int32()),
-                     pa.array([xxhash.xxh3_128_digest(r[4][i:i + length]) for i in range(n)], pa.binary())],
-                    names=["h", "u", "full", "i", "offset", "window"])
+                    [*(pa.array([x] * n) for x in unit),
+                     pa.array(range(n), pa.int32()), pa.array(range(place, place - n, -1), pa.int32()),
+                     pa.array([xxhash.xxh3_128_digest(content[i:i + length]) for i in range(n)], pa.binary())],
+                    names=[*UNIT, "full", "i", "offset", "window"])
 
-    dealt = map_arrow(contents.where(F.col("units") > GROUP_UNITS).select("h", "u", "full", "place", "unit"),
-                      windows, "h long, u long, full boolean, i int, offset int, window binary")
+    dealt = map_arrow(contents.where(F.col("units") > GROUP_UNITS).select(*UNIT, "full", "place", "unit"),
+                      windows, "h long, u long, v long, full boolean, i int, offset int, window binary")
     twice = dealt.groupBy("h", "offset", "window").agg(F.count("*").alias("c")).where("c > 1").drop("c")
     large = (dealt.where("not full").join(twice, ["h", "offset", "window"], "left_semi")
-             .select("h", "u", F.col("i").cast("long").alias("first"), (F.col("i") + 1).cast("long").alias("stop")))
+             .select(*UNIT, F.col("i").cast("long").alias("first"), (F.col("i") + 1).cast("long").alias("stop")))
 
-    part = hits.where("compare and not full").join(keep(small.unionByName(large), "repeats"), ["h", "u"])
+    part = hits.where("compare and not full").join(keep(small.unionByName(large), "repeats"), UNIT)
     return (hits.where("full").select(FILE, ROW, F.col("at").alias("begin"),
                                       (F.col("at") + F.col("n") + length - 1).alias("end"))
             .unionByName(part.select(FILE, ROW, (F.col("at") + F.col("first")).alias("begin"),
@@ -265,9 +269,9 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
 
 
 def _cut_batch(out: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                                      names=["h", "u", "full", "units", "place", "lead", "unit"])
+                                      names=[*UNIT, "full", "units", "place", "lead", "unit"])
 
 
 def _merge(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -322,7 +326,7 @@ def strip_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", te
     """``docs`` with the repeated bytes out of their texts (and, where the
     column exists, the number of characters set anew)."""
     src = addressed(docs)
-    whole = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)))
+    whole = F.struct(*(x.alias(f"c{i}") for i, x in enumerate(columns(docs))))
     out = remove_repeats(src, length, id_col, text_col, whole)
     new = {text_col: F.col("kept_text"), chars_col: F.length(F.coalesce("kept_text", F.lit("")))}
     kinds = dict(docs.dtypes)
