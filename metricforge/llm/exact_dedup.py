@@ -26,7 +26,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricforge.llm.common import FILE, ROW, addressed, keep, shared_path
+from metricforge.llm.common import FILE, ROW, addressed, columns, keep, shared_path
 
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -121,4 +121,4 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with one row of each group of equal texts."""
     src = addressed(docs)
     stay = find_copies(src, id_col, text_col).where("kept").select(FILE, ROW)
-    return src.join(stay, [FILE, ROW], "left_semi").select(*docs.columns)
+    return src.join(stay, [FILE, ROW], "left_semi").select(*columns(docs))

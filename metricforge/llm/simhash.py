@@ -10,9 +10,11 @@ radius.
 Sending every shard's tree to every task would broadcast data that grows
 with the corpus. Instead the 64 bits are cut into ``radius + 1`` bands: two
 linked fingerprints agree on one band at least, so a shard is one band
-value, and a fingerprint visits only its ``radius + 1`` shards. A shard with
-more than ``TREE_NODES`` members is split into several trees that all the
-shard's members search; no member is left out.
+value, and a fingerprint visits only its ``radius + 1`` shards. The members of
+a shard with more than ``TREE_NODES`` agree on its band, so links among them
+differ in the other bits only: those are cut into ``radius + 1`` bands again,
+until every shard is small (a few free bits leave few different members). No
+member is left out, and the work for a hot band does not grow with its square.
 
 Defined cases: null and empty texts (and texts of white space) have the
 fingerprint zero and link like any other; equal fingerprints always link; a
@@ -29,10 +31,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metricforge.llm.common import FILE, ROW, addressed, components, keep, map_arrow
+from metricforge.llm.common import FILE, ROW, addressed, columns, components, keep, map_arrow, union
 
 BITS = 64
-#: Nodes of one BK-tree, and shingles whose bits are counted at once.
+#: Nodes of one BK-tree (more where few bits tell the members apart), and
+#: shingles whose bits are counted at once.
 TREE_NODES = 4096
 SHINGLES_AT_ONCE = 1 << 16
 
@@ -145,54 +148,68 @@ def _search_shard(tree: np.ndarray, batches, radius: int):
     yield tree[moved], tree[root[moved]]
 
 
+def _bands(mask: int, radius: int) -> list[int]:
+    """``mask`` plus each of ``radius + 1`` bands of the bits it leaves free."""
+    free = [b for b in range(BITS) if not mask >> b & 1]
+    edges = np.linspace(0, len(free), radius + 2).astype(int)
+    return [mask | sum(1 << b for b in free[a:z]) for a, z in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def _signed(x: int) -> int:
+    return x - (1 << BITS) if x >> (BITS - 1) else x
+
+
+def shards(fps: DataFrame, radius: int) -> DataFrame:
+    """``(mask, value, fp)``: the shards (fingerprints that agree on the bits
+    of ``mask``) of two members and more. Two fingerprints within the radius
+    meet in one at least."""
+    spark = fps.sparkSession
+    rows, masks, small = fps.select("fp", F.lit(0).cast("long").alias("mask")), [0], []
+    while True:
+        # A row for each mask of this level: radius + 1 to the level at most.
+        cuts = [(_signed(m), _signed(x)) for m in masks for x in _bands(m, radius)]
+        rows = (rows.join(F.broadcast(spark.createDataFrame(cuts, "mask long, cut long")), "mask")
+                .select("fp", F.col("cut").alias("mask"), F.col("cut").bitwiseAND(F.col("fp")).alias("value")))
+        sizes = rows.groupBy("mask", "value").agg(F.count("*").alias("size")).where("size > 1")
+        rows = keep(rows.join(sizes, ["mask", "value"]), "shards")
+        large = (F.col("size") > TREE_NODES) & (F.bit_count("mask") < BITS - radius)
+        small.append(rows.where(~large).select("mask", "value", "fp"))
+        rows = rows.where(large).select("fp", "mask")
+        if rows.isEmpty():
+            return union(small)
+        masks = sorted({x for m in masks for x in _bands(m, radius)})
+
+
 def link_edges(fps: DataFrame, radius: int = 2) -> DataFrame:
     """Edges between distinct fingerprints ``fps(fp)`` whose closure is the
     closure of all links within ``radius`` bits."""
-    edges = np.linspace(0, BITS, radius + 2).astype(int)
-    bands = [F.struct(F.lit(i).alias("band"),
-                      F.shiftrightunsigned("fp", int(a)).bitwiseAND(F.lit((1 << int(b - a)) - 1)).alias("value"))
-             for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
-    rows = fps.select("fp", F.explode(F.array(*bands)).alias("s")).select("fp", "s.*")
-    sizes = (rows.groupBy("band", "value").agg(F.count("*").alias("size")).where("size > 1")
-             .withColumn("trees", F.ceil(F.col("size") / TREE_NODES).cast("int")))
-    rows = rows.join(sizes, ["band", "value"])
-    # A member is a node of one tree and a query of every tree of its shard.
-    rows = rows.select("band", "value", "fp", F.expr("pmod(xxhash64(fp), trees)").alias("own"),
-                       F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree"))
-    rows = rows.select("band", "value", "tree", "fp", (F.col("tree") == F.col("own")).alias("node"))
-
     def run(batches):
-        def search(tree, held):
-            for a, b in _search_shard(np.concatenate(tree), [np.concatenate(held)], radius):
+        def search(held):
+            points = np.concatenate(held)
+            for a, b in _search_shard(points, [points], radius):
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))],
                                                      names=["a", "b"])
 
-        key, tree, held, many = None, [], [], 0
+        key, held = None, []
         for batch in batches:
-            col = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
-            shard = np.stack([c.astype(np.int64) for c in col[:3]])
-            cut = np.flatnonzero(np.append(True, (shard[:, 1:] != shard[:, :-1]).any(axis=0)))
-            for a, b in zip(cut.tolist(), np.append(cut[1:], shard.shape[1]).tolist(), strict=True):
-                now = tuple(shard[:, a].tolist())
-                if now != key:
-                    if held:
-                        yield from search(tree, held)
-                    key, tree, held, many = now, [], [], 0
-                fp, node = col[3][a:b].view(np.uint64), col[4][a:b]
-                # Rows come sorted with the tree's nodes first, so the tree is
-                # complete when a full batch of queries is searched.
-                if many and not node.any() and many > 4 * TREE_NODES:
-                    yield from search(tree, held)
-                    held, many = [], 0
-                tree.append(fp[node.astype(bool)])
-                held.append(fp)
-                many += len(fp)
+            mask, value, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            cut = np.flatnonzero(np.append(True, (mask[1:] != mask[:-1]) | (value[1:] != value[:-1])))
+            for a, b in zip(cut.tolist(), np.append(cut[1:], len(fp)).tolist(), strict=True):
+                now = (mask[a], value[a])
+                if now != key and held:
+                    yield from search(held)
+                    held = []
+                key = now
+                held.append(fp[a:b].view(np.uint64))
         if held:
-            yield from search(tree, held)
+            yield from search(held)
 
-    return map_arrow(rows.repartition("band", "value", "tree")
-                     .sortWithinPartitions("band", "value", "tree", F.desc("node")), run, "a long, b long")
+    # A number of its own, so that adaptive execution does not merge the few
+    # bytes of many searches into one task.
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return map_arrow(shards(fps, radius).repartition(parts, "mask", "value").sortWithinPartitions("mask", "value"),
+                     run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42,
@@ -218,4 +235,4 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, see
     rows = near_duplicates(src, shingle, radius, seed, id_col, text_col)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", FILE, ROW)
     stay = rows.groupBy("root").agg(F.min(order).alias("s")).select(f"s.{FILE}", f"s.{ROW}")
-    return src.join(stay, [FILE, ROW], "left_semi").select(*docs.columns)
+    return src.join(stay, [FILE, ROW], "left_semi").select(*columns(docs))
