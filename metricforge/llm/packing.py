@@ -32,6 +32,7 @@ from metricforge.llm.token_ids import encode, with_end
 
 #: Blocks in which the pieces of one length are numbered.
 BLOCKS = 4096
+BLOCK_ROWS = 1 << 14
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0,
@@ -148,7 +149,8 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     address, ``piece`` and ``length`` (1 to ``capacity``)."""
     spark = pieces.sparkSession
     pieces = keep(pieces, "pieces")
-    blocks = pieces.withColumn("block", F.expr(f"pmod(xxhash64({FILE}, {ROW}, piece), {BLOCKS})"))
+    many = max(BLOCKS, pieces.count() // BLOCK_ROWS)
+    blocks = pieces.withColumn("block", F.expr(f"pmod(xxhash64({FILE}, {ROW}, piece), {many})"))
     sizes = blocks.groupBy("length", "block").agg(F.count("*").alias("c"))
     before = sizes.select("length", "block", (F.sum("c").over(Window.partitionBy("length").orderBy("block"))
                                               - F.col("c")).alias("before"))

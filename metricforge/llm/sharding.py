@@ -7,13 +7,13 @@ into equal runs give shards that differ by one row at most and all have the
 mixture of the whole.
 
 No rank needs a source, or the whole table, in one task: ranks are counted
-within ``16 ** DIGITS`` blocks of the hash (of the fraction), and the blocks'
-totals give the offsets. The totals are one row for each source and block
-(for each block), whatever the table's size.
+within blocks of the hash (of the fraction), whose number grows with the rows,
+and the blocks' totals give the offsets.
 
 Defined cases: a null source is a stratum of its own; a null text has no
-bytes; rows with one id are held in order by size and checksum, and rows
-alike in all of these are interchangeable; fewer rows than shards leave some
+bytes; the hash is of id, checksum and size, so rows without an id are dealt
+like others; rows alike in all of these and the source are copies, counted
+first and ranked side by side; fewer rows than shards leave some
 shards empty; an empty table gives an empty result. Other columns are not
 read.
 """
@@ -23,11 +23,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from metricforge.llm.common import keep
+from metricforge.llm.common import each, keep
 
-#: Hexadecimal digits of the hash that choose a block.
+#: Hexadecimal digits of the hash that choose a block, blocks of the fraction
+#: (at least), and rows of a block from which there are more.
 DIGITS = 3
 BLOCKS = 16 ** DIGITS
+ROWS = 1 << 14
 
 
 def interleave(docs: DataFrame, shards: int, seed: int = 42, id_col: str = "doc_id",
@@ -39,30 +41,40 @@ def interleave(docs: DataFrame, shards: int, seed: int = 42, id_col: str = "doc_
     rows = docs.select(
         docs[id_col].alias("doc_id"), docs[source_col].alias("source"),
         (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
-        F.coalesce(F.concat(F.lit("="), docs[source_col].cast("string")), F.lit("null")).alias("stratum"),
-        F.md5(F.concat(F.lit(salt), F.coalesce(docs[id_col].cast("string"), F.lit("null")))).alias("key"))
-    rows = keep(rows.withColumn("block", F.conv(F.substring("key", 1, DIGITS), 16, 10).cast("int")), "rows")
+        F.coalesce(F.concat(F.lit("="), docs[source_col].cast("string")), F.lit("null")).alias("stratum"))
+    same = ["doc_id", "source", "size", "text_crc32", "stratum"]
+    rows = rows.groupBy(*same).agg(F.count("*").alias("copies"))
+    rows = keep(rows.withColumn("key", F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(
+        F.col("doc_id").cast("string"), F.lit("null")), "text_crc32", "size"))), "rows")
+    digits, n = DIGITS, rows.count()
+    while 16 ** digits * ROWS < n:
+        digits += 1
+    cells_ = max(BLOCKS, 16 ** digits)
+    rows = rows.withColumn("block", F.conv(F.substring("key", 1, digits), 16, 10).cast("long"))
     ties = ["key", F.col("doc_id").asc_nulls_first(), "text_crc32", "size"]
 
     # Rank within the source: offset of the block plus rank within the block.
     upto = Window.partitionBy("stratum").orderBy("block")
     whole = Window.partitionBy("stratum")
-    blocks = rows.groupBy("stratum", "block").agg(F.count("*").alias("c"))
+    blocks = rows.groupBy("stratum", "block").agg(F.sum("copies").alias("c"))
     blocks = blocks.select("stratum", "block", (F.sum("c").over(upto) - F.col("c")).alias("before"),
                            F.sum("c").over(whole).alias("n"))
     phase = F.conv(F.substring(F.md5(F.concat(F.lit(salt), F.col("stratum"))), 1, 8), 16, 10).cast("double")
-    rank = F.col("before") + F.row_number().over(Window.partitionBy("stratum", "block").orderBy(*ties))
-    ranked = rows.join(blocks, ["stratum", "block"]).withColumn("rank", rank).withColumn(
+    upto_row = Window.partitionBy("stratum", "block").orderBy(*ties).rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.col("before") + F.coalesce(F.sum("copies").over(upto_row), F.lit(0)) + 1
+    ranked = rows.join(blocks, ["stratum", "block"]).withColumn("rank", rank).drop("block", "before")
+    several = each(ranked.where("copies > 1"), "copies", "copy").withColumn("rank", F.col("rank") + F.col("copy"))
+    ranked = ranked.where("copies = 1").unionByName(several.drop("copy")).withColumn(
         "place", (F.col("rank").cast("double") - phase / F.lit(2.0 ** 32)) / F.col("n").cast("double"))
-    ranked = ranked.withColumn("cell", F.least(F.floor(F.col("place") * BLOCKS), F.lit(BLOCKS - 1)).cast("int"))
-    ranked = keep(ranked.drop("block", "before", "n", "rank"), "places")
+    ranked = ranked.withColumn("cell", F.least(F.floor(F.col("place") * cells_), F.lit(cells_ - 1)).cast("long"))
+    ranked = keep(ranked.drop("n", "rank", "copies"), "places")
 
     # The same again for the order of all rows. One row for each cell.
     cells = ranked.groupBy("cell").agg(F.count("*").alias("c"))
     cells = cells.select("cell", (F.sum("c").over(Window.orderBy("cell")) - F.col("c")).alias("before"),
                          F.sum("c").over(Window.partitionBy()).alias("total"))
     within = F.row_number().over(Window.partitionBy("cell").orderBy("place", "stratum", *ties))
-    placed = (ranked.join(F.broadcast(cells), "cell").withColumn("at", F.col("before") + within - 1)
+    placed = (ranked.join(cells, "cell").withColumn("at", F.col("before") + within - 1)
               .withColumn("shard", F.expr(f"(at * {shards}) div total")))
     return placed.select("doc_id", "source", "size", "text_crc32", F.col("shard").cast("int").alias("shard"),
                          F.expr(f"at - (shard * total + {shards - 1}) div {shards}").alias("slot"))
@@ -78,17 +90,18 @@ WITH steps AS (
   FROM range(256) r(i)),
 base AS (
   SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, coalesce('=' || source, 'null') AS stratum,
-         md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key,
          xor(4294967295, list_reduce(
            list_prepend(CAST(4294967295 AS BIGINT),
                         [CAST('0x' || x AS BIGINT) FOR x IN regexp_extract_all(hex(encode(coalesce(text, ''))), '..')]),
            lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1]))) AS text_crc32
   FROM documents, steps),
+keyed AS (
+  SELECT *, md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || text_crc32 || ':' || size) AS key FROM base),
 spread AS (
   SELECT *, (CAST(row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id NULLS FIRST, text_crc32, size) AS DOUBLE)
              - CAST(CAST('0x' || substr(md5('{seed}:' || stratum), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0)
             / CAST(count(*) OVER (PARTITION BY stratum) AS DOUBLE) AS place
-  FROM base),
+  FROM keyed),
 line AS (
   SELECT *, row_number() OVER (ORDER BY place, stratum, key, doc_id NULLS FIRST, text_crc32, size) - 1 AS pos,
          count(*) OVER () AS total

@@ -9,12 +9,14 @@ writes to can hold it):
               Documents lie in ascending id order over shards and blocks.
 ``index/``    one row for each index part: the bit levels of a minimal
               perfect hash over the part's keys (Limasset et al. 2017), and
-              by slot a 32-bit fingerprint of the key and the places of its
-              documents (shard, block, offset, count, global start).
+              by slot a 32-bit fingerprint of the key, the place of its
+              first document (shard, block, offset, count, global start) and
+              the number of its documents.
 
 A key is hashed to its part, through the part's levels to its slot, and the
 fingerprint tells strangers off: constant time for each key, whatever the
-store's size. A part holds about ``PART_KEYS`` keys.
+store's size. A part holds about ``PART_KEYS`` keys, however many documents
+share one; the others of a shared key are found by the payload's ids.
 
 Defined cases: a null text counts as empty and has the end id alone;
 documents with a null id are stored first and have no key, but are returned
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metricforge.llm.bpe import chunks
-from metricforge.llm.common import CLEANUP, FILE, ROW, addressed, map_arrow, shared_path, ship
+from metricforge.llm.common import CLEANUP, FILE, ROW, addressed, keep, map_arrow, shared_path, ship
 from metricforge.llm.token_ids import added_tokens, with_end
 from metricforge.llm.token_ids import encode as encode_ids
 
@@ -44,7 +46,8 @@ PART_KEYS = 1 << 15
 GAMMA = 2
 FINGERPRINT = ("fp", "<u4")
 #: What a slot's entries hold.
-PLACES = (("shard", "<i4"), ("block", "<i4"), ("offset", "<i4"), ("count", "<i8"), ("start", "<i8"))
+PLACES = (("shard", "<i4"), ("block", "<i4"), ("offset", "<i4"), ("count", "<i8"), ("start", "<i8"),
+          ("documents", "<i8"))
 
 
 def _mix(keys: np.ndarray, salt: int) -> np.ndarray:
@@ -104,19 +107,15 @@ def _fingerprint(keys: np.ndarray) -> np.ndarray:
 
 
 def _part_row(part: int, parts: int, keys: np.ndarray, places: dict[str, np.ndarray]) -> dict:
-    distinct, which = np.unique(keys, return_inverse=True)
-    mph = PerfectHash.build(distinct)
-    slot = mph.slots(distinct)[which]
-    order = np.lexsort((places["start"], slot))
-    prints = np.zeros(len(distinct), np.uint32)
-    prints[slot] = _fingerprint(keys)
+    mph = PerfectHash.build(keys)
+    order = np.argsort(mph.slots(keys))
     sizes, bits = mph.to_columns()
-    return {"part": part, "parts": parts, "sizes": sizes, "bits": bits, "fp": prints.astype("<u4").tobytes(),
-            "first": np.append(0, np.cumsum(np.bincount(slot, minlength=len(distinct)))).astype("<i4").tobytes(),
+    return {"part": part, "parts": parts, "sizes": sizes, "bits": bits,
+            "fp": _fingerprint(keys)[order].astype("<u4").tobytes(),
             **{n: places[n][order].astype(t).tobytes() for n, t in PLACES}}
 
 
-INDEX_SCHEMA = ("part long, parts long, sizes array<int>, bits binary, fp binary, first binary, "
+INDEX_SCHEMA = ("part long, parts long, sizes array<int>, bits binary, fp binary, "
                 + ", ".join(f"{n} binary" for n, _ in PLACES))
 
 
@@ -202,7 +201,9 @@ def _places(blocks: DataFrame, keyed: bool) -> DataFrame:
 
 def _write_index(spark: SparkSession, path: str) -> None:
     blocks = spark.read.parquet(f"{path}/payload").select("shard", "block", "doc_ids", "counts")
-    rows = _places(blocks, True)
+    place = F.struct("start", "shard", "block", "offset", "count")
+    rows = (_places(blocks, True).groupBy("key").agg(F.min(place).alias("p"), F.count("*").alias("documents"))
+            .select("key", "p.*", "documents"))
     documents = blocks.agg(F.sum(F.size("doc_ids"))).first()[0] or 0
     parts = max(1, -(-documents // PART_KEYS))
 
@@ -221,6 +222,19 @@ def find(keys: DataFrame, path: str) -> DataFrame:
     """``(key, shard, block, offset, count, start)`` of the documents stored
     under ``keys(key)``; unknown and null keys give nothing."""
     spark = keys.sparkSession
+    found = keep(find_first(keys, path), "places")
+    alone = found.where("documents = 1").drop("documents")
+    shared = found.where("documents > 1").select("key")
+    if shared.isEmpty():
+        return alone
+    blocks = spark.read.schema("shard int, block int, doc_ids array<long>, counts array<long>").parquet(f"{path}/payload")
+    return alone.unionByName(_places(blocks, True).join(shared, "key", "left_semi"))
+
+
+def find_first(keys: DataFrame, path: str) -> DataFrame:
+    """``(key, shard, block, offset, count, start, documents)``: the place of
+    the first document of each of ``keys(key)``, and how many it has."""
+    spark = keys.sparkSession
     ship(spark)
     index = spark.read.schema(INDEX_SCHEMA).parquet(f"{path}/index")
     parts = index.agg(F.max("parts")).first()[0] or 1
@@ -236,15 +250,11 @@ def find(keys: DataFrame, path: str) -> DataFrame:
             prints = np.frombuffer(row["fp"], "<u4")
             known = slot >= 0
             known[known] = prints[slot[known]] == _fingerprint(key[known])
-            key, slot = key[known], slot[known]
-            first = np.frombuffer(row["first"], "<i4").astype(np.int64)
-            many = first[slot + 1] - first[slot]
-            at = np.repeat(first[slot] - np.cumsum(many) + many, many) + np.arange(many.sum())
-            out = {"key": np.repeat(key, many), **{n: np.frombuffer(row[n], t)[at] for n, t in PLACES}}
+            out = {"key": key[known], **{n: np.frombuffer(row[n], t)[slot[known]] for n, t in PLACES}}
         return pa.table({n: pa.array(v.astype(np.int64)) for n, v in out.items()})
 
     return keys.groupBy("part").cogroup(index.groupBy("part")).applyInArrow(
-        look, "key long, shard long, block long, offset long, count long, start long")
+        look, "key long, shard long, block long, offset long, count long, start long, documents long")
 
 
 def find_unkeyed(spark: SparkSession, path: str) -> DataFrame:
