@@ -8,8 +8,9 @@ returns the grades' probabilities and the expected severity; a document is
 rejected when it is more likely above grade 0 than not.
 
 The labels only say toxic or not. The grade of a toxic training text is set
-by how many of the terms that set toxic texts apart it holds: thirds of that
-count among the toxic texts give grades 1 to 3.
+by how dense the terms that set toxic texts apart stand in it (per word, so
+its length does not matter): thirds of that share among the toxic texts give
+grades 1 to 3.
 
 Fitting uses at most ``SAMPLE`` labelled documents (chosen by a hash of the
 id) and ``VOCABULARY`` terms; both bounds are parameters. Scoring reads every
@@ -52,6 +53,8 @@ STRONG = 20
 #: words longer, so that one word of a short text is no certainty.
 STRETCH = 300
 PRIOR = 100
+#: Words whose weight a task holds at a time.
+WORDS_HELD = 1 << 18
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -72,29 +75,44 @@ def rate(n, words):
     return n * STRETCH / (words + PRIOR)
 
 
+class _Weights(dict):
+    """The weight of a word, with those of its beginnings, worked out once."""
+
+    def __init__(self, vocabulary: dict[str, int], weights: np.ndarray):
+        super().__init__()
+        self.of = {t: float(weights[k]) for t, k in vocabulary.items()}
+
+    def __missing__(self, w: str) -> float:
+        of = self.of.get
+        x = self[w] = of(f"={w}", 0.0) + sum(of(w[:k], 0.0) for k in BEGINNINGS if len(w) > k)
+        return x
+
+
 @dataclass
 class Model:
     vocabulary: dict[str, int] = field(default_factory=dict)
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     thresholds: np.ndarray | None = None
 
-    def grades(self, texts: list[str | None]) -> np.ndarray:
-        """Probability of each grade, one row for each text."""
+    def grades(self, texts: list[str | None], weight: _Weights | None = None) -> np.ndarray:
+        """Probability of each grade, one row for each text. ``weight`` holds
+        words' weights from one call to the next."""
         out = np.zeros((len(texts), GRADES))
         if self.thresholds is None:
             out[:, 0] = 1
             return out
-        number = self.vocabulary.get
         score = np.zeros(len(texts))
+        weight = self.word_weights() if weight is None else weight
         for i, text in enumerate(texts):
-            words = Counter(_WORD.findall((text or "").lower()))
-            for w, n in words.items():
-                for t in (f"={w}", *(w[:k] for k in BEGINNINGS if len(w) > k)):
-                    if (k := number(t)) is not None:
-                        score[i] += self.weights[k] * n
-            score[i] = rate(score[i], words.total())
+            words = _WORD.findall((text or "").lower())
+            score[i] = rate(sum(map(weight.__getitem__, words)), len(words))
+            if len(weight) > WORDS_HELD:
+                weight.clear()
         return _probabilities(score, self.thresholds)
 
+    def word_weights(self) -> _Weights:
+        return _Weights(self.vocabulary, self.weights)
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
@@ -143,6 +161,14 @@ def fit_cumulative_link(row: np.ndarray, column: np.ndarray, value: np.ndarray,
     return w, _thresholds(free)
 
 
+def training_grades(toxic: np.ndarray, telling: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """0 for texts that are not toxic; the others by thirds of their share of
+    strongly telling terms among all words."""
+    dense = telling / np.maximum(words, 1)
+    cuts = np.quantile(dense[toxic == 1], [1 / 3, 2 / 3])
+    return np.where(toxic == 1, 1 + np.searchsorted(cuts, dense, side="left"), 0)
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY,
         id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from ``labels(doc_id, toxic)`` and the texts they name."""
@@ -201,12 +227,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: in
     row = np.repeat(np.arange(len(toxic)), size)
     column = at.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     value = n.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    # Grades of toxic texts: thirds of how many strongly telling terms they hold.
+    words = rows.column("words").to_numpy()
     odds = np.array([r["odds"] for r in top])
     telling = np.bincount(row, value * (odds[column] > math.log(STRONG)), len(toxic))
-    cuts = np.quantile(telling[toxic == 1], [1 / 3, 2 / 3])
-    grade = np.where(toxic == 1, 1 + np.searchsorted(cuts, telling, side="left"), 0)
-    value = rate(value, rows.column("words").to_numpy()[row])
+    grade = training_grades(toxic, telling, words)
+    value = rate(value, words[row])
     weights, thresholds = fit_cumulative_link(row, column, value, grade, len(top))
     return Model(number, weights, thresholds)
 
@@ -218,10 +243,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(model)   # bounded by the vocabulary
 
     def run(batches):
+        weight = held.value.word_weights()
         for batch in batches:
             for a in range(0, max(batch.num_rows, 1), 256):
                 part = batch.slice(a, 256)
-                p = held.value.grades(part.column(at).to_pylist())
+                p = held.value.grades(part.column(at).to_pylist(), weight)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(list(p), pa.list_(pa.float64())), pa.array(p @ np.arange(GRADES)),
                      pa.array(p[:, 0] < 0.5)],
