@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricforge.llm import exact_dedup, packing, simhash, suffix_dedup, toxicity
-from metricforge.llm.common import keep
+from metricforge.llm.common import columns, keep
 from metricforge.llm.queries import TOKENIZER
 from metricforge.sources.tables import load
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, load(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(~F.col("__mf_rejected")).select(*(f"`{c}`" for c in docs.columns))
+    return toxicity.score(docs, model).where(~F.col("__mf_rejected")).select(*columns(docs))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
