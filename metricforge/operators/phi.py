@@ -91,14 +91,17 @@ def solve_phi(chi2: float, n: float, rows: int, columns: int) -> float | None:
 
 def binned(df: DataFrame, numbers: Sequence[str], bins: int = BINS) -> DataFrame:
     """``df`` with each of ``numbers`` as the number of its equal-width bin
-    between the column's least and greatest value (one aggregate for all)."""
-    ends = write_once(df.agg(*[f(F.col(x).cast("double")).alias(f"{side}_{i}") for i, x in enumerate(numbers)
+    between the column's least and greatest value (one aggregate for all);
+    NaN is missing, as in pandas."""
+    number = lambda x: F.nullif(F.col(x).cast("double"), F.lit(float("nan")))
+    ends = write_once(df.agg(*[f(number(x)).alias(f"{side}_{i}") for i, x in enumerate(numbers)
                                for f, side in ((F.min, "lo"), (F.max, "hi"))]))
 
     def bin_of(i: int, x: str) -> Column:
         lo, hi = (ends.select(f"{side}_{i}").scalar() for side in ("lo", "hi"))
-        at = F.floor(F.try_divide(F.col(x).cast("double") - lo, hi - lo) * bins)
-        return F.when(hi == lo, F.when(F.col(x).isNotNull(), F.lit(0))).otherwise(F.least(at, F.lit(bins - 1)))
+        at = F.floor(F.try_divide(number(x) - lo, hi - lo) * bins)
+        # LEAST would pass over a NULL.
+        return F.when(number(x).isNotNull(), F.when(hi == lo, F.lit(0)).otherwise(F.least(at, F.lit(bins - 1))))
 
     return df.select(*[bin_of(numbers.index(c), c).alias(c) if c in numbers else F.col(c) for c in df.columns])
 
