@@ -3,6 +3,11 @@
 ``quantiles`` computes exact ``percentile_cont`` / ``percentile_disc``
 values without holding any group in one task and without moving the column:
 
+Columns of few distinct values (an estimate, one aggregate for all columns)
+are counted by value, and the ranks are running counts over at most as many
+rows per group: one scan, nothing written. The estimate decides the way, not
+the result. All other columns:
+
 1. a mergeable rank sketch for each group (built map-side, merged in two
    levels, bounded in size) gives a bracket of values around each target
    rank;
@@ -28,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -42,6 +48,8 @@ from metricforge.session import write_once
 SKETCH_SIZE = 1000
 REACH = 0.01
 SKETCHES = 256
+#: Distinct values (estimated) up to which a column is counted by value.
+FEW = 4096
 
 
 def _long(df: DataFrame, values: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -90,9 +98,9 @@ def bracketed_counts(df: DataFrame, values: Sequence[str], probs: Sequence[float
     rows = join_null_safe(_long(df, values, keys), brackets, gk, "left")
     v = F.col("__v")
     # A group of NaN values alone has no sketch and keeps all its values.
-    inside = F.coalesce(F.exists("__b", lambda b: (b["lo"].isNull() | (v >= b["lo"])) & (b["hi"].isNull() | (v <= b["hi"]))),
-                        F.lit(True))
-    passed = F.coalesce(F.size(F.filter("__b", lambda b: v > b["hi"])), F.lit(0))
+    ends = [(F.col("__b")[i]["lo"], F.col("__b")[i]["hi"]) for i in range(len(probs))]
+    inside = reduce(Column.__or__, ((lo.isNull() | (v >= lo)) & (hi.isNull() | (v <= hi)) for lo, hi in ends))
+    passed = sum((F.coalesce((v > hi).cast("int"), F.lit(0)) for _, hi in ends), F.lit(0))
     rows = rows.select(*gk, v, F.when(inside, v).alias("__in"), F.when(~inside, passed).alias("__gap"))
     counts = (rows.groupBy(*gk, "__in", "__gap").agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__v"))
               .select(*gk, "__v", "__c", F.col("__in").isNotNull().alias("__exact")))
@@ -124,9 +132,56 @@ def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys:
     values are ignored; a group without values is absent (callers left-join).
     ``probs`` items may be ``(p, kind)`` pairs to mix both kinds in one pass.
     """
-    keys = list(keys)
-    gk = keys + ["__m"]
+    keys, values = list(keys), list(dict.fromkeys(values))
     probs = [p if isinstance(p, tuple) else (p, kind) for p in probs]
+    seen = df.agg(*[F.approx_count_distinct(F.col(x).cast("double")).alias(f"c{i}") for i, x in enumerate(values)]).first()
+    few = [x for i, x in enumerate(values) if seen[i] <= FEW]
+    many = [x for x in values if x not in few]
+    parts = [f(df, columns, probs, keys) for f, columns in ((_of_few, few), (_of_many, many)) if columns]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _ranks(n: Column, p: float, kind: str) -> tuple[Column, Column, Column]:
+    """1-based target ranks (lower, upper) and the 0-based position between
+    them among ``n`` values."""
+    if kind == "cont":
+        pos = (n - 1).cast("double") * F.lit(float(p))
+        return (F.floor(pos) + 1).cast("bigint"), (F.ceil(pos) + 1).cast("bigint"), pos
+    if kind == "disc":
+        rank = F.greatest(F.ceil(n.cast("double") * F.lit(float(p))), F.lit(1)).cast("bigint")
+        return rank, rank, F.lit(0.0)
+    raise ValueError(kind)
+
+
+def _between(vl: Column, vh: Column, pos: Column, lo: Column, hi: Column) -> Column:
+    # Same interpolation as Spark's exact percentile: (hi - pos) * vl + (pos - lo) * vh.
+    return F.when((lo == hi) | (vl == vh), vl).otherwise(((hi - 1) - pos) * vl + (pos - (lo - 1)) * vh)
+
+
+def _of_few(df: DataFrame, values: Sequence[str], probs: Sequence, keys: Sequence[str]) -> DataFrame:
+    """``quantiles_long`` by counting every value; a group has few."""
+    gk = [*keys, "__m"]
+    counts = _long(df, values, keys).groupBy(*gk, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    group = W.partitionBy(*gk)
+    upto = group.orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = counts.withColumns({"__n": F.sum("__c").over(group), "__end": F.sum("__c").over(upto)})
+    aggs = []
+    for i, (p, kind) in enumerate(probs):
+        lo, hi, _ = _ranks(F.col("__n"), p, kind)
+        for name, rank in (("vl", lo), ("vh", hi)):
+            held = (rank > F.col("__end") - F.col("__c")) & (rank <= F.col("__end"))
+            aggs.append(F.max(F.when(held, F.col("__v"))).alias(f"{name}{i}"))
+    per = ranked.groupBy(*gk).agg(F.max("__n").alias("__n"), *aggs)
+    outs = []
+    for i, (p, kind) in enumerate(probs):
+        lo, hi, pos = _ranks(F.col("__n"), p, kind)
+        outs.append(_between(F.col(f"vl{i}"), F.col(f"vh{i}"), pos, lo, hi).alias(f"q{i}"))
+    return per.select(*gk, *outs)
+
+
+def _of_many(df: DataFrame, values: Sequence[str], probs: Sequence, keys: Sequence[str]) -> DataFrame:
+    """``quantiles_long`` by sketch, brackets and ranges."""
+    gk = [*keys, "__m"]
     ranged = bracketed_counts(df, values, sorted({p for p, _ in probs}), keys)
     if ranged is None:
         ranged = ranged_counts(df, values, keys)
@@ -138,17 +193,8 @@ def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys:
                     .withColumn("__n", F.sum("__t").over(W.partitionBy(*gk))))
     targets = []
     for i, (p, kind) in enumerate(probs):
-        n = F.col("__n")
-        if kind == "cont":
-            pos = (n - 1).cast("double") * F.lit(float(p))
-            lo, hi = F.floor(pos) + 1, F.ceil(pos) + 1
-        elif kind == "disc":
-            pos = F.lit(0.0)
-            lo = hi = F.greatest(F.ceil(n.cast("double") * F.lit(float(p))), F.lit(1))
-        else:
-            raise ValueError(kind)
-        targets.append(F.struct(F.lit(i).alias("i"), lo.cast("bigint").alias("lo"),
-                                hi.cast("bigint").alias("hi"), pos.alias("pos")))
+        lo, hi, pos = _ranks(F.col("__n"), p, kind)
+        targets.append(F.struct(F.lit(i).alias("i"), lo.alias("lo"), hi.alias("hi"), pos.alias("pos")))
     first, last = F.col("__off") + 1, F.col("__off") + F.col("__t")
     # The target ranks of each group fall into at most two blocks per
     # probability: only those blocks are read again.
@@ -177,9 +223,7 @@ def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys:
     outs = []
     for i in range(len(probs)):
         vl, vh, pos, lo, hi = (F.col(f"{x}{i}") for x in ("vl", "vh", "pos", "lo", "hi"))
-        # Same interpolation as Spark's exact percentile: (hi - pos) * vl + (pos - lo) * vh.
-        val = F.when((lo == hi) | (vl == vh), vl).otherwise(((hi - 1) - pos) * vl + (pos - (lo - 1)) * vh)
-        outs.append(val.alias(f"q{i}"))
+        outs.append(_between(vl, vh, pos, lo, hi).alias(f"q{i}"))
     return per.select(*gk, *outs)
 
 
@@ -207,17 +251,22 @@ def with_quantiles(grouped: DataFrame, src: DataFrame, keys: Sequence[str], spec
         q = quantiles_long(src, values, probs, keys, kind)
         wide = q.groupBy(*keys).agg(*[
             F.max(F.when(F.col("__m") == v, F.col(f"q{probs.index(p)}"))).alias(n) for v, p, n in items])
-        if keys:
-            out = join_null_safe(out, wide, keys, "left")
-        else:
-            out = out.select("*", *[wide.select(n).scalar().alias(n) for _, _, n in items])
+        out = join_null_safe(out, wide, keys, "left") if keys else out.withColumns(_one_row(wide))
     return out
 
 
+def _one_row(row: DataFrame) -> dict[str, Column]:
+    """The columns of a frame with one row as literals: a few numbers, which
+    then reach the scans as filters, and which no reader works out again."""
+    found = row.first()
+    return {c: F.lit(found[c]).cast("double") for c in row.columns}
+
+
 def quantile_scalars(df: DataFrame, value: str, probs: Sequence[float], kind: str = "cont") -> list[Column]:
-    """Global exact quantiles as scalar subqueries."""
-    q = quantiles(df, value, probs, (), kind)
-    return [q.select(f"q{i}").scalar() for i in range(len(probs))]
+    """Global exact quantiles as literals (NULL without values)."""
+    names = [f"q{i}" for i in range(len(probs))]
+    one = _one_row(quantiles(df, value, probs, (), kind).agg(*[F.max(n).alias(n) for n in names]))
+    return [one[n] for n in names]
 
 
 @dataclass(frozen=True)
@@ -256,16 +305,15 @@ def trim_condition(rules: Sequence[Limit], limits: dict | None = None) -> Column
 
 
 def limit_scalars(ref: DataFrame, rules: Sequence[Limit]) -> dict:
-    """Each limit as a scalar subquery. All limits share one distributed
-    quantile pass over ``ref`` (columns unpivoted, both kinds together),
-    pivoted into one aggregate row, so Spark merges the scalar subqueries
-    into a single evaluation."""
+    """Each limit as a literal. All limits share one distributed quantile
+    pass over ``ref`` (columns unpivoted, both kinds together), pivoted into
+    one row."""
     values = sorted({r.column for r in rules})
     probs = sorted({(r.p, r.kind) for r in rules})
     q = quantiles_long(ref, values, probs, ())
     row = q.agg(*[F.max(F.when(F.col("__m") == r.column, F.col(f"q{probs.index((r.p, r.kind))}"))).alias(r.alias)
                   for r in rules])
-    return {r.alias: row.select(r.alias).scalar() for r in rules}
+    return _one_row(row)
 
 
 def trim_percentile(df: DataFrame, rules: Sequence[Limit], ref: DataFrame | None = None) -> DataFrame:

@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -39,19 +39,29 @@ def corr_long(df: DataFrame, cols: Sequence[str], scale: int = 6) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
-def category_codes(df: DataFrame, col: str, out: str) -> DataFrame:
-    """``astype('category').cat.codes`` - alphabetical code from 0,
-    NULL -> -1 (H12). The distinct values are an aggregate, dealt into ranges;
-    a value's code is the number of values in the ranges before its own (one
-    row per range) plus its rank there, so no task orders all of them."""
-    values = df.where(F.col(col).isNotNull()).select(col).distinct()
-    values = write_once(values.repartitionByRange(col).withColumn("__range", F.spark_partition_id()))
-    sizes = values.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.select("__range", (F.sum("__n").over(W.orderBy("__range")) - F.col("__n")).alias("__before"))
-    rank = F.row_number().over(W.partitionBy("__range").orderBy(col))
-    codes = write_once(values.join(before, "__range")
-                       .select(col, (F.col("__before") + rank - 1).cast("int").alias(out)))
-    return df.join(codes, col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(-1)))
+def category_codes(df: DataFrame, col: str | Mapping[str, str], out: str | None = None) -> DataFrame:
+    """``astype('category').cat.codes`` of a text column as ``out``, or of
+    several (a mapping of column to code): alphabetical code from 0, NULL -> -1
+    (H12). The distinct
+    values of all columns are one aggregate, dealt into ranges; a value's code
+    is the number of its column's values in the ranges before its own (one row
+    per range and column) plus its rank there, so no task orders all of them."""
+    cols = {col: out} if isinstance(col, str) else col
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("__i"), F.col(c).cast("string").alias("__v"))
+                                        for i, c in enumerate(cols)])))
+    values = long.where(F.col("__v").isNotNull()).distinct()
+    values = write_once(values.repartitionByRange("__i", "__v").withColumn("__range", F.spark_partition_id()))
+    sizes = values.groupBy("__i", "__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.select("__i", "__range", (F.sum("__n").over(W.partitionBy("__i").orderBy("__range"))
+                                             - F.col("__n")).alias("__before"))
+    rank = F.row_number().over(W.partitionBy("__i", "__range").orderBy("__v"))
+    codes = write_once(values.join(before, ["__i", "__range"])
+                       .select("__i", "__v", (F.col("__before") + rank - 1).cast("int").alias("__code")))
+    for i, (col, out) in enumerate(cols.items()):
+        own = codes.where(F.col("__i") == i).select(F.col("__v").alias(f"__v{i}"), F.col("__code").alias(out))
+        df = (df.join(own, F.col(col).cast("string") == F.col(f"__v{i}"), "left").drop(f"__v{i}")
+              .withColumn(out, F.coalesce(F.col(out), F.lit(-1))))
+    return df
 
 
 def chi_square(cells: DataFrame, a: str, b: str) -> DataFrame:

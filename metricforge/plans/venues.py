@@ -237,8 +237,7 @@ def corr_matrix(spark: SparkSession, d: str) -> DataFrame:
         "cat": F.when(F.col("p_partkey") % 13 != 0, F.col("p_type")),
         "price_class": F.when(F.col("p_partkey") % 11 != 0, F.floor(F.col("p_retailprice") / 250).cast("string")),
         "large": F.when(F.col("p_size") >= 25, 1).otherwise(0)})
-    for col, code in (("cat", "type_code"), ("p_brand", "brand_code"), ("price_class", "price_code")):
-        p = category_codes(p, col, code)
+    p = category_codes(p, {"cat": "type_code", "p_brand": "brand_code", "price_class": "price_code"})
     return corr_long(p, CORR_COLS)
 
 

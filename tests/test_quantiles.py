@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from metricforge.operators import percentiles
 from metricforge.operators.percentiles import Limit, quantiles, quantiles_long, trim_percentile
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
@@ -24,11 +25,14 @@ def _data(spark, seed):
     return spark.createDataFrame(rows, "k string, v double")
 
 
-@pytest.fixture(params=["coalesced", "many_blocks"])
-def layout(spark, request):
-    """``many_blocks``: AQE coalescing off and 23 range partitions, so
+@pytest.fixture(params=["by_value", "coalesced", "many_blocks"])
+def layout(spark, request, monkeypatch):
+    """``by_value``: as columns of few values are counted; else as those of
+    many. ``many_blocks``: AQE coalescing off and 23 range partitions, so
     groups span many blocks and the two ranks of an interpolation can sit
     in different blocks (offsets and block selection are exercised)."""
+    if request.param != "by_value":
+        monkeypatch.setattr(percentiles, "FEW", 0)
     if request.param == "many_blocks":
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         old = spark.conf.get("spark.sql.shuffle.partitions")
