@@ -21,8 +21,10 @@ from metricforge.functions.numeric import dec_round, pct
 from metricforge.functions.text import strip_unicode
 from metricforge.operators.aggregates import distinct_values, null_profile, topk, value_counts
 from metricforge.operators.impute import drop_null, fill_const, fill_group_mean
+from metricforge.operators.profile import file_states, merged_profile
 from metricforge.operators.steps import Steps
 from metricforge.plans.common import PCT, R, register, tables
+from metricforge.session import write_once
 
 NULL_COLS = ["l_discount", "l_tax", "l_shipdate", "l_returnflag"]
 
@@ -81,6 +83,21 @@ def schema_profile(spark: SparkSession, d: str) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
+PROFILE_COLS = ["l_discount", "l_tax"]
+
+
+@register("profile_merged", "\nUNION ALL\n".join(f"""
+SELECT '{x}' AS column_name, COUNT(*) AS n_rows, COUNT({x}) AS n, COUNT(*) - COUNT({x}) AS missing,
+       {R(f'AVG({x})', 6)} AS mean, {R(f'STDDEV_SAMP({x})', 6)} AS sd, MIN({x}) AS low, MAX({x}) AS high
+FROM ({SQL_DIRTY}) d""" for x in PROFILE_COLS))
+def profile_merged(spark: SparkSession, d: str) -> DataFrame:
+    """The profile of a table from the stored states of its
+    files (here the exact part; the sketches are in the states)."""
+    states = write_once(file_states(dirty_lines(spark, d), PROFILE_COLS))
+    return merged_profile(states).select("column_name", "n_rows", "n", "missing", dec_round("mean", 6).alias("mean"),
+                                         dec_round("sd", 6).alias("sd"), "low", "high")
+
+
 @register("table_shape", f"""
 SELECT COUNT(*) AS n_rows, {len(LINE_COLS)} AS n_columns FROM lineitem
 """)

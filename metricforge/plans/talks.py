@@ -20,6 +20,7 @@ from metricforge.operators.distinct_cube import build_cube, count_cube, numbered
 from metricforge.operators.heavy import top_values
 from metricforge.plans.common import MONEY, R, RATIO, register, tables
 from metricforge.session import write_once
+from metricforge.sources.layout import lookup, sorted_copy
 
 CARD_KEY = 7
 FILTER_COUNTRY, FILTER_TAG = "ASIA", "1-URGENT"
@@ -170,6 +171,16 @@ def dashboard_card(spark: SparkSession, d: str, key: int = CARD_KEY) -> DataFram
     return j.select("o_orderkey", "o_totalprice", "o_orderpriority", "speaker", "occupation", "conference")
 
 
+@register("dashboard_card_sorted", f"""
+SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderkey = {CARD_KEY}
+""")
+def dashboard_card_sorted(spark: SparkSession, d: str, key: int = CARD_KEY) -> DataFrame:
+    """the talk of a card from a copy sorted by key: one row group of the
+    whole table is read."""
+    path = sorted_copy(tables(spark, d)("orders"), "o_orderkey", bloom=["o_custkey"])
+    return lookup(spark, path, "o_orderkey", key).select("o_orderkey", "o_totalprice", "o_orderpriority")
+
+
 @register("conference_talks", """
 SELECT n.n_name AS conference, COUNT(t.o_orderkey) AS n_talks
 FROM nation n LEFT JOIN (SELECT o.o_orderkey, c.c_nationkey FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey) t

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -116,9 +117,32 @@ def ship(spark: SparkSession) -> None:
     sc._metricforge_shipped = True
 
 
+#: Folders of intermediates that this process has made, by application.
+_MADE: dict[str, list[str]] = {}
+
+
+def scratch(spark: SparkSession) -> list[str]:
+    """The folders of intermediates made so far and not removed, in order."""
+    return _MADE.setdefault(spark.sparkContext.applicationId, [])
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    scratch(spark).append(path)
+    return path
+
+
+def clean(spark: SparkSession, paths: Iterable[str] | None = None) -> None:
+    """Remove folders of intermediates: all that this session has made, or
+    ``paths``. Frames that were read from them can no longer be evaluated, so
+    write or collect a result first."""
+    made = scratch(spark)
+    for path in list(made if paths is None else paths):
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        if path in made:
+            made.remove(path)
 
 
 def write_once(df):
