@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricforge.session import checkpoint_dir, ship
+from metricforge.session import checkpoint_dir, scratch, ship
 
 #: Frees a finished statement's shuffle files, so that the disk holds one
 #: step's shuffles at a time.
@@ -20,8 +20,11 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
+    """A fresh folder below the shared checkpoint folder, which ``clean`` of
+    the session removes."""
+    path = f"{checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
+    scratch(spark).append(path)
+    return path
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
