@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from metricforge.llm import exact_dedup, packing, simhash, suffix_dedup, toxicity
 from metricforge.llm.common import columns, keep
 from metricforge.llm.queries import TOKENIZER
+from metricforge.session import clean, scratch
 from metricforge.sources.tables import load
 
 
@@ -53,7 +54,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents")
+    """The last stage's rows. A stage's input and intermediates are removed
+    once its result is written, so the shared folder holds two stages at most."""
+    docs, held = load(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
+        before = [*scratch(spark)]
         docs = keep(stage(spark, docs, sf_dir), name)
+        *done, result = (p for p in scratch(spark) if p not in before)
+        clean(spark, [p for p in done if "dedup-state" not in p] + ([held] if held else []))
+        held = result
     return docs
