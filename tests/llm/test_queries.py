@@ -31,7 +31,6 @@ def docs():
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(Q.TOKENIZER)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 

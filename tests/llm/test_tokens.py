@@ -30,7 +30,6 @@ def tik():
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     return t
 
 
