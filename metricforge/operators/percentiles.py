@@ -12,8 +12,10 @@ the result. All other columns:
    levels, bounded in size) gives a bracket of values around each target
    rank;
 2. one scan counts: values inside a bracket by value, all values between two
-   brackets as one row. This is a few hundredths of the distinct values;
-3. the counts are range-partitioned by (keys, value), so a hot group is split
+   brackets as one row. This is a few hundredths of the distinct values. It is
+   written; where no group has more than ``GROUP_ROWS`` of these rows, ranks
+   are running counts as above;
+3. else the counts are range-partitioned by (keys, value), so a hot group is split
    over many partitions by value range, and written once, with the partition
    id, since it is read twice;
 4. per (partition, key) totals -> running offsets (a window over at most
@@ -50,6 +52,8 @@ REACH = 0.01
 SKETCHES = 256
 #: Distinct values (estimated) up to which a column is counted by value.
 FEW = 4096
+#: Counts of a group up to which one task runs over them.
+GROUP_ROWS = 1 << 20
 
 
 def _long(df: DataFrame, values: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -88,10 +92,11 @@ def _brackets(long: DataFrame, gk: Sequence[str], probs: Sequence[float]) -> Dat
 
 
 def bracketed_counts(df: DataFrame, values: Sequence[str], probs: Sequence[float],
-                     keys: Sequence[str] = ()) -> DataFrame | None:
-    """Like ``ranged_counts``, but exact by value only inside the brackets of
-    ``probs``; all values between two brackets are one row, under the least
-    of them. None if a target rank lies outside its bracket."""
+                     keys: Sequence[str] = ()) -> tuple[DataFrame, int] | None:
+    """Counts that are exact by value only inside the brackets of ``probs``;
+    all values between two brackets are one row, under the least of them. And
+    the rows of the largest group. None if a target rank lies outside its
+    bracket."""
     gk = [*keys, "__m"]
     long = _long(df, values, keys).where(~F.isnan("__v"))
     brackets = _brackets(long, gk, probs)
@@ -104,7 +109,7 @@ def bracketed_counts(df: DataFrame, values: Sequence[str], probs: Sequence[float
     rows = rows.select(*gk, v, F.when(inside, v).alias("__in"), F.when(~inside, passed).alias("__gap"))
     counts = (rows.groupBy(*gk, "__in", "__gap").agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__v"))
               .select(*gk, "__v", "__c", F.col("__in").isNotNull().alias("__exact")))
-    counts = _ranged(counts, gk)
+    counts = write_once(counts)
     # Ranks before, and up to the end of, each bracket.
     told = join_null_safe(counts, brackets, gk)
     sums = []
@@ -117,8 +122,9 @@ def bracketed_counts(df: DataFrame, values: Sequence[str], probs: Sequence[float
         first = F.least(F.floor((n - 1) * F.lit(float(p))) + 1, F.greatest(F.ceil(n * F.lit(float(p))), F.lit(1)))
         last = F.ceil((n - 1) * F.lit(float(p))) + 1
         miss = miss | (first <= F.col(f"before{i}")) | (last > n - F.col(f"after{i}"))
-    sums = told.groupBy(*gk).agg(F.sum("__c").cast("double").alias("__n"), *sums)
-    return counts.drop("__exact") if sums.where(miss).isEmpty() else None
+    sums = told.groupBy(*gk).agg(F.sum("__c").cast("double").alias("__n"), F.count(F.lit(1)).alias("__rows"), *sums)
+    seen = sums.agg(F.coalesce(F.max(miss), F.lit(False)).alias("miss"), F.max("__rows").alias("rows")).first()
+    return None if seen["miss"] else (counts.drop("__exact"), seen["rows"] or 0)
 
 
 def quantiles_long(df: DataFrame, values: Sequence[str], probs: Sequence, keys: Sequence[str] = (),
@@ -161,7 +167,12 @@ def _between(vl: Column, vh: Column, pos: Column, lo: Column, hi: Column) -> Col
 def _of_few(df: DataFrame, values: Sequence[str], probs: Sequence, keys: Sequence[str]) -> DataFrame:
     """``quantiles_long`` by counting every value; a group has few."""
     gk = [*keys, "__m"]
-    counts = _long(df, values, keys).groupBy(*gk, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    return _picked(_long(df, values, keys).groupBy(*gk, "__v").agg(F.count(F.lit(1)).alias("__c")), gk, probs)
+
+
+def _picked(counts: DataFrame, gk: Sequence[str], probs: Sequence) -> DataFrame:
+    """The quantiles of ``counts(gk..., __v, __c)`` by running counts over a
+    group's rows."""
     group = W.partitionBy(*gk)
     upto = group.orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = counts.withColumns({"__n": F.sum("__c").over(group), "__end": F.sum("__c").over(upto)})
@@ -182,9 +193,10 @@ def _of_few(df: DataFrame, values: Sequence[str], probs: Sequence, keys: Sequenc
 def _of_many(df: DataFrame, values: Sequence[str], probs: Sequence, keys: Sequence[str]) -> DataFrame:
     """``quantiles_long`` by sketch, brackets and ranges."""
     gk = [*keys, "__m"]
-    ranged = bracketed_counts(df, values, sorted({p for p, _ in probs}), keys)
-    if ranged is None:
-        ranged = ranged_counts(df, values, keys)
+    found = bracketed_counts(df, values, sorted({p for p, _ in probs}), keys)
+    if found and found[1] <= GROUP_ROWS:
+        return _picked(found[0], gk, probs)
+    ranged = _ranged(found[0], gk) if found else ranged_counts(df, values, keys)
     # Per (partition, group) block: row count, rows before it in the group
     # (offset) and the group size. At most partitions x groups rows.
     totals = ranged.groupBy("__pid", *gk).agg(F.sum("__c").alias("__t"))
