@@ -19,7 +19,8 @@ from metricforge.plans import QUERIES  # noqa: E402
 from metricforge.session import build_session  # noqa: E402
 
 DEFAULT = ["dau_purchase", "monthly_avg_check", "ltv_nested_top5", "retention_daily", "item_popularity",
-           "activity_by_group", "amount_stats", "dup_rows", "rollup_country_conf"]
+           "activity_by_group", "amount_stats", "dup_rows", "rollup_country_conf", "completeness_years_bucketed",
+           "dashboard_selected", "trim_p99"]
 KEEP = re.compile(r"^\(\d+\) (Scan|.*Join|Exchange|Window|HashAggregate|TakeOrderedAndProject|Generate|Filter)"
                   r"|PushedFilters|ReadSchema|Join type|Join condition|Arguments: (hashpartitioning|rangepartitioning|SinglePartition)")
 
