@@ -102,6 +102,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+#: Rows of the largest table that a shuffle partition of ``sized_session`` is
+#: meant for. The limit keeps the blocks of a shuffle manageable; tasks with
+#: more rows than that spill.
+ROWS_PER_PARTITION, MOST_PARTITIONS = 500_000, 20_000
+
+
+def sized_session(spark: SparkSession, rows: int) -> SparkSession:
+    """A session with the settings of ``spark`` and shuffle partitions for
+    steps that have as many keys as ``rows``: with a fixed number of them, a
+    task's sorts and hash maps grow with the input. AQE merges small
+    partitions only up to a size that is no larger. ``spark`` is unchanged."""
+    own, conf = spark.newSession(), spark.conf.getAll
+    for k, v in conf.items():
+        if own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    set_now = [int(spark.conf.get("spark.sql.shuffle.partitions")), int(conf.get(initial, 1))]
+    needed = min(-(-rows // ROWS_PER_PARTITION), MOST_PARTITIONS)
+    for k in ("spark.sql.shuffle.partitions", initial):
+        own.conf.set(k, str(max(needed, *set_now)))
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
+    return own
+
+
 def ship(spark: SparkSession) -> None:
     """Let the Python workers import this package, as ``--py-files`` would:
     the driver serves a zip of its sources to the executors, once."""
@@ -145,13 +169,14 @@ def clean(spark: SparkSession, paths: Iterable[str] | None = None) -> None:
             made.remove(path)
 
 
-def write_once(df):
+def write_once(df, reader: SparkSession | None = None):
     """Write a shared intermediate as Parquet in the shared folder and read it
     back. Its readers scan the written rows (pruned and filtered like any
     table) instead of recomputing the lineage, a lost executor does not force
     a recompute from the source tables, and the planner knows its exact size:
-    a small one is broadcast before any fact shuffle starts."""
+    a small one is broadcast before any fact shuffle starts. ``reader``: the
+    session that reads it, if not the frame's."""
     spark = df.sparkSession
     path = shared_path(spark, "written")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return (reader or spark).read.schema(df.schema).parquet(path)

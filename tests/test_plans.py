@@ -8,7 +8,9 @@ import re
 
 import pytest
 
-from metricforge.plans import QUERIES
+from metricforge import session
+from metricforge.operators.audit import join_audit
+from metricforge.plans import QUERIES, product
 
 SMALL = "/root/testdata/sf0.001"
 #: Between the written aggregates (a few KB) and the tables of sf0.001.
@@ -79,3 +81,38 @@ def test_scan_reads_only_needed_columns(spark):
     assert "ReadSchema: struct<l_discount:double>" in plan
     plan = plan_of(QUERIES["payer_share"](spark, SMALL))
     assert "ReadSchema: struct<c_custkey:bigint,c_acctbal:double>" in plan
+
+
+def test_audits_deal_keys_by_the_size_of_the_tables(spark, monkeypatch):
+    """Keys as many as the lines: with a fixed number of partitions, a task's
+    memory grows with the input."""
+    monkeypatch.setattr(session, "ROWS_PER_PARTITION", 250, raising=False)
+    audits = []
+
+    def audit(*args):
+        audits.append(join_audit(*args))
+        return audits[-1]
+
+    monkeypatch.setattr(product, "join_audit", audit)
+    before = spark.conf.getAll
+    out = QUERIES["join_audit_ltv"](spark, SMALL)
+    needed = spark.read.parquet(f"{SMALL}/lineitem.parquet").count() / 250
+    assert len(audits) == 8 and needed > 2 * int(before["spark.sql.shuffle.partitions"])
+    for x in audits:
+        plan = plan_of(x, "simple")
+        dealt = [int(n) for n in re.findall(r"hashpartitioning\(.*, (\d+)\)", plan)]
+        assert "FullOuter" in plan and "NestedLoop" not in plan and dealt and min(dealt) >= needed
+    # The caller's session keeps its settings, and the result is its own.
+    assert spark.conf.getAll == before
+    out.createOrReplaceTempView("audit_result")
+    assert spark.table("audit_result").count() == 8
+
+
+def test_sized_session_has_the_settings_of_the_caller(spark, monkeypatch, threshold):
+    threshold("12345")
+    own = session.sized_session(spark, 10 * session.ROWS_PER_PARTITION + 1)
+    assert own.conf.get("spark.sql.autoBroadcastJoinThreshold") == "12345"
+    assert own.conf.get("spark.sql.shuffle.partitions") == "11"
+    assert session.sized_session(spark, 1).conf.get("spark.sql.shuffle.partitions") == "8"
+    monkeypatch.setattr(session, "MOST_PARTITIONS", 9)
+    assert session.sized_session(spark, 10 * session.ROWS_PER_PARTITION).conf.get("spark.sql.shuffle.partitions") == "9"
